@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, exact_dedup, licenses, quality, sharding
+from ledgerline.llm import bpe, exact_dedup, language_id, licenses, quality, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,8 +34,15 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(documents(spark, sf_dir), licenses.known_digests(spark))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_id.train(docs.filter(~language_id.held_out()))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected", "entropy")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op5_quality_rules, op6_exact_dedup, op8_sharding, op9_license_scan)}
+    return {f.__name__: f for f in (op1_byte_bpe, op5_quality_rules, op6_exact_dedup, op8_sharding, op9_license_scan, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

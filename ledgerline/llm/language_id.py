@@ -238,25 +238,33 @@ def calibrate(model: LanguageModel, seen) -> None:
     model.sharpness = min((0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0), key=loss)
 
 
+def _verdicts(m: LanguageModel, found: list) -> list[pa.Array]:
+    lang, score, rejected, bits = [], [], [], []
+    for e, n in found:
+        best = None if e is None else int(np.argmin(e))
+        lang.append("und" if best is None else m.languages[best])
+        score.append(0.0 if best is None else float(m.scores(e)[best]))
+        rejected.append(best is None or m.rejects(best, e[best], n))
+        bits.append(None if best is None else float(e[best]))
+    return [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_()), pa.array(bits, pa.float64())]
+
+
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, lang_pred, score, rejected, entropy.
 
     Null texts and texts without a letter are ``und``, score 0, rejected, entropy null. Others get the
     language of lowest cross-entropy (the first in alphabetical order of equals), rejected or not.
     """
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
+    return _scored(rows, model, "lang_pred string, score double, rejected boolean, entropy double", _verdicts).withColumnRenamed("__id", id_col)
 
-    def result(m: LanguageModel, found: list) -> list[pa.Array]:
-        lang, score, rejected, bits = [], [], [], []
-        for e, n in found:
-            best = None if e is None else int(np.argmin(e))
-            lang.append("und" if best is None else m.languages[best])
-            score.append(0.0 if best is None else float(m.scores(e)[best]))
-            rejected.append(best is None or m.rejects(best, e[best], n))
-            bits.append(None if best is None else float(e[best]))
-        return [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_()), pa.array(bits, pa.float64())]
 
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    return _scored(rows, model, "lang_pred string, score double, rejected boolean, entropy double", result).withColumnRenamed("__id", id_col)
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with their own columns; no shuffle."""
+    names = [f"__c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names).select("*", F.col(names[docs.columns.index(text_col)]).cast("string").alias("__text"))
+    judged = _scored(rows, model, "__lang string, __score double, __rejected boolean, __entropy double", _verdicts)
+    return judged.filter("not __rejected").select(*names).toDF(*docs.columns)
 
 
 def held_out(id_col: str = "doc_id"):

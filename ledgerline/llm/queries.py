@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, exact_dedup, language_id, licenses, pii, quality, sharding
+from ledgerline.llm import bpe, exact_dedup, language_id, licenses, minhash, mixing, pii, quality, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(documents(spark, sf_dir))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = pii.find_personal_data(docs, pii.fit(docs))
@@ -33,6 +37,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleaved_shards(documents(spark, sf_dir)).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
@@ -49,7 +57,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op4_pii, op5_quality_rules, op6_exact_dedup, op8_sharding, op9_license_scan, op10_language_id)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_mixing, op4_pii, op5_quality_rules, op6_exact_dedup, op7_minhash, op8_sharding, op9_license_scan, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, exact_dedup, language_id, licenses, minhash, mixing, pii, quality, sharding
+from ledgerline.llm import bpe, exact_dedup, language_id, licenses, minhash, mixing, pii, quality, sharding, substring_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = pii.find_personal_data(docs, pii.fit(docs))
@@ -57,7 +61,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_mixing, op4_pii, op5_quality_rules, op6_exact_dedup, op7_minhash, op8_sharding, op9_license_scan, op10_language_id)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_mixing, op3_substring_dedup, op4_pii, op5_quality_rules, op6_exact_dedup, op7_minhash, op8_sharding, op9_license_scan, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

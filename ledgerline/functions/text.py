@@ -84,19 +84,26 @@ def matched_words(c: Column, terms: Iterable[str]) -> Column:
     return F.array_compact(F.array(*[F.when(f.rlike(word_pattern(t)), F.lit(t)) for t in terms]))
 
 
+def hits(low: Column, term: str) -> Column:
+    """Places, from 1, where a term occurs in a text, without overlaps: an array, empty where it is not found.
+
+    The text is cut at the term and the lengths of the pieces are added up, so that a long text is read once.
+    """
+    pieces = F.split(low, re.escape(term), -1)
+    starts = F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda i: F.aggregate(F.slice(pieces, 1, i), F.lit(0), lambda n, p: n + F.length(p)) + (i - 1) * len(term) + 1)
+    return F.when(F.contains(low, F.lit(term)), starts).otherwise(F.array().cast("array<int>"))
+
+
 def has_unnegated(c: Column, terms: Iterable[str], negations: Sequence[str] = NEGATIONS, reach: int = 25) -> Column:
     """Whether a term occurs with no negation in the ``reach`` characters before it.
 
-    Each hit is looked at on its own: a text is cut at the hits of a term, and the end of each piece but
-    the last, with the term added where pieces are shorter than ``reach``, is what stands before a hit.
+    Each hit is looked at on its own.
     """
     t = F.lower(_text(c))
     negated = "|".join(re.escape(n) for n in negations)
 
     def one(term: str) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.length(t) + 1), lambda i: F.substring(t, i, F.lit(len(term))) == term)
-        free = F.exists(starts, lambda i: ~F.substring(t, F.greatest(i - reach, F.lit(1)), F.least(i - 1, F.lit(reach))).rlike(negated))
-        return F.when(F.contains(t, F.lit(term)), free).otherwise(False)
+        return F.exists(hits(t, term), lambda i: ~F.substring(t, F.greatest(i - reach, F.lit(1)), F.least(i - 1, F.lit(reach))).rlike(negated))
 
     return reduce(lambda a, b: a | b, [one(x) for x in terms], F.lit(False))
 
@@ -107,8 +114,7 @@ def excerpts(c: Column, terms: Sequence[str], field: str, reach: int = 60, negat
     negated = "|".join(re.escape(n) for n in negations)
 
     def one(term: str) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.length(low) + 1), lambda i: F.substring(low, i, F.lit(len(term))) == term)
-        free = F.filter(starts, lambda i: ~F.substring(low, F.greatest(i - look_back, F.lit(1)), F.least(i - 1, F.lit(look_back))).rlike(negated))
+        free = F.filter(hits(low, term), lambda i: ~F.substring(low, F.greatest(i - look_back, F.lit(1)), F.least(i - 1, F.lit(look_back))).rlike(negated))
         begin = lambda i: F.greatest(i - reach, F.lit(1))
         return F.transform(free, lambda i: F.struct(F.lit(field).alias("field"), F.trim(F.substring(t, begin(i), i + len(term) + reach - begin(i))).alias("excerpt")))
 
@@ -129,20 +135,25 @@ def sentence_nature(sentence: Column, negative: Sequence[str], alleged: Sequence
     return first_match([(no, "NEGATIVA_EXPLICITA"), (holds(alleged), "ALEGACAO_OU_INVESTIGACAO"), (holds(risk), "RISCO_OU_POSSIBILIDADE")], "SINAL_TEXTUAL_SEM_CONFIRMAR_CAUSALIDADE")
 
 
+def _holding(markers: Sequence[str]):
+    """A function of a folded sentence: whether it holds one of the markers."""
+    return lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(folded(m))) for m in markers], F.lit(False))
+
+
 def text_status(c: Column, ordered: Sequence[tuple[str, Sequence[str]]], empty: str, otherwise: str) -> Column:
     """The label of the first marker list with a marker in some sentence."""
     s = F.transform(sentences(c), fold)
-    rules = [(F.exists(s, lambda x, ms=ms: reduce(lambda a, b: a | b, [F.contains(x, F.lit(folded(m))) for m in ms])), label) for label, ms in ordered]
+    rules = [(F.exists(s, _holding(ms)), label) for label, ms in ordered]
     return first_match([(F.size(s) == 0, empty), *rules], otherwise)
 
 
 def worst_state(c: Column, themes: dict[str, Sequence[str]], negative: Sequence[str], uncertain: Sequence[str]) -> Column:
     """Map theme -> worst state over the sentences that name it: incerto > negado > afirmado (X11). Themes not named are absent."""
     s = F.transform(sentences(c), fold)
-    has = lambda x, ms: reduce(lambda a, b: a | b, [F.contains(x, F.lit(folded(m))) for m in ms], F.lit(False))
+    no, maybe = _holding(negative), _holding(uncertain)
     entries = []
     for theme, terms in themes.items():
-        ranks = F.transform(F.filter(s, lambda x, terms=terms: has(x, terms)), lambda x: F.when(has(x, uncertain), 3).when(has(x, negative), 2).otherwise(1))
+        ranks = F.transform(F.filter(s, _holding(terms)), lambda x: F.when(maybe(x), 3).when(no(x), 2).otherwise(1))
         state = F.element_at(F.array(F.lit("afirmado"), F.lit("negado"), F.lit("incerto")), F.array_max(ranks))
         entries.append(F.when(F.size(ranks) > 0, F.struct(F.lit(theme).alias("key"), state.alias("value"))))
     return F.map_from_entries(F.array_compact(F.array(*entries)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -15,3 +15,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
         found = "file://" + tempfile.mkdtemp(prefix="ledgerline-")
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/ledgerline-{uuid.uuid4().hex}/{name}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the shared folder. Rules with many steps are written before rows are chosen by
+    their result: a filter that is pushed below them would repeat each step's expression in the next."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from ledgerline.functions import keys
 from ledgerline.functions.numbers import call_cost
 from ledgerline.operators import joins
 from ledgerline.operators.rules import active_weights, banded, capped_score, cascade, listed
+from ledgerline.operators.shared import written
 from ledgerline.plans import calls, criticality, queue, scores, workflow
 from ledgerline.plans import vocabulary as V
 from ledgerline.queries.registry import Tables, query
@@ -116,7 +117,7 @@ x AS (SELECT *, array_to_string(list_filter([CASE WHEN desc_ THEN 'nao_avaliavel
 
 
 def _classified(t: Tables) -> DataFrame:
-    return criticality.classified_acts(_acts(t), F.lit(REF).cast("date"))
+    return written(criticality.classified_acts(_acts(t), F.lit(REF).cast("date")), "acts")
 
 
 @query(f"""WITH {_ACTS_SQL} SELECT id_evento, nivel, prioridade, pontuacao, objeto, fase, provisoria, bloqueios FROM x""")

@@ -178,7 +178,7 @@ def response_audit(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", F.array_join(calls.response_errors(body, F.col("text"), 3, ["resumo", "fatos"]), ",").alias("errors"))
 
 
-@query("""SELECT doc_id, sha256(trim(coalesce(text, ''), ' ')) AS line_hash, sha256(regexp_replace(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS input_hash FROM documents""")
+@query("""SELECT doc_id, sha256(trim(coalesce(text, ''), ' ')) AS line_hash, sha256(regexp_replace(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), '^\\s+|\\s+$', '', 'g')) AS input_hash FROM documents""")
 def text_hashes(t: Tables) -> DataFrame:
     """Hashes of lines and inputs (K5, K6)."""
     return t.documents.select("doc_id", keys.line_hash(F.col("text")).alias("line_hash"), keys.input_hash(F.col("text")).alias("input_hash"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces and states that one Python worker keeps; beyond, it starts anew. They bound memory only.
-PIECES_KEPT, STATES_KEPT = 400_000, 100_000
+PIECES_KEPT, STATES_KEPT = 600_000, 150_000
 #: Rows of an outgoing Arrow batch, and ids that a decoder takes at once.
 ROWS_OUT, IDS_AT_ONCE = 512, 1 << 16
 #: Rank of a pair that never merges.
@@ -48,7 +48,7 @@ class Transducer:
 
     def _reset(self) -> None:
         first = (b"", ((b"", ()),))
-        self.ids, self.states, self.moves = {first: 0}, [first], [{}]
+        self.ids, self.states, self.moves = {first: 0}, [first], {}
 
     def _edges(self, token: bytes) -> tuple[list, list] | None:
         """How the token's last and first part grow while it is merged: pairs of the part and the rank at
@@ -104,33 +104,47 @@ class Transducer:
 
     def _move(self, state: int, byte: bytes) -> tuple[int, bytes]:
         before, open_ = self.states[state]
-        live, here = [], None
+        ranks, starts, pairs, live, here = self.ranks, self.starts, self.pairs, [], None
         for tail, chain in open_:
             tail += byte
-            if here is None and tail in self.ranks and self.edges(tail):
+            if here is None and tail in ranks and self.edges(tail):
                 last = chain[-1] if chain else before
-                if not last or self.compatible(last, tail):
+                fits = not last or pairs.get((last, tail))
+                if fits is None:
+                    fits = self.compatible(last, tail)
+                if fits:
                     here = (*chain, tail)
-            if tail in self.starts:
+            if tail in starts:
                 live.append((tail, chain))
         if here is None:
             raise ValueError(f"no token ends with byte {byte!r}: the ranks lack single bytes")
-        live.append((b"", here))
+        # Every chain begins with what the least and the greatest begin with.
+        low = high = here
+        for _, chain in live:
+            if chain < low:
+                low = chain
+            elif chain > high:
+                high = chain
         sure = 0
-        shortest = min(len(c) for _, c in live)
-        while sure < shortest and all(c[sure] == here[sure] for _, c in live):
+        for x, y in zip(low, high):
+            if x != y:
+                break
             sure += 1
-        open_now = tuple([(t, c[sure:]) for t, c in live])
+        live.append((b"", here))
+        out = b""
+        if sure:
+            live = [(t, c[sure:]) for t, c in live]
+            before, out = here[sure - 1], self._packed(here[:sure])
         # The last sure token matters only while a position right after it is open.
-        target = ((here[sure - 1] if sure else before) if any(not c for _, c in open_now) else b"", open_now)
-        if target not in self.ids:
-            self.ids[target] = len(self.states)
+        target = (before if any([not c for _, c in live]) else b"", tuple(live))
+        found = self.ids.get(target)
+        if found is None:
+            found = self.ids[target] = len(self.states)
             self.states.append(target)
-            self.moves.append({})
-        return self.ids[target], self._packed(here[:sure])
+        return found, out
 
     def _packed(self, tokens: tuple[bytes, ...]) -> bytes:
-        return b"".join(self.ranks[t].to_bytes(4, "little") for t in tokens)
+        return b"".join([self.ranks[t].to_bytes(4, "little") for t in tokens])
 
     def encode(self, piece: bytes) -> bytes:
         """Ids of a piece, each as a little-endian unsigned 32-bit integer."""
@@ -138,16 +152,16 @@ class Transducer:
             return self._packed((piece,))
         if len(self.states) > STATES_KEPT:
             self._reset()
-        state, out = 0, []
+        state, out, moves = 0, [], self.moves
         for b in piece:
-            move = self.moves[state].get(b)
+            move = moves.get(state << 8 | b)
             if move is None:
-                move = self.moves[state][b] = self._move(state, bytes((b,)))
+                move = moves[state << 8 | b] = self._move(state, bytes((b,)))
             state = move[0]
             if move[1]:
                 out.append(move[1])
         if piece:
-            out.append(self._packed(next(c for t, c in self.states[state][1] if not t)))
+            out.append(self._packed(self.states[state][1][-1][1]))
         return b"".join(out)
 
 

@@ -1,7 +1,8 @@
 """Proportional stratified interleaving: shards that all hold the mixture of the sources.
 
 Rows are shuffled by a seeded hash and ranked within their source; the fractional rank
-(rank - 1/2) / size of the source spreads every source evenly over [0, 1]. Cutting the order by
+(rank - 1 + u) / size of the source, u a seeded number in [0, 1) of the source, spreads every source
+evenly over [0, 1), and many small sources over different places. Cutting the order by
 fractional rank into equal runs gives every shard each source in proportion, one row more or less.
 
 Neither rank is taken over a whole source or table in one task: a fixed number of buckets of the
@@ -46,7 +47,8 @@ def interleaved_shards(docs: DataFrame, shards: int = 16, seed: str = "shard-0",
     )
     by_source = ["__source"]
     ranked = _ranked(rows, rows.select("__source", "__b"), by_source, "__b", ["__h", "__id", "text_crc32", "size"], "__rank", "__of")
-    spread = ranked.withColumn("__part", (F.col("__rank") - F.lit(0.5)) / F.col("__of")).withColumn("__c", F.floor(F.col("__part") * BUCKETS).cast("int")).withColumn("__all", F.lit(0))
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("__source"))), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    spread = ranked.withColumn("__part", (F.col("__rank") - 1 + offset) / F.col("__of")).withColumn("__c", F.floor(F.col("__part") * BUCKETS).cast("int")).withColumn("__all", F.lit(0))
     placed = _ranked(spread, spread.select("__all", "__c"), ["__all"], "__c", ["__part", "__source", "__h", "__id", "text_crc32", "size"], "__at", "__rows")
     exact = placed.select("*", F.expr(f"(__at - 1) * {shards} div __rows").cast("int").alias("shard"))
     return exact.select(
@@ -59,7 +61,7 @@ def interleaved_shards(docs: DataFrame, shards: int = 16, seed: str = "shard-0",
 PLACES_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce('=' || source, '') AS s, md5(concat_ws('|', 'shard-0', CAST(doc_id AS VARCHAR))) AS h, strlen(coalesce(text, '')) + 1 AS size FROM documents),
-r AS (SELECT *, (row_number() OVER (PARTITION BY s ORDER BY h, doc_id) - 0.5::DOUBLE) / (count(*) OVER (PARTITION BY s)) AS part FROM d),
-g AS (SELECT *, row_number() OVER (ORDER BY part, s, h, doc_id) - 1 AS at, count(*) OVER () AS n FROM r)
-SELECT doc_id, size, 'rows' AS law, CAST(at * 16 // n AS INTEGER) AS shard, CAST(at - ((at * 16 // n) * n + 15) // 16 AS INTEGER) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM g
+r AS (SELECT *, (row_number() OVER (PARTITION BY s ORDER BY h, doc_id) - 1 + CAST('0x' || substring(md5('shard-0|' || s), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE) / (count(*) OVER (PARTITION BY s)) AS part FROM d),
+g AS (SELECT *, row_number() OVER (ORDER BY part, s, h, doc_id) - 1 AS pos, count(*) OVER () AS n FROM r)
+SELECT doc_id, size, 'rows' AS law, CAST(pos * 16 // n AS INTEGER) AS shard, CAST(pos - ((pos * 16 // n) * n + 15) // 16 AS INTEGER) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM g
 """

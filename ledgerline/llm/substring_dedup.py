@@ -101,6 +101,13 @@ class Windows:
         """Distinct places of seeds, in order."""
         return self.seed_at[np.concatenate([[True], self.seed_at[1:] != self.seed_at[:-1]])] if len(self.seed_at) else self.seed_at
 
+    def runs(self) -> list[tuple[int, int, int]]:
+        """(hash of the seed, first window, last window + 1) of each run of windows with one seed."""
+        if not len(self.seed_at):
+            return []
+        starts = np.flatnonzero(np.concatenate([[True], self.seed_at[1:] != self.seed_at[:-1]]))
+        return list(zip(self.phrase[self.seed_at[starts]].view(np.int64).tolist(), starts.tolist(), [*starts[1:].tolist(), len(self.seed_at)]))
+
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -143,12 +150,7 @@ def contexts(candidates: DataFrame) -> DataFrame:
             for key, text, seeds in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()):
                 shard_of = {s["seed"]: s["shard"] for s in seeds}
                 found = Windows(words_of(text), hashes)
-                if not len(found.seed_at):
-                    continue
-                starts = np.flatnonzero(np.concatenate([[True], found.seed_at[1:] != found.seed_at[:-1]]))
-                ends = np.append(starts[1:], len(found.seed_at))
-                names = found.phrase[found.seed_at[starts]].view(np.int64).tolist()
-                for seed, a, b in zip(names, starts.tolist(), ends.tolist()):
+                for seed, a, b in found.runs():
                     if seed in shard_of:
                         out[0].append(seed)
                         out[1].append(shard_of[seed])
@@ -170,16 +172,15 @@ def stretches(candidates: DataFrame) -> DataFrame:
                 shard_of = {s["seed"]: s["shard"] for s in seeds}
                 words = words_of(text)
                 found = Windows(words, hashes)
-                names = found.phrase[found.seed_at].view(np.int64).tolist() if len(found.seed_at) else []
                 shards: dict[int, list[list[int]]] = {}
-                for s, seed in enumerate(names):
+                for seed, a, b in found.runs():
                     shard = shard_of.get(seed)
                     if shard is not None:
                         ranges = shards.setdefault(shard, [])
-                        if ranges and s <= ranges[-1][1]:
-                            ranges[-1][1] = s + WINDOW
+                        if ranges and a <= ranges[-1][1]:
+                            ranges[-1][1] = b - 1 + WINDOW
                         else:
-                            ranges.append([s, s + WINDOW])
+                            ranges.append([a, b - 1 + WINDOW])
                 for shard, ranges in shards.items():
                     for a, b in ranges:
                         out[0].append(shard)
@@ -192,86 +193,114 @@ def stretches(candidates: DataFrame) -> DataFrame:
 
 
 class PhraseAutomaton:
-    """Recurring passages of a shard, found through the automaton of their seed phrases."""
+    """Recurring passages of a shard, found through the automaton of their seed phrases.
+
+    Passages stand one after the other in ``text`` as word numbers; ``keys`` are the sorted hashes of
+    their windows and ``at`` where each begins.
+    """
 
     def __init__(self, hashes: WordHashes):
         self.hashes, self.numbers = hashes, {}
-        self.passages: list[list[int]] = []
-        self.places: dict[int, tuple[int, int]] = {}
+        self.size, self.parts, self.key_parts, self.at_parts = 0, [], [], []
         self.phrases: set[tuple[int, ...]] = set()
         self.automaton = None
 
-    def add(self, words: list[bytes], recurring: set[int]) -> None:
-        """Takes from a stretch the windows whose hash is recurring."""
+    def add(self, words: list[bytes], recurring: np.ndarray) -> None:
+        """Takes from a stretch the windows whose hash is among the sorted ``recurring``."""
         found = Windows(words, self.hashes)
-        numbers, mine = None, -1
-        for s, h in enumerate(found.window.view(np.int64).tolist()):
-            if h in recurring and h not in self.places:
-                if numbers is None:
-                    numbers = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words]
-                    mine = len(self.passages)
-                    self.passages.append(numbers)
-                self.places[h] = (mine, s)
-                p = int(found.seed_at[s])
-                self.phrases.add(tuple(numbers[p : p + PHRASE]))
+        mine = np.flatnonzero(self._places(found.window.view(np.int64), recurring)[1])
+        if not len(mine):
+            return
+        numbers = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words]
+        self.parts.append(np.array(numbers, np.int32))
+        self.key_parts.append(found.window.view(np.int64)[mine])
+        self.at_parts.append(mine + self.size)
+        self.size += len(numbers)
+        self.phrases.update(tuple(numbers[p : p + PHRASE]) for p in np.unique(found.seed_at[mine]).tolist())
 
     def compile(self) -> None:
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
         for phrase in self.phrases:
             self.automaton.add_word(phrase)
-        self.phrases = set()
-        if len(self.automaton):
+        if self.phrases:
             self.automaton.make_automaton()
+            self.text = np.concatenate(self.parts)
+            self.keys, first = np.unique(np.concatenate(self.key_parts), return_index=True)
+            self.at = np.concatenate(self.at_parts)[first]
+        self.phrases, self.parts, self.key_parts, self.at_parts = set(), [], [], []
+
+    @staticmethod
+    def _places(names: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``keys``, whether it is there) of each name."""
+        if not len(keys):
+            return np.zeros(len(names), np.int64), np.zeros(len(names), bool)
+        at = np.minimum(np.searchsorted(keys, names), len(keys) - 1)
+        return at, keys[at] == names
 
     def occurrences(self, words: list[bytes]) -> list[tuple[int, int]]:
-        """Ranges of words covered by windows of the passages, merged, in order."""
-        if not self.automaton or len(words) < WINDOW:
+        """Ranges of words covered by windows of the passages, merged, in order.
+
+        Windows around the automaton's hits are looked up, and runs of windows that continue a passage
+        are compared with it word by word.
+        """
+        if not len(self.automaton) or len(words) < WINDOW:
             return []
-        numbers = tuple([self.numbers.get(w, 0) for w in words])
-        hits = [end - PHRASE + 1 for end, _ in self.automaton.iter(numbers)]
+        get = self.numbers.get
+        numbers = [get(w, 0) for w in words]
+        hits = [end for end, _ in self.automaton.iter(tuple(numbers))]
         if not hits:
             return []
-        names = Windows(words, self.hashes).window.view(np.int64).tolist()
+        last = len(words) - WINDOW
+        p = np.array(hits) - (PHRASE - 1)
+        near = np.zeros(last + 2, np.int64)
+        np.add.at(near, np.minimum(np.maximum(p - SPAN + 1, 0), last + 1), 1)
+        np.add.at(near, np.minimum(p, last) + 1, -1)
+        names = Windows(words, self.hashes).window.view(np.int64)
+        place, there = self._places(names, self.keys)
+        s = np.flatnonzero(there & (np.cumsum(near)[:-1] > 0))
+        if not len(s):
+            return []
+        at, mine = self.at[place[s]], np.array(numbers, np.int32)
+        cut = np.flatnonzero((np.diff(s) != 1) | (np.diff(at) != 1)) + 1
         out: list[list[int]] = []
-        tested, before = 0, None
-        for p in hits:
-            for s in range(max(tested, p - SPAN + 1), min(p, len(names) - 1) + 1):
-                place = self.places.get(names[s])
-                if place:
-                    passage, at = self.passages[place[0]], place[1]
-                    # After an equal window of the same passage only one more word is new.
-                    known = WINDOW - 1 if before == (s - 1, place[0], at - 1) else 0
-                    if list(numbers[s + known : s + WINDOW]) == passage[at + known : at + WINDOW]:
-                        before = (s, *place)
-                        if out and s <= out[-1][1]:
-                            out[-1][1] = s + WINDOW
-                        else:
-                            out.append([s, s + WINDOW])
-            tested = max(tested, p + 1)
-        return [(a, b) for a, b in out]
+        for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(s)]):
+            a, n, o = int(s[i]), j - i + WINDOW - 1, int(at[i])
+            same = mine[a : a + n] == self.text[o : o + n]
+            spans = [(a, a + n)] if same.all() else [(a + k, a + k + WINDOW) for k in range(j - i) if same[k : k + WINDOW].all()]
+            for x, y in spans:
+                if out and x <= out[-1][1]:
+                    out[-1][1] = max(out[-1][1], y)
+                else:
+                    out.append([x, y])
+        return [(x, y) for x, y in out]
 
 
 def located(dealt: DataFrame) -> DataFrame:
     """(__id, a, b) of every occurrence. ``dealt``: shard, salt, kind, __id, start, words, windows, each
-    (shard, salt) in one partition, its passages (kind 0) before the stretches to search (kind 1)."""
+    (shard, salt) in one partition: hashes of recurring windows by the document that represents them
+    (kind 0), those documents' stretches (1), then the stretches to search (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, at, machine = WordHashes(), None, None
+        hashes, at, machine, recurring = WordHashes(), None, None, {}
         for part in _batches(batches):
             out: tuple[list, list, list] = ([], [], [])
-            for r in part.to_pylist():
-                if at != (r["shard"], r["salt"]):
-                    at, machine = (r["shard"], r["salt"]), PhraseAutomaton(hashes)
-                words = r["words"].split(b" ")
-                if r["kind"] == 0:
-                    machine.add(words, set(r["windows"]))
+            for shard, salt, kind, key, start, data, windows in zip(*[part.column(c).to_pylist() for c in ("shard", "salt", "kind", "__id", "start", "words", "windows")]):
+                if at != (shard, salt):
+                    at, machine, recurring = (shard, salt), PhraseAutomaton(hashes), {}
+                if kind == 0:
+                    recurring[key] = np.sort(np.array(windows, np.int64))
+                    continue
+                words = data.split(b" ")
+                if kind == 1:
+                    machine.add(words, recurring[key])
                     continue
                 if machine.automaton is None:
                     machine.compile()
+                    recurring = {}
                 for a, b in machine.occurrences(words):
-                    out[0].append(r["__id"])
-                    out[1].append(r["start"] + a)
-                    out[2].append(r["start"] + b)
+                    out[0].append(key)
+                    out[1].append(start + a)
+                    out[2].append(start + b)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["__id", "a", "b"])
 
     return dealt.mapInArrow(run, "__id bigint, a bigint, b bigint")
@@ -319,17 +348,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lists = plain.select("__id", F.explode("seeds").alias("seed")).join(sharded, "seed").groupBy("__id").agg(F.collect_list(F.struct("seed", "shard")).alias("seeds"))
     candidates = settled(rows.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(lists, "__id").select("__id", "text", "seeds"), "repeats-candidates")
     # Copies give equal lists of windows and collapse before windows are counted one by one.
-    lists = contexts(candidates).groupBy("seed", "shard", "windows").agg(F.count("*").alias("n"), F.min("__id").alias("of"))
+    lists = contexts(candidates).groupBy("seed", "windows").agg(F.count("*").alias("n"), F.min("__id").alias("of"), F.min("shard").alias("shard"))
     single = lists.select("seed", "shard", "n", "of", F.explode("windows").alias("window"))
-    passages = single.groupBy("seed", "shard", "window").agg(F.sum("n").alias("n"), F.min("of").alias("of")).filter("n > 1")
+    passages = single.groupBy("seed", "window").agg(F.sum("n").alias("n"), F.min("of").alias("of"), F.min("shard").alias("shard")).filter("n > 1")
     providers = settled(passages.groupBy("shard", "of").agg(F.collect_list("window").alias("windows")), "repeats-passages")
     pieces = settled(stretches(candidates), "repeats-stretches")
     busy = pieces.groupBy("shard").agg(F.ceil(F.count("*") / LOAD_A_TASK).cast("int").alias("salts"))
     live = busy.join(providers.select("shard").distinct(), "shard")
-    told = pieces.join(providers, (pieces["shard"] == providers["shard"]) & (pieces["__id"] == providers["of"])).select(pieces["shard"], "__id", "start", "words", "windows").join(live, "shard")
-    patterns = told.select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "__id", "start", "words", "windows")
-    texts = pieces.join(live, "shard").select("shard", F.pmod(F.xxhash64("__id"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "__id", "start", "words", F.lit(None).cast("array<bigint>").alias("windows"))
-    dealt = patterns.unionByName(texts).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
+    salts = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    hashes = providers.join(live, "shard").select("shard", salts, F.lit(0).alias("kind"), F.col("of").alias("__id"), F.lit(0).cast("bigint").alias("start"), F.lit(None).cast("binary").alias("words"), "windows")
+    told = pieces.join(providers.select("shard", F.col("of").alias("__id")), ["shard", "__id"], "left_semi").join(live, "shard")
+    none = F.lit(None).cast("array<bigint>").alias("windows")
+    patterns = told.select("shard", salts, F.lit(1).alias("kind"), "__id", "start", "words", none)
+    texts = pieces.join(live, "shard").select("shard", F.pmod(F.xxhash64("__id"), F.col("salts")).cast("int").alias("salt"), F.lit(2).alias("kind"), "__id", "start", "words", none)
+    dealt = hashes.unionByName(patterns).unionByName(texts).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
     cut = settled(removed(candidates, located(dealt)), "repeats-removed")
     done = cut.select("__id", "n_removed", "kept_sha256", "kept").filter("n_removed > 0").dropDuplicates(["__id"])
     out = plain.select("__id", "n_words", "sha").join(done, "__id", "left")

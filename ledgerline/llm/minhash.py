@@ -7,13 +7,17 @@
    counts, corrected for chance agreement of low bits; only pairs far below the limit are let go.
 4. Pairs left are confirmed on full sets: 100 * intersection >= 75 * union.
 
-No bucket is ever expanded into all its pairs. First each class meets the two ends (smallest and
-largest id) of its buckets, the three most similar of them confirmed; connected components follow.
-Only members of *different* components that still share a bucket are paired after that, so large
-groups of near copies cost a few pairs a member, and no link between components is lost.
+No bucket is ever expanded into all its pairs. First each class meets two leaders of each of its
+buckets, the most central member (the one whose buckets hold most) and the smallest id; the three most
+similar of them are confirmed, and connected components follow. Only members of *different* components
+that still share a bucket are paired after that, and of them only pairs that their own shingles allow:
+a link needs 7 * intersection >= 3 * (sum of sizes), and shingles that no other open document has cannot
+be in an intersection. What is left is estimated again inside the join, from 2,048 one-bit minima, which
+only these documents have. So heavily edited members of a large group, which link with nobody, cost a
+count and a few bit operations and not a comparison of sets with the group.
 
 A pair at the limit of 0.75 shares none of the 32 bands with probability 6e-6, and has an estimate
-below the margin with about 1e-7.
+below its margin, five standard errors down, with about 3e-7.
 """
 
 from __future__ import annotations
@@ -34,13 +38,17 @@ BANDS, ROWS, BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
 #: Five standard errors of an estimate from 128 minima below 0.75.
 MARGIN = 0.55
-#: Ends of buckets that a class is confirmed against before cross-component pairs are looked for.
+#: Leaders that a class is confirmed against before cross-component pairs are looked for.
 BEST = 3
+#: One-bit minima of the second estimate, the bit that is kept, and its margin.
+FINE, FINE_BIT, FINE_MARGIN = 2048, 5, 0.677
 WORDS_KEPT, BLOCK, ROWS_OUT = 400_000, 4096, 1024
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(20240229)
 _A = (_SEEDS.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
 _B = _SEEDS.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32)[:, None]
+_FINE_A = (_SEEDS.integers(0, 1 << 32, FINE, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
+_FINE_B = _SEEDS.integers(0, 1 << 32, FINE, dtype=np.uint64).astype(np.uint32)[:, None]
 _UPPER = bytes(range(65, 91))
 _LOWERED = bytes.maketrans(_UPPER, _UPPER.lower())
 
@@ -69,11 +77,11 @@ def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
     return np.unique(h)
 
 
-def minima(found: np.ndarray) -> np.ndarray:
+def minima(found: np.ndarray, a: np.ndarray = _A, b: np.ndarray = _B, block: int = BLOCK) -> np.ndarray:
     x = (found >> np.uint64(32)).astype(np.uint32)
-    out = np.full(MINIMA, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(x), BLOCK):
-        np.minimum(out, (_A * x[None, at : at + BLOCK] + _B).min(axis=1), out=out)
+    out = np.full(len(a), 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(x), block):
+        np.minimum(out, (a * x[None, at : at + block] + b).min(axis=1), out=out)
     return out
 
 
@@ -163,6 +171,42 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Da
     return rows.join(ids, "__id", "left_semi").mapInArrow(run, "__id bigint, set binary").dropDuplicates(["__id"])
 
 
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """id, own: how many of a document's shingles no other document of ``sets`` has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                found = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+                ids = np.repeat(np.asarray(part.column(0)), [len(x) for x in found])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate(found), pa.int64())], ["id", "shingle"])
+
+    rows = sets.select("__id", "set").mapInArrow(run, "id bigint, shingle bigint")
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).filter("n = 1")
+    return alone.groupBy("id").agg(F.count("*").alias("own"))
+
+
+def fine_signatures(sets: DataFrame) -> DataFrame:
+    """id, fine: one bit of each of 2,048 minima, 64 to a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x in batch.column(1):
+                low = minima(np.frombuffer(x.as_buffer(), np.uint64), _FINE_A, _FINE_B, 512)
+                out.append(np.packbits((low >> np.uint32(FINE_BIT)).astype(np.uint8) & 1).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["id", "fine"])
+
+    return sets.select("__id", "set").mapInArrow(run, "id bigint, fine array<bigint>")
+
+
+def fine_estimate(a: str, b: str) -> Column:
+    """Similarity by equal single bits, corrected for chance: 2 * share - 1."""
+    unequal = reduce(lambda p, q: p + q, [F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(FINE // 64)])
+    return 1 - unequal * F.lit(2.0 / FINE)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """__id, component: the smallest id reachable, for every id in ``edges`` (a, b).
 
@@ -192,38 +236,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     found = settled(profiles(docs, id_col, text_col), "minhash-profiles")
     # Signature and bands follow from the set, so those of any member are those of the class.
-    classes = settled(found.filter("n > 0 and __id is not null").groupBy("same").agg(F.min("__id").alias("id"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "minhash-classes")
+    first_of = [F.min("__id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")]
+    classes = settled(found.filter("n > 0 and __id is not null").groupBy("same").agg(*first_of), "minhash-classes")
     buckets = classes.select("id", F.explode("bands").alias("band"))
-    ends = buckets.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high")
-    shared = settled(buckets.join(ends, "band"), "minhash-buckets")
-    signed = classes.select(F.col("id"), "sig")
+    sizes = buckets.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = settled(buckets.join(sizes, "band"), "minhash-buckets")
+    central = shared.groupBy("id").agg(F.sum("size").alias("central"))
+    leaders = shared.join(central, "id").groupBy("band").agg(F.min("id").alias("low"), F.max_by("id", F.struct("central", -F.col("id"))).alias("hub"))
+    signed = classes.select("id", "sig")
 
     def likely(pairs: DataFrame) -> DataFrame:
         one, two = signed.select(F.col("id").alias("a"), F.col("sig").alias("p")), signed.select(F.col("id").alias("b"), F.col("sig").alias("q"))
         return pairs.join(one, "a").join(two, "b").select("a", "b", estimate("p", "q").alias("est")).filter(F.col("est") >= MARGIN)
 
-    met = shared.select("id", F.explode(F.array("low", "high")).alias("end")).filter("id <> end").distinct()
+    met = shared.join(leaders, "band").select("id", F.explode(F.array("low", "hub")).alias("end")).filter("id <> end").distinct()
     first = likely(met.select(F.col("id").alias("a"), F.col("end").alias("b")))
     best = first.groupBy("a").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("est", "b")))), 1, BEST).alias("best"))
     tried = best.select("a", F.explode("best.b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tried = settled(tried, "minhash-tried")
-
-    def links(pairs: DataFrame, name: str) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
-        sets = settled(full_sets(docs, ids, id_col, text_col), f"{name}-sets")
-        return settled(confirmed(pairs, sets), name)
-
-    edges = links(tried, "minhash-links")
+    sets = settled(full_sets(docs, shared.select(F.col("id").alias("__id")).distinct(), id_col, text_col), "minhash-sets")
+    edges = settled(confirmed(tried, sets), "minhash-links")
     labels = components(edges, "minhash-first")
     # Members of different components that share a bucket: whatever was not tried is tried now.
     marked = shared.select("id", "band").join(labels.withColumnRenamed("__id", "id"), "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
     mixed = marked.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c <> d").select("band")
     open_ = settled(marked.join(mixed, "band", "left_semi"), "minhash-open")
-    other = open_.select("band", F.col("id").alias("b"), F.col("component").alias("d"))
-    across = open_.select("band", F.col("id").alias("a"), F.col("component").alias("c")).join(other, "band").filter("a < b and c <> d").select("a", "b").distinct()
-    rest = settled(likely(across.join(tried, ["a", "b"], "left_anti")).select("a", "b"), "minhash-rest")
+    open_ids = open_.select("id").distinct()
+    own = own_shingles(sets.join(open_ids.withColumnRenamed("id", "__id"), "__id", "left_semi"))
+    able = open_ids.join(classes.select("id", "n"), "id").join(own, "id", "left").select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")).filter("4 * most >= 3 * n")
+    able = settled(able, "minhash-able")
+    fine = fine_signatures(sets.join(able.select(F.col("id").alias("__id")), "__id", "left_semi"))
+    side = settled(open_.join(able, "id").join(fine, "id"), "minhash-sides")
+    one = side.select("band", F.col("id").alias("a"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("most").alias("f"), F.col("fine").alias("p"))
+    two = side.select("band", F.col("id").alias("b"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("most").alias("g"), F.col("fine").alias("q"))
+    close = (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & (7 * F.least("f", "g") >= 3 * (F.col("m") + F.col("k"))) & (fine_estimate("p", "q") >= FINE_MARGIN)
+    across = one.join(two, (one["band"] == two["band"]) & close).select("a", "b").distinct()
+    rest = settled(across.join(tried, ["a", "b"], "left_anti"), "minhash-rest")
     if not rest.isEmpty():
-        labels = components(edges.union(links(rest, "minhash-more")), "minhash-all")
+        labels = components(edges.union(settled(confirmed(rest, sets), "minhash-more")), "minhash-all")
     label_of = labels.withColumnRenamed("__id", "id")
     named = classes.select("same", "id").join(label_of, "id", "left").select("same", F.coalesce("component", "id").alias("component"))
     out = found.select("__id", "n", "same").join(named, "same", "left")

@@ -13,7 +13,7 @@ similar of them are confirmed, and connected components follow. Only members of
 that still share a bucket are paired after that, and of them only pairs that their own shingles allow:
 a link needs 7 * intersection >= 3 * (sum of sizes), and shingles that no other open document has cannot
 be in an intersection. What is left is estimated again inside the join, from 2,048 one-bit minima, which
-only these documents have. So heavily edited members of a large group, which link with nobody, cost a
+only these documents have, and leaves the join in the smallest of its shared bands alone. So heavily edited members of a large group, which link with nobody, cost a
 count and a few bit operations and not a comparison of sets with the group.
 
 A pair at the limit of 0.75 shares none of the 32 bands with probability 6e-6, and has an estimate
@@ -266,11 +266,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     able = open_ids.join(classes.select("id", "n"), "id").join(own, "id", "left").select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")).filter("4 * most >= 3 * n")
     able = settled(able, "minhash-able")
     fine = fine_signatures(sets.join(able.select(F.col("id").alias("__id")), "__id", "left_semi"))
-    side = settled(open_.join(able, "id").join(fine, "id"), "minhash-sides")
-    one = side.select("band", F.col("id").alias("a"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("most").alias("f"), F.col("fine").alias("p"))
-    two = side.select("band", F.col("id").alias("b"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("most").alias("g"), F.col("fine").alias("q"))
+    side = settled(open_.join(able.join(fine, "id").join(classes.select("id", "bands"), "id"), "id"), "minhash-sides")
+    one = side.select("band", F.col("id").alias("a"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("most").alias("f"), F.col("fine").alias("p"), F.col("bands").alias("x"))
+    two = side.select("band", F.col("id").alias("b"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("most").alias("g"), F.col("fine").alias("q"), F.col("bands").alias("y"))
     close = (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & (7 * F.least("f", "g") >= 3 * (F.col("m") + F.col("k"))) & (fine_estimate("p", "q") >= FINE_MARGIN)
-    across = one.join(two, (one["band"] == two["band"]) & close).select("a", "b").distinct()
+    # A shared band of two components is a mixed bucket, so the smallest shared one is always among ``side``.
+    once = F.array_min(F.array_intersect("x", "y")) == one["band"]
+    across = one.join(two, (one["band"] == two["band"]) & close & once).select("a", "b")
     rest = settled(across.join(tried, ["a", "b"], "left_anti"), "minhash-rest")
     if not rest.isEmpty():
         labels = components(edges.union(settled(confirmed(rest, sets), "minhash-more")), "minhash-all")

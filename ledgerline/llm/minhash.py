@@ -12,12 +12,13 @@ buckets, the most central member (the one whose buckets hold most) and the small
 similar of them are confirmed, and connected components follow. Only members of *different* components
 that still share a bucket are paired after that, and of them only pairs that their own shingles allow:
 a link needs 7 * intersection >= 3 * (sum of sizes), and shingles that no other open document has cannot
-be in an intersection. What is left is estimated again inside the join, from 2,048 one-bit minima, which
-only these documents have, and leaves the join in the smallest of its shared bands alone. So heavily edited members of a large group, which link with nobody, cost a
-count and a few bit operations and not a comparison of sets with the group.
+be in an intersection. What is left is judged again inside the join: where the smaller set has under 64
+shingles by the two sets themselves, else by an estimate from 2,048 one-bit minima, and leaves the join in
+the smallest of its shared bands alone. So heavily edited members of a large group, which link with nobody,
+cost a count and a few bit operations and not a comparison of sets with the group.
 
-A pair at the limit of 0.75 shares none of the 32 bands with probability 6e-6, and has an estimate
-below its margin, five standard errors down, with about 3e-7.
+A pair at the limit of 0.75 shares none of the 32 bands with probability 6e-6. If both sets have at least 64
+shingles, its second estimate falls below the margin with about 3e-7; smaller sets are never let go by an estimate.
 """
 
 from __future__ import annotations
@@ -40,8 +41,12 @@ MINIMA = BANDS * ROWS
 MARGIN = 0.55
 #: Leaders that a class is confirmed against before cross-component pairs are looked for.
 BEST = 3
-#: One-bit minima of the second estimate, the bit that is kept, and its margin.
-FINE, FINE_BIT, FINE_MARGIN = 2048, 5, 0.677
+#: One-bit minima of the second estimate, and its margin: five standard errors below 0.75.
+FINE, FINE_MARGIN = 2048, 0.677
+#: Pairs whose smaller set has fewer shingles than this are compared by their sets and never estimated;
+#: a set that can link with such a one has at most MOST_FEW.
+FEW = 64
+MOST_FEW = (FEW - 1) * HIGH // LOW
 WORDS_KEPT, BLOCK, ROWS_OUT = 400_000, 4096, 1024
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(20240229)
@@ -85,6 +90,16 @@ def minima(found: np.ndarray, a: np.ndarray = _A, b: np.ndarray = _B, block: int
     return out
 
 
+def avalanche(low: np.ndarray) -> np.ndarray:
+    """Every bit of 32-bit numbers made to depend on all of them. The low bits of a * x + b depend on those of x
+    alone, under every a and b; a bit kept of the minimum must not."""
+    h = low ^ (low >> np.uint32(16))
+    h = h * np.uint32(0x85EBCA6B)
+    h = h ^ (h >> np.uint32(13))
+    h = h * np.uint32(0xC2B2AE35)
+    return h ^ (h >> np.uint32(16))
+
+
 def packed(low: np.ndarray) -> np.ndarray:
     """The low bits of the minima, 16 to a 64-bit word."""
     lanes = (low & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(-1, 64 // BITS)
@@ -187,18 +202,22 @@ def own_shingles(sets: DataFrame) -> DataFrame:
     return alone.groupBy("id").agg(F.count("*").alias("own"))
 
 
+def fine_bits(found: np.ndarray) -> np.ndarray:
+    """One bit of each of 2,048 minima, 64 to a word."""
+    return np.packbits(avalanche(minima(found, _FINE_A, _FINE_B, 512)).astype(np.uint8) & 1).view(np.int64)
+
+
 def fine_signatures(sets: DataFrame) -> DataFrame:
-    """id, fine: one bit of each of 2,048 minima, 64 to a word."""
+    """id, fine (bits of sets of at least ``FEW`` shingles), few (sets that may link with smaller ones)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for x in batch.column(1):
-                low = minima(np.frombuffer(x.as_buffer(), np.uint64), _FINE_A, _FINE_B, 512)
-                out.append(np.packbits((low >> np.uint32(FINE_BIT)).astype(np.uint8) & 1).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["id", "fine"])
+            found = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
+            fine = [fine_bits(x) if len(x) >= FEW else None for x in found]
+            few = [x.view(np.int64) if len(x) <= MOST_FEW else None for x in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fine, pa.list_(pa.int64())), pa.array(few, pa.list_(pa.int64()))], ["id", "fine", "few"])
 
-    return sets.select("__id", "set").mapInArrow(run, "id bigint, fine array<bigint>")
+    return sets.select("__id", "set").mapInArrow(run, "id bigint, fine array<bigint>, few array<bigint>")
 
 
 def fine_estimate(a: str, b: str) -> Column:
@@ -267,9 +286,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     able = settled(able, "minhash-able")
     fine = fine_signatures(sets.join(able.select(F.col("id").alias("__id")), "__id", "left_semi"))
     side = settled(open_.join(able.join(fine, "id").join(classes.select("id", "bands"), "id"), "id"), "minhash-sides")
-    one = side.select("band", F.col("id").alias("a"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("most").alias("f"), F.col("fine").alias("p"), F.col("bands").alias("x"))
-    two = side.select("band", F.col("id").alias("b"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("most").alias("g"), F.col("fine").alias("q"), F.col("bands").alias("y"))
-    close = (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & (7 * F.least("f", "g") >= 3 * (F.col("m") + F.col("k"))) & (fine_estimate("p", "q") >= FINE_MARGIN)
+    one = side.select("band", F.col("id").alias("a"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("most").alias("f"), F.col("fine").alias("p"), F.col("few").alias("s"), F.col("bands").alias("x"))
+    two = side.select("band", F.col("id").alias("b"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("most").alias("g"), F.col("fine").alias("q"), F.col("few").alias("t"), F.col("bands").alias("y"))
+    by_sets = (LOW + HIGH) * F.size(F.array_intersect("s", "t")) >= LOW * (F.col("m") + F.col("k"))
+    near = F.when(F.least("m", "k") < FEW, by_sets).otherwise(fine_estimate("p", "q") >= FINE_MARGIN)
+    close = (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & (7 * F.least("f", "g") >= 3 * (F.col("m") + F.col("k"))) & near
     # A shared band of two components is a mixed bucket, so the smallest shared one is always among ``side``.
     once = F.array_min(F.array_intersect("x", "y")) == one["band"]
     across = one.join(two, (one["band"] == two["band"]) & close & once).select("a", "b")

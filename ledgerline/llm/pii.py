@@ -6,7 +6,8 @@ with unary potentials from a token's shape, and skip edges between tokens that a
 in what identifies them (the same digits, one number ending with the other, the same mailbox).
 Loopy sum-product over both kinds of edge carries the label of a token that the patterns found to
 its distant repetitions that they cannot see: a number without its plus sign, an address with its
-dots or @ spelt out. Tokens of base spans are clamped; base spans always stay.
+dots or @ spelt out. Documents without any base span are inferred too: there the shapes and the repetitions
+decide. Tokens of base spans are clamped; base spans always stay.
 
 Tokens with neither a digit nor an @ have a hard zero for every label but ``other``: they cut the
 chain, so a document without candidates needs no inference, and results are the same.
@@ -33,6 +34,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+_SPELT = re.compile(r"[\[({]at[\])}]")
 _CANDIDATE = re.compile(r"[0-9@]")
 #: A candidate token: a run of digits with single separators inside, or a word with a digit, an @ or an
 #: @ spelt out in brackets. Words are entered at their start only, which keeps long ones linear.
@@ -88,10 +90,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def shape(token: str) -> tuple[int, int, int, int]:
-    """What the unary potentials see: digits (bucketed), separators, letters, @."""
+    """What the unary potentials see: digits (bucketed), separators, letters, @ (also spelt out)."""
     digits = sum(c.isdigit() and c.isascii() for c in token)
     bucket = 0 if digits == 0 else 1 if digits < 7 else 2 if digits < 10 else 3 if digits < 14 else 4 if digits < 20 else 5
-    return bucket, min(3, sum(c in ".-() " for c in token)), int(any(c.isalpha() for c in token)), int("@" in token)
+    return bucket, min(3, sum(c in ".-() " for c in token)), int(any(c.isalpha() for c in token)), int("@" in token or _SPELT.search(token) is not None)
 
 
 def identity(token: str) -> tuple[str, str]:
@@ -160,28 +162,34 @@ def skip_edges(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]
     return sorted(edges)
 
 
-def marginals(unary: np.ndarray, edges: list[tuple[int, int, np.ndarray]]) -> np.ndarray:
-    """Loopy sum-product with damping; unary and edge potentials are logarithms."""
-    n, k = unary.shape
-    if not edges:
-        p = np.exp(unary - unary.max(axis=1, keepdims=True))
-        return p / p.sum(axis=1, keepdims=True)
-    left, right = np.array([e[0] for e in edges]), np.array([e[1] for e in edges])
-    pots = np.exp(np.stack([e[2] for e in edges]))
-    forth, back = np.full((len(edges), k), -np.log(k)), np.full((len(edges), k), -np.log(k))
+def marginals(unary: np.ndarray, left: np.ndarray, right: np.ndarray, kind: np.ndarray, pots: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Loopy sum-product with damping over many documents at once; unary potentials and ``pots`` are logarithms.
+
+    Edge e joins tokens left[e] and right[e] by the table pots[kind[e]], and belongs to document part[e] (sorted).
+    Each document stops when its own messages rest, so results do not depend on what else is in the batch.
+    """
+    k = unary.shape[1]
+    tables = np.exp(pots)
+    forth, back = np.full((len(left), k), -np.log(k)), np.full((len(left), k), -np.log(k))
+    open_ = np.arange(len(left))
     for _ in range(SWEEPS):
+        if not len(open_):
+            break
+        i, j, t = left[open_], right[open_], tables[kind[open_]]
+        was_f, was_g = forth[open_], back[open_]
         belief = unary.copy()
-        np.add.at(belief, right, forth)
-        np.add.at(belief, left, back)
-        a, b = belief[left] - back, belief[right] - forth
-        f = np.log(np.einsum("ei,eij->ej", np.exp(a - a.max(axis=1, keepdims=True)), pots) + 1e-300)
-        g = np.log(np.einsum("ej,eij->ei", np.exp(b - b.max(axis=1, keepdims=True)), pots) + 1e-300)
+        np.add.at(belief, j, was_f)
+        np.add.at(belief, i, was_g)
+        a, b = belief[i] - was_g, belief[j] - was_f
+        f = np.log(np.einsum("ei,eij->ej", np.exp(a - a.max(axis=1, keepdims=True)), t) + 1e-300)
+        g = np.log(np.einsum("ej,eij->ei", np.exp(b - b.max(axis=1, keepdims=True)), t) + 1e-300)
         f -= np.logaddexp.reduce(f, axis=1, keepdims=True)
         g -= np.logaddexp.reduce(g, axis=1, keepdims=True)
-        moved = max(np.abs(f - forth).max(), np.abs(g - back).max())
-        forth, back = 0.5 * forth + 0.5 * f, 0.5 * back + 0.5 * g
-        if moved < TOLERANCE:
-            break
+        moved = np.maximum(np.abs(f - was_f).max(axis=1), np.abs(g - was_g).max(axis=1))
+        forth[open_], back[open_] = 0.5 * was_f + 0.5 * f, 0.5 * was_g + 0.5 * g
+        firsts = np.flatnonzero(np.r_[True, part[open_][1:] != part[open_][:-1]])
+        sizes = np.diff(np.r_[firsts, len(open_)])
+        open_ = open_[np.repeat(np.maximum.reduceat(moved, firsts) >= TOLERANCE, sizes)]
     belief = unary.copy()
     np.add.at(belief, right, forth)
     np.add.at(belief, left, back)
@@ -189,35 +197,37 @@ def marginals(unary: np.ndarray, edges: list[tuple[int, int, np.ndarray]]) -> np
     return p / p.sum(axis=1, keepdims=True)
 
 
-def consistent_spans(text: str, base: list[tuple[str, int, int]], model: Field) -> list[tuple[str, int, int]]:
-    """``base`` and the spans that the field adds, by start, then kind.
+def consistent_spans(texts: list[str | None], bases: list[list[tuple[str, int, int]]], model: Field) -> list[list[tuple[str, int, int]]]:
+    """Of each text its base spans and the spans that the field adds, by start, then kind.
 
-    Without skip edges nothing can be added: shapes alone never reach the bar for acceptance, as the
-    field only restores consistency with what the patterns found.
+    Every text with an unlabelled candidate token is inferred, with or without base spans or skip edges;
+    any unlabelled token may be accepted by its marginal.
     """
-    if not base:
-        return base
-    spans, labels = labelled_tokens(text, base)
-    skips = skip_edges(text, spans)
-    if not skips or all(labels[i] and labels[j] for i, j in skips):
-        return base
-    unary = np.stack([model.unary.get(shape(text[a:b]), model.unseen) for a, b in spans])
-    for i, label in enumerate(labels):
-        if label:
-            unary[i] = np.where(np.arange(len(LABELS)) == label, 0.0, -50.0)
+    out, found, unary, edges = [list(b) for b in bases], [], [], []
+    clamped = np.where(np.eye(len(LABELS), dtype=bool), 0.0, -50.0)
+    for d, (text, base) in enumerate(zip(texts, bases)):
+        if not text:
+            continue
+        spans, labels = labelled_tokens(text, base)
+        if all(labels):
+            continue
+        at = len(unary)
+        unary += [clamped[y] if y else model.unary.get(shape(text[a:b]), model.unseen) for (a, b), y in zip(spans, labels)]
+        edges += [(at + i, at + i + 1, 0, d) for i in range(len(spans) - 1) if spans[i + 1][0] - spans[i][1] <= NEAR]
+        edges += [(at + i, at + j, 1, d) for i, j in skip_edges(text, spans)]
+        found += [(d, a, b, y) for (a, b), y in zip(spans, labels)]
+    if not found:
+        return out
     agree = np.where(np.eye(len(LABELS), dtype=bool), model.skip, 0.0)
-    edges = [(i, i + 1, model.chain) for i in range(len(spans) - 1) if spans[i + 1][0] - spans[i][1] <= NEAR]
-    edges += [(i, j, agree) for i, j in skips]
-    p = marginals(unary, edges)
-    linked = {x for e in skips for x in e}
-    added = []
-    for i in sorted(linked):
-        best = int(p[i].argmax())
-        if not labels[i] and best and p[i, best] >= ACCEPT:
-            a, b = spans[i]
-            body = text[a:b].rstrip(".:!?#*$%&|)'")
-            added.append((LABELS[best], a, a + len(body)))
-    return sorted({*base, *added}, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+    e = np.array(edges, np.int64).reshape(-1, 4)
+    p = marginals(np.stack(unary), e[:, 0], e[:, 1], e[:, 2], np.stack([model.chain, agree]), e[:, 3])
+    best = p.argmax(axis=1)
+    for i in np.flatnonzero((best > 0) & (p[np.arange(len(p)), best] >= ACCEPT)):
+        d, a, b, label = found[i]
+        if not label:
+            body = texts[d][a:b].rstrip(".:!?#*$%&|)'")
+            out[d].append((LABELS[best[i]], a, a + len(body)))
+    return [sorted(set(x), key=lambda s: (s[1], KINDS.index(s[0]), s[2])) if len(x) > len(b) else list(b) for x, b in zip(out, bases)]
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> Field:
@@ -268,8 +278,9 @@ def find_personal_data(docs: DataFrame, model: Field, id_col: str = "doc_id", te
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
-                base = [base_spans(t) if t else [] for t in part.column(1).to_pylist()]
-                every = [consistent_spans(t, b, shared.value) if b else b for t, b in zip(part.column(1).to_pylist(), base)]
+                texts = part.column(1).to_pylist()
+                base = [base_spans(t) if t else [] for t in texts]
+                every = consistent_spans(texts, base, shared.value)
                 counts = [pa.array([sum(s[0] == k for s in b) for b in base], pa.int64()) for k in KINDS]
                 yield pa.RecordBatch.from_arrays([part.column(0), *counts, pa.array(map(written, base), pa.string()), pa.array(map(written, every), pa.string())], ["__id", *(f"n_{k}" for k in KINDS), "base", "spans"])
 

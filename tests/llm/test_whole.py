@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from ledgerline.llm import minhash
+from ledgerline.llm import minhash, pii
 
 
 def low_bits(text, hashes):
@@ -56,3 +56,17 @@ def test_second_estimate_does_not_hang_on_low_bits():
         p, q = minhash.fine_bits(b[:66]), minhash.fine_bits(b)
         unequal = int(np.unpackbits((p ^ q).view(np.uint8)).sum())
         assert 1 - unequal * 2 / minhash.FINE >= minhash.FINE_MARGIN
+
+
+def test_pii_is_inferred_without_base_spans(spark):
+    letters = "abcdefghijklmnopqrst"
+    known = [(i, f"Write to {letters[i % 20]}{letters[i // 20]}ob@x.example.com or +1 (499) 555-6{i:03d}, in all {i}.") for i in range(300)]
+    said = "bob[at]y.example.com"
+    rows = [(1000, f"Ask {said} today. Later {said} again."), (1001, " then ".join(["call (812) 444-1234"] * 10)), (1002, "Version 3 of 2024 and 17 others"), (1003, "no candidate"), (1004, None)]
+    df = spark.createDataFrame(known + rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in pii.find_personal_data(df, pii.fit(df)).collect()}
+    kinds = {i: [s.split(":")[0] for s in got[i].spans.split(",") if s] for i in got}
+    assert all(got[i].base == "" for i, _ in rows)
+    assert kinds[1000] == ["email"] * 2 and kinds[1001] == ["phone"] * 10 and kinds[1002] == kinds[1003] == kinds[1004] == []
+    alone = {r.doc_id: r.spans for r in pii.find_personal_data(df.filter("doc_id >= 1000"), pii.fit(df)).collect()}
+    assert alone == {i: got[i].spans for i, _ in rows}

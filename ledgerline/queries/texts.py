@@ -173,9 +173,10 @@ def number_grounding(t: Tables) -> DataFrame:
 
 @query()
 def response_audit(t: Tables) -> DataFrame:
-    """Errors of stored responses."""
-    body = F.to_json(F.struct(F.substring("text", 1, 200).alias("resumo"), F.when(F.col("turn") % 2 == 1, F.col("role")).alias("fatos")))
-    return t.conversations.select("conv_id", "turn", F.array_join(calls.response_errors(body, F.col("text"), 3, ["resumo", "fatos"]), ",").alias("errors"))
+    """Errors of stored responses: each assistant turn, whole, against the turn before it."""
+    q = t.conversations.withColumn("src", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))).filter("role = 'assistant'")
+    body = F.to_json(F.struct(F.col("text").alias("resumo"), F.when(F.col("turn") % 2 == 1, F.col("role")).alias("fatos")))
+    return q.select("conv_id", "turn", F.array_join(calls.response_errors(body, F.col("src"), 3, ["resumo", "fatos"]), ",").alias("errors"))
 
 
 @query("""SELECT doc_id, sha256(trim(coalesce(text, ''), ' ')) AS line_hash, sha256(regexp_replace(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), '^\\s+|\\s+$', '', 'g')) AS input_hash FROM documents""")

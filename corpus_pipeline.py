@@ -16,7 +16,7 @@ from ledgerline.llm.common import settled
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; text without a letter and text unlike any language goes."""
-    return language_id.keep_identified(docs, language_id.train(docs.filter(~language_id.held_out())))
+    return language_id.keep_identified(docs, language_id.learned(docs.filter(~language_id.held_out())))
 
 
 def without_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

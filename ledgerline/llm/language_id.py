@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 #: n-gram order; training rows per language (a bounded sample of labelled rows: those of least hash).
 ORDER, TRAIN_ROWS = 4, 2000
-#: Most languages a model may have: with ORDER and TRAIN_ROWS this bounds the model that is broadcast.
-MAX_LANGUAGES = 200
+#: Up to so many languages the sampled ids are broadcast; beyond, they are joined as the planner sees fit.
+BROADCAST_LANGUAGES = 200
 #: A word's letters beyond so many are scored in pieces of this length, so that long runs stay whole.
 PIECE = 64
-WORDS_KEPT, ROWS_OUT = 400_000, 2048
+#: Words, and numbers over all languages, that a worker remembers.
+WORDS_KEPT, BITS_KEPT = 400_000, 10_000_000
+ROWS_OUT = 2048
 LETTERS = regex.compile(r"\p{L}+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,10 +138,11 @@ class Scorer:
 
     def __init__(self, model: LanguageModel):
         self.model, self.rows, self.bits = model, {}, np.zeros((1024, len(model.languages)))
+        self.kept = min(WORDS_KEPT, BITS_KEPT // max(len(model.languages), 1))
 
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.rows]
-        if len(self.rows) + len(new) > WORDS_KEPT:
+        if len(self.rows) + len(new) > self.kept:
             self.rows.clear()
             new = list(words)
         if len(self.rows) + len(new) > len(self.bits):
@@ -156,7 +159,7 @@ class Scorer:
         """(cross-entropy per language, characters scored) of each text; None without a letter."""
         out = []
         for t in texts:
-            words = LETTERS.findall(t.lower()) if t else []
+            words = LETTERS.findall(t.lower()) if t and self.model.languages else []
             words = [w[i : i + PIECE] for w in words for i in range(0, len(w), PIECE)] if t and len(t) > PIECE and max(map(len, words), default=0) > PIECE else words
             if not words:
                 out.append((None, 0))
@@ -191,19 +194,26 @@ def _scored(rows: DataFrame, model: LanguageModel, extra: str, result) -> DataFr
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", order: int = ORDER, rows_per_language: int = TRAIN_ROWS) -> LanguageModel:
+    """As ``learned``, but it is an error that nothing can be learned."""
+    model = learned(labelled, text_col, lang_col, id_col, order, rows_per_language)
+    if not model.languages:
+        raise ValueError("training found no labelled text")
+    return model
+
+
+def learned(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", order: int = ORDER, rows_per_language: int = TRAIN_ROWS) -> LanguageModel:
     """A model of the languages in ``labelled``; rows with a null language or text count for nothing.
 
     Of each language the ``rows_per_language`` rows of least hash are used, whole. What reaches the
-    driver is bounded by that sample: n-gram counts, and one entropy row per sampled document.
+    driver is bounded by that sample: n-gram counts, and one entropy row per sampled document. There may be any
+    number of languages, and none: such a model finds every text ``und``.
     """
     known = labelled.select(F.col(id_col).cast("string").alias("__id"), F.col(lang_col).cast("string").alias("__lang"), F.col(text_col).cast("string").alias("__text")).filter("__lang is not null and __text is not null")
-    # Bounds the ids that are broadcast below, and the model.
-    if known.select("__lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
-        raise ValueError(f"training takes at most {MAX_LANGUAGES} languages")
     order_by = Window.partitionBy("__lang").orderBy(F.xxhash64("__id"), "__id")
     ids = known.select("__lang", "__id").withColumn("__rank", F.row_number().over(order_by)).filter(F.col("__rank") <= rows_per_language)
     picked = ids.select("__lang", "__id").distinct()
-    sample = known.join(F.broadcast(picked), ["__lang", "__id"], "left_semi")
+    few = known.select("__lang").distinct().limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES
+    sample = known.join(F.broadcast(picked) if few else picked, ["__lang", "__id"], "left_semi")
     words = sample.select("__lang", F.explode(F.regexp_extract_all(F.lower("__text"), F.lit(r"(\p{L}+)"))).alias("w")).groupBy("__lang", "w").agg(F.count("*").alias("n"))
     pad = " " * (order - 1)
     padded = words.select("__lang", "n", F.concat(F.lit(pad), F.col("w"), F.lit(" ")).alias("p"))
@@ -211,7 +221,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     found = grams.orderBy("__lang", "g").toPandas()
     languages = sorted(found["__lang"].unique())
     if not languages:
-        raise ValueError("training found no labelled text")
+        return LanguageModel([], [], order)
     alphabet = len(set("".join(found["g"])))
     model = LanguageModel(languages, [CharModel.fit(list(g["g"]), list(g["n"]), order, alphabet) for _, g in found.groupby("__lang", sort=True)], order)
     seen = _scored(sample.select("__lang", "__text"), model, "entropy array<double>, length int", lambda m, e: [pa.array([None if x is None else x.tolist() for x, _ in e], pa.list_(pa.float64())), pa.array([n for _, n in e], pa.int32())])

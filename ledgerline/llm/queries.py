@@ -55,7 +55,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    model = language_id.train(docs.filter(~language_id.held_out()))
+    model = language_id.learned(docs.filter(~language_id.held_out()))
     found = language_id.identify(docs, model)
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected", "entropy")
 

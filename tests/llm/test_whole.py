@@ -2,7 +2,8 @@
 
 import numpy as np
 
-from ledgerline.llm import minhash, pii
+from ledgerline.llm import language_id, minhash, pii
+from ledgerline.llm import queries as llm_queries
 
 
 def low_bits(text, hashes):
@@ -70,3 +71,13 @@ def test_pii_is_inferred_without_base_spans(spark):
     assert kinds[1000] == ["email"] * 2 and kinds[1001] == ["phone"] * 10 and kinds[1002] == kinds[1003] == kinds[1004] == []
     alone = {r.doc_id: r.spans for r in pii.find_personal_data(df.filter("doc_id >= 1000"), pii.fit(df)).collect()}
     assert alone == {i: got[i].spans for i, _ in rows}
+
+
+def test_languages_have_no_cap_and_none_is_defined(spark, tmp_path):
+    rows = [(i, f"wort{chr(97 + i % 26)}{chr(97 + i // 26)} " * 5, f"l{i:03d}") for i in range(205)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.learned(df)
+    assert len(model.languages) == 205 and language_id.identify(df, model).filter("lang_pred = 'und'").count() == 0
+    df.withColumn("lang", df["lang"].substr(9, 1)).selectExpr("doc_id", "text", "nullif(lang, '') AS lang").write.parquet(f"{tmp_path}/documents.parquet")
+    got = llm_queries.op10_language_id(spark, str(tmp_path)).collect()
+    assert len(got) == 205 and {(r.lang_pred, r.score, r.rejected, r.entropy) for r in got} == {("und", 0.0, True, None)}

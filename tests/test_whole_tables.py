@@ -27,3 +27,8 @@ def test_response_audit_reads_whole_answers(spark, tmp_path):
     got = {r.turn: r.errors.split(",") for r in QUERIES["response_audit"](spark, str(tmp_path)).collect()}
     assert set(got) == {1, 3}
     assert {"citacao_fora_do_dossie", "numero_sem_fonte", "termo_vedado:score"} <= set(got[1]) and not {"citacao_fora_do_dossie", "numero_sem_fonte"} & set(got[3])
+
+
+def test_cases_are_added_up_without_their_members(spark):
+    plan = QUERIES["consolidate_cases"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan

@@ -3,31 +3,36 @@
 Encoding. For every prefix of a piece the merge rules give one encoding, and a sequence of tokens is
 an encoding exactly if each adjacent pair is (two tokens are *compatible* when merging their joined
 bytes gives these two again). So the transducer's non-deterministic states are the open positions
-of a piece: where a position still starts a proper prefix of a token, with the tokens that lead to
-it. The deterministic state is the set of open positions; it is made when first reached and kept.
-Tokens shared by all open positions can no longer change: they are emitted at once, so the lookahead
-is bounded by the longest token.
+of a piece: where a position still starts a proper prefix of a token, as a node of the tokens' trie,
+with the last token before it. The deterministic state is the set of open positions; it is made when
+first reached and kept. Each move tells which token the encoding of the prefix so far ends with. The
+tokens that all open positions share can no longer change: they are emitted, at the end of short
+pieces and once a block in long ones, so the lookahead is bounded by the longest token.
 
 Decoding maps ids to bytes and feeds them, block by block, to an incremental UTF-8 state machine.
+
+Rules and states that were made are kept per Python worker, whatever task they were made in.
 """
 
 from __future__ import annotations
 
 import base64
+import gc
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pieces and states that one Python worker keeps; beyond, it starts anew. They bound memory only.
-PIECES_KEPT, STATES_KEPT = 600_000, 150_000
-#: Rows of an outgoing Arrow batch, and ids that a decoder takes at once.
-ROWS_OUT, IDS_AT_ONCE = 512, 1 << 16
-#: Rank of a pair that never merges.
-NEVER = 1 << 40
+#: Pieces (in two generations) and states that one Python worker keeps; beyond, it starts anew. They bound memory only.
+PIECES_KEPT, STATES_KEPT = 100_000, 300_000
+#: Rows of an outgoing Arrow batch, ids that a decoder takes at once, bytes after which a long piece emits its sure tokens.
+ROWS_OUT, IDS_AT_ONCE, BLOCK = 512, 1 << 16, 1 << 12
+#: Rank of a pair that never merges; the last token at the start of a piece.
+NEVER, START = 1 << 40, -1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,18 +42,36 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    """Encodes pieces to ids by the ranks."""
+    """Encodes pieces to ids by the ranks.
+
+    A state is a dict: under -1 its open positions (node, last token, node, last token, ..., oldest
+    first), under a byte the move (next state, token that the prefix ends with).
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
-        self.starts = {t[:i] for t in ranks for i in range(1, len(t))}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
-        self.known: dict[bytes, tuple[list, list] | None] = {}
+        self.ranks, self.tokens = ranks, {r: t for t, r in ranks.items()}
+        self.lengths = {r: len(t) for r, t in self.tokens.items()}
+        self.kids: dict[int, int] = {}
+        self.depth, self.ends, self.inner = [0], [-1], set()
+        for token, rank in ranks.items():
+            at = 0
+            for b in token:
+                below = self.kids.get(at << 8 | b)
+                if below is None:
+                    below = self.kids[at << 8 | b] = len(self.ends)
+                    self.depth.append(self.depth[at] + 1)
+                    self.ends.append(-1)
+                    self.inner.add(at)
+                at = below
+            self.ends[at] = rank
+        self.pairs: dict[int, bool] = {}
+        self.known: dict[int, tuple[list, list] | None] = {}
         self._reset()
 
     def _reset(self) -> None:
-        first = (b"", ((b"", ()),))
-        self.ids, self.states, self.moves = {first: 0}, [first], {}
+        opened = (0, START)
+        self.first: dict = {-1: opened}
+        self.states: dict[tuple[int, ...], dict] = {opened: self.first}
 
     def _edges(self, token: bytes) -> tuple[list, list] | None:
         """How the token's last and first part grow while it is merged: pairs of the part and the rank at
@@ -71,19 +94,18 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [*right, (token, NEVER)], [*left, (token, NEVER)]
 
-    def edges(self, token: bytes) -> tuple[list, list] | None:
+    def edges(self, token: int) -> tuple[list, list] | None:
         if token not in self.known:
-            self.known[token] = self._edges(token)
+            self.known[token] = self._edges(self.tokens[token])
         return self.known[token]
 
-    def compatible(self, left: bytes, right: bytes) -> bool:
-        """Whether no merge crosses the border of two tokens.
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether merging gives ``right`` at all and no merge crosses the border of the two tokens.
 
         Ranks of successive merges rise, so both sides' parts at the border grow in the order of their
         ranks; the border falls when the pair of these parts has its turn first.
         """
-        key = (left, right)
-        found = self.pairs.get(key)
+        found = True if left == START and self.edges(right) else None if self.edges(right) else False
         if found is None:
             a, b, i, j = self.edges(left)[0], self.edges(right)[1], 0, 0
             while found is None:
@@ -97,93 +119,125 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            if len(self.pairs) > 4 * STATES_KEPT:
-                self.pairs.clear()
-            self.pairs[key] = found
+        if len(self.pairs) > STATES_KEPT:
+            self.pairs.clear()
+        self.pairs[left << 32 | right] = found
         return found
 
-    def _move(self, state: int, byte: bytes) -> tuple[int, bytes]:
-        before, open_ = self.states[state]
-        ranks, starts, pairs, live, here = self.ranks, self.starts, self.pairs, [], None
-        for tail, chain in open_:
-            tail += byte
-            if here is None and tail in ranks and self.edges(tail):
-                last = chain[-1] if chain else before
-                fits = not last or pairs.get((last, tail))
+    def _move(self, state: dict, byte: int) -> tuple[dict, int]:
+        kids, ends, inner, pairs = self.kids, self.ends, self.inner, self.pairs
+        opened, live, here = state[-1], [], -1
+        for i in range(0, len(opened), 2):
+            node = kids.get(opened[i] << 8 | byte)
+            if node is None:
+                continue
+            last = opened[i + 1]
+            if here < 0 and ends[node] >= 0:
+                fits = pairs.get(last << 32 | ends[node])
                 if fits is None:
-                    fits = self.compatible(last, tail)
+                    fits = self.compatible(last, ends[node])
                 if fits:
-                    here = (*chain, tail)
-            if tail in starts:
-                live.append((tail, chain))
-        if here is None:
-            raise ValueError(f"no token ends with byte {byte!r}: the ranks lack single bytes")
-        # Every chain begins with what the least and the greatest begin with.
-        low = high = here
-        for _, chain in live:
-            if chain < low:
-                low = chain
-            elif chain > high:
-                high = chain
-        sure = 0
-        for x, y in zip(low, high):
-            if x != y:
-                break
-            sure += 1
-        live.append((b"", here))
-        out = b""
-        if sure:
-            live = [(t, c[sure:]) for t, c in live]
-            before, out = here[sure - 1], self._packed(here[:sure])
-        # The last sure token matters only while a position right after it is open.
-        target = (before if any([not c for _, c in live]) else b"", tuple(live))
-        found = self.ids.get(target)
+                    here = ends[node]
+            if node in inner:
+                live.append(node)
+                live.append(last)
+        if here < 0:
+            raise ValueError(f"no token ends with byte {byte}: the ranks lack single bytes")
+        live.append(0)
+        live.append(here)
+        target = tuple(live)
+        found = self.states.get(target)
         if found is None:
-            found = self.ids[target] = len(self.states)
-            self.states.append(target)
-        return found, out
-
-    def _packed(self, tokens: tuple[bytes, ...]) -> bytes:
-        return b"".join([self.ranks[t].to_bytes(4, "little") for t in tokens])
+            found = self.states[target] = {-1: target}
+        move = state[byte] = (found, here)
+        return move
+
+    def _back(self, ends: list[int], at: int, stop: int) -> list[int]:
+        """Tokens between two positions, by the token that ends at each."""
+        out, lengths = [], self.lengths
+        while at > stop:
+            out.append(ends[at - 1])
+            at -= lengths[ends[at - 1]]
+        out.reverse()
+        return out
+
+    def _sure(self, ends: list[int], state: dict) -> int:
+        """The last position that the encodings of all open positions pass through."""
+        at = {len(ends) - self.depth[node] for node in state[-1][::2]}
+        while len(at) > 1:
+            last = max(at)
+            at.remove(last)
+            at.add(last - self.lengths[ends[last - 1]] if last > 0 else 0)
+        return at.pop()
 
     def encode(self, piece: bytes) -> bytes:
         """Ids of a piece, each as a little-endian unsigned 32-bit integer."""
-        if piece in self.ranks:
-            return self._packed((piece,))
         if len(self.states) > STATES_KEPT:
             self._reset()
-        state, out, moves = 0, [], self.moves
-        for b in piece:
-            move = moves.get(state << 8 | b)
-            if move is None:
-                move = moves[state << 8 | b] = self._move(state, bytes((b,)))
-            state = move[0]
-            if move[1]:
-                out.append(move[1])
+        state, out, ends = self.first, array("I"), []
+        for begin in range(0, len(piece), BLOCK):
+            for byte in piece[begin : begin + BLOCK]:
+                try:
+                    state, token = state[byte]
+                except KeyError:
+                    state, token = self._move(state, byte)
+                ends.append(token)
+            if begin + BLOCK < len(piece):
+                sure = max(0, self._sure(ends, state))
+                out.extend(self._back(ends, sure, 0))
+                del ends[:sure]
         if piece:
-            out.append(self._packed(self.states[state][1][-1][1]))
-        return b"".join(out)
+            out.extend(self._back(ends, len(ends), 0))
+        return out.tobytes()
 
 
-class Pieces(dict):
-    """Ids by piece, computed when missing. When full, it goes on with what is used again."""
+class Kept(dict):
+    """Ids by text, computed by ``make`` when missing. When full, it goes on with what is used again."""
 
-    def __init__(self, transducer: Transducer):
+    def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.transducer, self.older = transducer, {}
+        self.make, self.older = make, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= PIECES_KEPT:
-            self.older = dict(self)
-            self.clear()
-        found = self.older.get(piece)
+    def __missing__(self, part: str) -> bytes:
+        found = self.older.get(part)
         if found is None:
-            found = self.transducer.encode(piece.encode())
-        if len(piece) <= 64:
-            self[piece] = found
+            found = self.make(part)
+        if len(part) <= 64:
+            if len(self) >= PIECES_KEPT:
+                self.older = dict(self)
+                self.clear()
+            self[part] = found
         return found
 
 
+class Encoder:
+    """Ids of texts, cut into pieces by the pattern."""
+
+    def __init__(self, transducer: Transducer, pattern: str):
+        self.cut, self.pieces = regex.compile(pattern), Kept(lambda piece: transducer.encode(piece.encode()))
+
+    def ids(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.cut.findall(text)))
+
+
+#: What this Python worker has made: the rules of one file, and the encoder of one pattern over them.
+_made: dict[str, tuple] = {}
+
+
+def _transducer(path: str) -> Transducer:
+    if _made.get("rules", ("",))[0] != path:
+        _made.clear()
+        _made["rules"] = (path, Transducer(read_ranks(path)))
+    return _made["rules"][1]
+
+
+def _encoder(path: str, pattern: str) -> Encoder:
+    rules = _transducer(path)
+    if _made.get("encoder", ("",))[0] != (pattern):
+        _made["encoder"] = ((pattern), Encoder(rules, pattern))
+    return _made["encoder"][1]
+
+
 class Utf8Stream:
     """Incremental UTF-8 state machine: text out of bytes that may be cut anywhere.
 
@@ -228,19 +282,33 @@ class Utf8Stream:
         return left.decode("utf-8", "replace")
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """States hold no cycles, so the search for cycles among them only takes time."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, ids (binary, little-endian unsigned 32-bit). Null counts as empty: no ids.
+    """One row per row of ``docs``: id, ids (binary, little-endian unsigned 32-bit).
 
-    ``ranks_path`` is read by every executor. ``pattern`` cuts a text into pieces that are encoded apart.
+    Null and empty texts have no ids; repeated rows and ids are encoded each; texts of any length are
+    encoded whole; other columns, whatever their names, are not read. ``ranks_path`` is read by every
+    executor. ``pattern`` cuts a text into pieces that are encoded apart.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(Transducer(read_ranks(ranks_path)))
-        cut = regex.compile(pattern)
+        encoder = _encoder(ranks_path, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
-                ids = [b"".join(map(pieces.__getitem__, cut.findall(t))) if t else b"" for t in part.column(1).to_pylist()]
+                with _uncollected():
+                    ids = [encoder.ids(t) if t else b"" for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["__id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -249,29 +317,34 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataFrame:
-    """``encoded`` (id, ids) with decoded (the bytes) and text (their characters). No ids give empty ones."""
+    """``encoded`` (id, ids) with text: the characters that the ids' bytes stand for.
+
+    No ids, or null, give an empty text; bytes that are no UTF-8 give U+FFFD; an id without a token is
+    an error.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {v: k for k, v in read_ranks(ranks_path).items()}
+        tokens = _transducer(ranks_path).tokens
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
-                data, texts = [], []
+                texts = []
                 for packed in part.column(1).to_pylist():
-                    ids, stream, some, chars = array("I", packed or b""), Utf8Stream(), [], []
+                    ids, stream, chars = array("I", packed or b""), Utf8Stream(), []
                     for k in range(0, len(ids), IDS_AT_ONCE):
-                        some.append(b"".join(map(tokens.__getitem__, ids[k : k + IDS_AT_ONCE])))
-                        chars.append(stream.feed(some[-1]))
+                        chars.append(stream.feed(b"".join(map(tokens.__getitem__, ids[k : k + IDS_AT_ONCE]))))
                     chars.append(stream.finish())
-                    data.append(b"".join(some))
                     texts.append("".join(chars))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(data, pa.binary()), pa.array(texts, pa.string())], ["__id", "ids", "decoded", "text"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["__id", "ids", "text"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(F.col(id_col).alias("__id"), "ids").mapInArrow(run, f"__id {kind}, ids binary, decoded binary, text string").withColumnRenamed("__id", id_col)
+    return encoded.select(F.col(id_col).alias("__id"), "ids").mapInArrow(run, f"__id {kind}, ids binary, text string").withColumnRenamed("__id", id_col)
 
 
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256 of encoding and decoding every document."""
+    """id, n_tokens, ids_sha256, decoded_sha256 of encoding every row and decoding it by the state machine.
+
+    Null and empty texts have no tokens and the digests of no bytes; equal rows give equal rows.
+    """
     back = decode_documents(encode_documents(docs, ranks_path, pattern, id_col, text_col), ranks_path, id_col)
-    return back.select(id_col, F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return back.select(id_col, F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))

@@ -4,14 +4,17 @@ One model per language over the letters of words (runs of letters, lower-cased,
 and after). Spark counts the n-grams of the training words; the discounted probabilities and the
 interpolation weights go into arrays sorted by n-gram hash, searched by bisection. A document gets
 the language of lowest cross-entropy per character. Scores are a softmax over the cross-entropies
-whose sharpness is fitted on the training documents, and a document is rejected when its best
-cross-entropy lies far above what training documents of that language show at its length.
+whose sharpness is fitted on the training documents. A document is rejected when its best
+cross-entropy lies further above the language's median, in units that widen for short texts, than
+all but ``REJECT_RATE`` of that language's training documents lie, times ``SLACK``.
 
-As words are scored apart from their neighbours, each distinct word is scored once per worker.
+As words are scored apart from their neighbours, what stands between blanks is scored once per
+task, and each n-gram once per worker: its bits in all languages go into an array sorted by hash.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -21,15 +24,20 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import settled
+
 #: n-gram order; training rows per language (a bounded sample of labelled rows: those of least hash).
 ORDER, TRAIN_ROWS = 4, 2000
-#: Up to so many languages the sampled ids are broadcast; beyond, they are joined as the planner sees fit.
-BROADCAST_LANGUAGES = 200
+#: Share of a language's training documents that rejection may cost, and how far beyond them it begins.
+REJECT_RATE, SLACK = 0.001, 2.0
+#: Bits of a row's hash by which sampling counts rows, coarse and fine.
+COARSE, FINE = 8, 12
 #: A word's letters beyond so many are scored in pieces of this length, so that long runs stay whole.
 PIECE = 64
-#: Words, and numbers over all languages, that a worker remembers.
-WORDS_KEPT, BITS_KEPT = 400_000, 10_000_000
-ROWS_OUT = 2048
+#: Chunks and n-grams that a worker remembers, and numbers over all languages in either memory.
+CHUNKS_KEPT, GRAMS_KEPT, BITS_KEPT = 300_000, 400_000, 4_000_000
+#: Rows of an outgoing batch; characters of texts whose new chunks are scored at once.
+ROWS_OUT, CHARS_AT_ONCE = 512, 1 << 20
 LETTERS = regex.compile(r"\p{L}+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -112,66 +120,126 @@ class LanguageModel:
     sharpness: float = 1.0
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None
-
-    def word_bits(self, words: list[str]) -> np.ndarray:
-        """Bits per word and language, shape (words, languages)."""
-        padded = [" " * (self.order - 1) + w + " " for w in words]
-        lengths = np.array([len(w) + 1 for w in words])
-        codes = np.frombuffer("".join(padded).encode("utf-32-le"), "<u4")
-        starts = np.concatenate([[0], np.cumsum(lengths + self.order - 1)[:-1]])
-        at = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-        grams = codes[at[:, None] + np.arange(self.order)]
-        cut = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        return np.stack([np.add.reduceat(m.bits(grams), cut) for m in self.models], axis=1) if len(words) else np.zeros((0, len(self.models)))
+    limit: np.ndarray | None = None
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def scores(self, entropy: np.ndarray) -> np.ndarray:
-        z = -self.sharpness * (entropy - entropy.min())
-        return np.exp(z) / np.exp(z).sum()
+        """Softmax over the rows of a matrix (documents, languages)."""
+        z = np.exp(-self.sharpness * (entropy - entropy.min(axis=1, keepdims=True)))
+        return z / z.sum(axis=1, keepdims=True)
+
+    def excess(self, best: np.ndarray, entropy: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """How far documents lie above the usual cross-entropy of their language, in units that widen for short texts."""
+        return (entropy - self.mean[best]) / (self.spread[best] + 1.0 / np.sqrt(np.maximum(length, 1)))
 
-    def rejects(self, best: int, entropy: float, length: int) -> bool:
-        """Far above the training documents: over the mean by 12 spreads, and by more where the text is short."""
-        return bool(entropy > self.mean[best] + 12 * self.spread[best] + 8.0 / np.sqrt(max(length, 1)))
+    def rejects(self, best: np.ndarray, entropy: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return self.excess(best, entropy, length) > self.limit[best]
 
 
 class Scorer:
-    """Cross-entropies of texts, with the bits of words seen before."""
+    """Cross-entropies of texts. ``keys`` are sorted hashes of n-grams seen before, ``known`` their bits by language;
+    ``rows`` numbers chunks (what stands between blanks) in ``bits`` and ``length``."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.rows, self.bits = model, {}, np.zeros((1024, len(model.languages)))
-        self.kept = min(WORDS_KEPT, BITS_KEPT // max(len(model.languages), 1))
-
-    def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.rows]
-        if len(self.rows) + len(new) > self.kept:
-            self.rows.clear()
-            new = list(words)
-        if len(self.rows) + len(new) > len(self.bits):
-            grown = np.zeros((2 * (len(self.rows) + len(new)), self.bits.shape[1]))
-            grown[: len(self.bits)] = self.bits
-            self.bits = grown
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            n = len(self.rows)
-            self.bits[n : n + len(part)] = self.model.word_bits(part)
-            self.rows.update(zip(part, range(n, n + len(part))))
+        n = max(len(model.languages), 1)
+        self.model, self.chunks_kept, self.grams_kept = model, min(CHUNKS_KEPT, BITS_KEPT // n), min(GRAMS_KEPT, BITS_KEPT // n)
+        self.keys, self.known = np.zeros(0, np.uint64), np.zeros((0, n))
+        self.forget()
+
+    def forget(self) -> None:
+        """Lets go of the chunks; the n-grams stay."""
+        self.rows: dict[str, int] = {}
+        self.bits, self.length = np.zeros((1024, self.known.shape[1])), np.zeros(1024, np.int64)
+
+    def gram_bits(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of the last character of each row in every language."""
+        names = gram_hash(codes)
+        at = np.minimum(np.searchsorted(self.keys, names), max(len(self.keys) - 1, 0))
+        new = self.keys[at] != names if len(self.keys) else np.ones(len(names), bool)
+        if new.any():
+            fresh, first = np.unique(names[new], return_index=True)
+            bits = np.stack([m.bits(codes[new][first]) for m in self.model.models], axis=1)
+            if len(self.keys) + len(fresh) > self.grams_kept:
+                again, first = np.unique(names, return_index=True)
+                if len(again) > len(fresh):
+                    fresh, bits = again, np.stack([m.bits(codes[first]) for m in self.model.models], axis=1)
+                self.keys, self.known = fresh, bits
+            else:
+                order = np.argsort(keys := np.concatenate([self.keys, fresh]), kind="stable")
+                self.keys, self.known = keys[order], np.concatenate([self.known, bits])[order]
+            at = np.searchsorted(self.keys, names)
+        return self.known[at]
 
-    def entropies(self, texts: list[str | None]) -> list[tuple[np.ndarray | None, int]]:
-        """(cross-entropy per language, characters scored) of each text; None without a letter."""
-        out = []
-        for t in texts:
-            words = LETTERS.findall(t.lower()) if t and self.model.languages else []
-            words = [w[i : i + PIECE] for w in words for i in range(0, len(w), PIECE)] if t and len(t) > PIECE and max(map(len, words), default=0) > PIECE else words
-            if not words:
-                out.append((None, 0))
-                continue
-            try:
-                rows = [self.rows[w] for w in words]
-            except KeyError:
-                self._learn(set(words))
-                rows = [self.rows[w] for w in words]
-            length = sum(map(len, words)) + len(words)
-            out.append((self.bits[rows].sum(axis=0) / length, length))
-        return out
+    def word_bits(self, words: list[str]) -> np.ndarray:
+        """Bits per word and language, shape (words, languages)."""
+        order = self.model.order
+        if not words:
+            return np.zeros((0, self.known.shape[1]))
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        if lengths.sum() > CHARS_AT_ONCE and len(words) > 1:
+            half = len(words) // 2
+            return np.concatenate([self.word_bits(words[:half]), self.word_bits(words[half:])])
+        pad = " " * (order - 1)
+        codes = np.frombuffer((pad + (" " + pad).join(words) + " ").encode("utf-32-le"), "<u4")
+        cut = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        at = np.repeat((order - 1) * np.arange(len(words)), lengths) + np.arange(lengths.sum())
+        return np.add.reduceat(self.gram_bits(codes[at[:, None] + np.arange(order)]), cut)
+
+    def _learn(self, chunks: set[str]) -> None:
+        new = [c for c in chunks if c not in self.rows]
+        if len(self.rows) + len(new) > self.chunks_kept:
+            self.forget()
+            new = list(chunks)
+        n = len(self.rows)
+        if n + len(new) > len(self.bits):
+            more = n + len(new)
+            self.bits = np.concatenate([self.bits[:n], np.zeros((more, self.bits.shape[1]))])
+            self.length = np.concatenate([self.length[:n], np.zeros(more, np.int64)])
+        for k in range(0, len(new), 20_000):
+            part = new[k : k + 20_000]
+            words = [LETTERS.findall(c) for c in map(str.lower, part)]
+            flat = [w for own in words for w in own]
+            if max(map(len, flat), default=0) > PIECE:
+                words = [[w[i : i + PIECE] for w in own for i in range(0, len(w), PIECE)] for own in words]
+                flat = [w for own in words for w in own]
+            counts = np.fromiter(map(len, words), np.int64, len(words))
+            some = np.flatnonzero(counts)
+            if len(some):
+                first = (np.cumsum(counts) - counts)[some]
+                self.bits[n + some] = np.add.reduceat(self.word_bits(flat), first)
+                self.length[n + some] = np.add.reduceat(np.fromiter(map(len, flat), np.int64, len(flat)) + 1, first)
+            self.rows.update(zip(part, range(n, n + len(part))))
+            n += len(part)
+
+    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Cross-entropy per document and language, and characters scored; 0 of them without a letter."""
+        entropy, length = np.zeros((len(texts), self.known.shape[1])), np.zeros(len(texts), np.int64)
+        at = 0
+        while at < len(texts):
+            chunks, chars, end = [], 0, at
+            while end < len(texts) and (end == at or chars < CHARS_AT_ONCE):
+                chunks.append(texts[end].split() if texts[end] and self.model.languages else [])
+                chars += len(texts[end] or "")
+                end += 1
+            self._learn(set().union(*chunks))
+            for k, own in enumerate(chunks, at):
+                rows = np.fromiter(map(self.rows.__getitem__, own), np.int64, len(own))
+                length[k] = self.length[rows].sum()
+                if length[k]:
+                    entropy[k] = self.bits[rows].sum(axis=0) / length[k]
+            at = end
+        return entropy, length
+
+
+#: The scorer of the model that this Python worker has used last.
+_scorers: dict[str, Scorer] = {}
+
+
+def _scorer(model: LanguageModel) -> Scorer:
+    if model.name not in _scorers:
+        _scorers.clear()
+        _scorers[model.name] = Scorer(model)
+    return _scorers[model.name]
 
 
 def _scored(rows: DataFrame, model: LanguageModel, extra: str, result) -> DataFrame:
@@ -182,23 +250,47 @@ def _scored(rows: DataFrame, model: LanguageModel, extra: str, result) -> DataFr
     kept = rows.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = _scorer(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
-                columns = result(shared.value, scorer.entropies(part.column(len(kept)).to_pylist()))
+                columns = result(shared.value, *scorer.entropies(part.column(len(kept)).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *columns], [*kept, *names])
+        scorer.forget()
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(run, f"{schema}, {extra}")
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", order: int = ORDER, rows_per_language: int = TRAIN_ROWS) -> LanguageModel:
-    """As ``learned``, but it is an error that nothing can be learned."""
-    model = learned(labelled, text_col, lang_col, id_col, order, rows_per_language)
-    if not model.languages:
-        raise ValueError("training found no labelled text")
-    return model
+def least_hashed(known: DataFrame, rows: int) -> DataFrame:
+    """Of each __lang the ``rows`` rows of least (__h, __id): __lang, __text.
+
+    Rows are counted by the first bits of the hash, then, where the limit falls, by the next ones, so
+    that only about ``rows`` rows a language are ever ranked, whatever share of the table it has.
+    """
+    first, second = F.shiftrightunsigned("__h", 64 - COARSE), F.shiftrightunsigned("__h", 64 - COARSE - FINE)
+
+    def limits(counts: DataFrame, before: dict[str, int]) -> dict[str, tuple[int, int]]:
+        """By language the bucket in which its limit falls, and the rows before that bucket."""
+        out, total = {}, dict(before)
+        for r in counts.orderBy("__lang", "b").collect():
+            if r["__lang"] not in out or out[r["__lang"]][1] + out[r["__lang"]][2] < rows:
+                out[r["__lang"]] = (r["b"], total.get(r["__lang"], 0), r["n"])
+                total[r["__lang"]] = total.get(r["__lang"], 0) + r["n"]
+        return {k: (b, n) for k, (b, n, _) in out.items()}
+
+    def table(found: dict[str, int]) -> DataFrame:
+        return known.sparkSession.createDataFrame([*found.items()], "__lang string, b bigint")
+
+    coarse = limits(known.groupBy("__lang", first.alias("b")).agg(F.count("*").alias("n")), {})
+    if not coarse:
+        return known.select("__lang", "__text").limit(0)
+    # The models of all languages are on the driver anyway, so a row per language may be broadcast.
+    inside = known.join(F.broadcast(table({k: b for k, (b, _) in coarse.items()})), "__lang").filter(first == F.col("b")).drop("b")
+    fine = limits(inside.groupBy("__lang", second.alias("b")).agg(F.count("*").alias("n")), {k: n for k, (_, n) in coarse.items()})
+    near = known.join(F.broadcast(table({k: b for k, (b, _) in fine.items()})), "__lang").filter(second <= F.col("b"))
+    rank = F.row_number().over(Window.partitionBy("__lang").orderBy(F.shiftrightunsigned("__h", 1), "__h", "__id"))
+    return near.withColumn("__rank", rank).filter(F.col("__rank") <= rows).repartition("__rank").select("__lang", "__text")
 
 
 def learned(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", order: int = ORDER, rows_per_language: int = TRAIN_ROWS) -> LanguageModel:
@@ -206,40 +298,39 @@ def learned(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     Of each language the ``rows_per_language`` rows of least hash are used, whole. What reaches the
     driver is bounded by that sample: n-gram counts, and one entropy row per sampled document. There may be any
-    number of languages, and none: such a model finds every text ``und``.
+    number of languages, and none: such a model finds every text ``und``. Repeated rows count each.
     """
-    known = labelled.select(F.col(id_col).cast("string").alias("__id"), F.col(lang_col).cast("string").alias("__lang"), F.col(text_col).cast("string").alias("__text")).filter("__lang is not null and __text is not null")
-    order_by = Window.partitionBy("__lang").orderBy(F.xxhash64("__id"), "__id")
-    ids = known.select("__lang", "__id").withColumn("__rank", F.row_number().over(order_by)).filter(F.col("__rank") <= rows_per_language)
-    picked = ids.select("__lang", "__id").distinct()
-    few = known.select("__lang").distinct().limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES
-    sample = known.join(F.broadcast(picked) if few else picked, ["__lang", "__id"], "left_semi")
+    named = labelled.select(F.col(id_col).cast("string").alias("__id"), F.col(lang_col).cast("string").alias("__lang"), F.col(text_col).cast("string").alias("__text"))
+    known = named.filter("__lang is not null and __text is not null").withColumn("__h", F.xxhash64("__id"))
+    sample = settled(least_hashed(known, rows_per_language), "language-sample")
     words = sample.select("__lang", F.explode(F.regexp_extract_all(F.lower("__text"), F.lit(r"(\p{L}+)"))).alias("w")).groupBy("__lang", "w").agg(F.count("*").alias("n"))
     pad = " " * (order - 1)
     padded = words.select("__lang", "n", F.concat(F.lit(pad), F.col("w"), F.lit(" ")).alias("p"))
     grams = padded.select("__lang", "n", F.explode(F.expr(f"transform(sequence(1, length(p) - {order - 1}), i -> substring(p, i, {order}))")).alias("g")).groupBy("__lang", "g").agg(F.sum("n").alias("n"))
-    found = grams.orderBy("__lang", "g").toPandas()
+    found = grams.toPandas().sort_values(["__lang", "g"])
     languages = sorted(found["__lang"].unique())
     if not languages:
         return LanguageModel([], [], order)
     alphabet = len(set("".join(found["g"])))
     model = LanguageModel(languages, [CharModel.fit(list(g["g"]), list(g["n"]), order, alphabet) for _, g in found.groupby("__lang", sort=True)], order)
-    seen = _scored(sample.select("__lang", "__text"), model, "entropy array<double>, length int", lambda m, e: [pa.array([None if x is None else x.tolist() for x, _ in e], pa.list_(pa.float64())), pa.array([n for _, n in e], pa.int32())])
-    calibrate(model, seen.filter("entropy is not null").toPandas())
+    seen = _scored(sample.select("__lang", "__text"), model, "entropy array<double>, length bigint", lambda m, e, n: [pa.array(list(e), pa.list_(pa.float64())), pa.array(n, pa.int64())])
+    calibrate(model, seen.filter("length > 0").toPandas())
     return model
 
 
 def calibrate(model: LanguageModel, seen) -> None:
-    """Sets sharpness by likelihood of the known languages, and the usual cross-entropy of each language."""
+    """Sets sharpness by likelihood of the known languages, and each language's usual cross-entropy and rejection limit."""
     at = {x: i for i, x in enumerate(model.languages)}
     truth = np.array([at[x] for x in seen["__lang"]], int)
-    entropy = np.array(seen["entropy"].tolist()).reshape(len(truth), len(at))
-    model.mean, model.spread = np.full(len(at), np.inf), np.zeros(len(at))
+    entropy, length = np.array(seen["entropy"].tolist()).reshape(len(truth), len(at)), seen["length"].to_numpy()
+    model.mean, model.spread, model.limit = np.full(len(at), np.inf), np.zeros(len(at)), np.zeros(len(at))
     for k in range(len(at)):
-        own = entropy[truth == k, k]
-        if len(own):
-            model.mean[k] = np.median(own)
-            model.spread[k] = 1.4826 * np.median(np.abs(own - model.mean[k])) + 0.02
+        own = truth == k
+        if own.any():
+            model.mean[k] = np.median(entropy[own, k])
+            model.spread[k] = 1.4826 * np.median(np.abs(entropy[own, k] - model.mean[k])) + 0.02
+            usual = np.sort(model.excess(truth[own], entropy[own, k], length[own]))
+            model.limit[k] = SLACK * max(usual[len(usual) - 1 - int(REJECT_RATE * len(usual))], 1.0)
 
     def loss(sharpness: float) -> float:
         z = -sharpness * (entropy - entropy.min(axis=1, keepdims=True))
@@ -248,15 +339,14 @@ def calibrate(model: LanguageModel, seen) -> None:
     model.sharpness = min((0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0), key=loss)
 
 
-def _verdicts(m: LanguageModel, found: list) -> list[pa.Array]:
-    lang, score, rejected, bits = [], [], [], []
-    for e, n in found:
-        best = None if e is None else int(np.argmin(e))
-        lang.append("und" if best is None else m.languages[best])
-        score.append(0.0 if best is None else float(m.scores(e)[best]))
-        rejected.append(best is None or m.rejects(best, e[best], n))
-        bits.append(None if best is None else float(e[best]))
-    return [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_()), pa.array(bits, pa.float64())]
+def _verdicts(m: LanguageModel, entropy: np.ndarray, length: np.ndarray) -> list[pa.Array]:
+    some = length > 0
+    best = entropy.argmin(axis=1) if len(entropy) and some.any() else np.zeros(len(length), np.int64)
+    each = np.arange(len(best))
+    low = entropy[each, best]
+    score = np.where(some, m.scores(entropy)[each, best], 0.0) if some.any() else np.zeros(len(best))
+    rejected = ~some | m.rejects(best, low, length) if some.any() else ~some
+    return [pa.array([m.languages[b] if x else "und" for b, x in zip(best, some)], pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_()), pa.array(low, pa.float64(), mask=~some)]
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

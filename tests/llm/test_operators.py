@@ -43,10 +43,20 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, docs, empty):
     texts = {r[0]: r[1] or "" for r in ROWS}
     assert len(back) == len(ROWS)
     for r in back:
-        assert list(array("I", r.ids)) == enc.encode_ordinary(texts[r.doc_id]) and r.text == texts[r.doc_id] and r.decoded == texts[r.doc_id].encode()
+        assert list(array("I", r.ids)) == enc.encode_ordinary(texts[r.doc_id]) and r.text == texts[r.doc_id]
     assert bpe.token_digests(empty, path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_long_pieces_emit_sure_tokens_by_block(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rules = bpe.Transducer(bpe.read_ranks(path))
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=rules.ranks, special_tokens={})
+    monkeypatch.setattr(bpe, "BLOCK", 7)
+    monkeypatch.setattr(bpe, "STATES_KEPT", 50)
+    for piece in ("a" * 500, "thereinationalization" * 20, "=-" * 300, "éß" * 90, "0123456789" * 30, "t"):
+        assert list(array("I", rules.encode(piece.encode()))) == enc.encode_ordinary(piece)
+
+
 def test_utf8_stream_holds_cut_characters():
     data = "aé漢😀z".encode()
     for size in (1, 2, 3):
@@ -168,12 +178,30 @@ def test_licenses_survive_spelling_case_and_copyright(spark, docs, empty):
 
 def test_language_held_out_accuracy_and_edges(spark):
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    model = language_id.train(d.filter(~language_id.held_out()))
+    model = language_id.learned(d.filter(~language_id.held_out()))
     got = language_id.identify(d, model).join(d.select("doc_id", "lang"), "doc_id").filter(language_id.held_out()).collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got) and all(0 <= r.score <= 1 for r in got)
     odd = spark.createDataFrame([(1, None), (2, "123 !"), (3, "")], "doc_id bigint, text string")
     assert {(r.lang_pred, r.rejected) for r in language_id.identify(odd, model).collect()} == {("und", True)}
     p = np.exp2(-model.models[0].bits(language_id.code_points(["   " + chr(c) for c in range(97, 123)], 4)))
     assert 0 < p.sum() <= 1.0
-    with pytest.raises(ValueError):
-        language_id.train(d.limit(0))
+    # Nothing learned: every text is undetermined, and no table is too empty.
+    none = language_id.learned(d.limit(0))
+    assert none.languages == [] and {(r.lang_pred, r.score, r.rejected) for r in language_id.identify(odd, none).collect()} == {("und", 0.0, True)}
+    assert language_id.learned(d.withColumn("lang", F.lit(None).cast("string"))).languages == [] and language_id.identify(d.limit(0), model).count() == 0
+    # Entropies against a plain sum over n-grams, long runs of letters and new n-grams included.
+    texts = [r.text for r in d.filter("text is not null").limit(8).collect()] + ["x" * 300 + " ŽŽ, déjà-vu 12a", "ΑΣ ΑΣ", "日本語 テキスト"]
+    entropy, length = language_id.Scorer(model).entropies(texts)
+    for k, t in enumerate(texts):
+        words = [w[i : i + language_id.PIECE] for w in language_id.LETTERS.findall(t.lower()) for i in range(0, len(w), language_id.PIECE)]
+        grams = [p[i : i + 4] for w in words for p in ["   " + w + " "] for i in range(len(p) - 3)]
+        plain = [m.bits(language_id.code_points(grams, 4)).sum() / len(grams) for m in model.models]
+        assert length[k] == len(grams) and np.allclose(entropy[k], plain)
+
+
+def test_language_sample_is_the_least_hashed(spark):
+    d = spark.range(3000).select(F.lit("aa").alias("__lang"), F.col("id").cast("string").alias("__text"), F.col("id").cast("string").alias("__id"))
+    d = d.union(spark.range(7).select(F.lit("bb"), F.col("id").cast("string"), F.col("id").cast("string"))).withColumn("__h", F.xxhash64("__id"))
+    got = {(r[0], r[1]) for r in language_id.least_hashed(d, 50).collect()}
+    rows = sorted((r["__lang"], r["__h"] % 2**64, r["__id"]) for r in d.collect())
+    assert got == {(x, i) for x in ("aa", "bb") for _, _, i in [r for r in rows if r[0] == x][:50]}

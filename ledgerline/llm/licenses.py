@@ -38,48 +38,81 @@ LICENSES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
 )
 
-#: Known texts that one scan may hold; the digest side is broadcast below this bound only.
+#: Known texts up to which the digest side is broadcast; beyond, the planner chooses the join.
 MAX_KNOWN = 100_000
+#: Spellings change a text's length by at most one character in seven, so these bound its length before them.
+SHORTER, LONGER = 0.7, 1.3
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form; null stays null. Copyright lines are those that open with the word or sign and a year or mark."""
-    t = F.regexp_replace(F.lower(text), r"(?m)^[^a-z0-9\n(©]*(copyright +(\(c\)|©|[0-9]{4})|\(c\) +[0-9]{4}|©)[^\n]*$", " ")
-    t = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    t = F.regexp_replace(t, " +", " ")
+def without_copyright(lowered: Column) -> Column:
+    """Lower-cased text without its copyright lines: those that open with the word or sign and a year or mark."""
+    pattern = r"(?m)^[^a-z0-9\n(©]*(copyright +(\(c\)|©|[0-9]{4})|\(c\) +[0-9]{4}|©)[^\n]*$"
+    some = F.contains(lowered, F.lit("copyright")) | F.contains(lowered, F.lit("(c)")) | F.contains(lowered, F.lit("©"))
+    return F.when(some, F.regexp_replace(lowered, pattern, " ")).otherwise(lowered)
+
+
+def folded(lowered: Column) -> Column:
+    """Letters and digits, with one space for whatever stands between them."""
+    return F.trim(F.regexp_replace(lowered, r"[^\p{L}\p{N}]+", " "))
+
+
+def respelt(fold: Column) -> Column:
+    """One spelling of equivalent words in a folded text."""
+    t = F.concat(F.lit(" "), fold, F.lit(" "))
     for other, one in SPELLINGS:
         t = F.replace(t, F.lit(f" {other} "), F.lit(f" {one} "))
     return F.trim(t)
 
 
+def canonical(text: Column) -> Column:
+    """The canonical form; null stays null."""
+    return respelt(folded(without_copyright(F.lower(text))))
+
+
 def known_digests(spark: SparkSession, licenses=LICENSES) -> DataFrame:
-    """license_id, digest: one row per digest, the first id in alphabetical order where several share it."""
-    rows = list(licenses)
-    if len(rows) > MAX_KNOWN:
-        raise ValueError(f"at most {MAX_KNOWN} known licence texts, not {len(rows)}")
-    df = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in rows])))
-    return df.select("license_id", F.sha2(canonical(F.col("text")), 256).alias("digest")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    """license_id, digest, length (of the canonical form): one row per digest, the first id in alphabetical order where several share it."""
+    df = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in licenses])))
+    known = df.select("license_id", canonical(F.col("text")).alias("c")).filter("c <> ''")
+    return known.groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("license_id").alias("license_id"), F.min(F.length("c")).alias("length"))
 
 
 def license_units(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Units that are entirely a known licence: id, kind (document, paragraph, line), position from 0, license_id.
 
-    Null texts have no unit, empty units none; paragraphs and lines count only where the text has
-    several. ``known`` (license_id, digest) is small by construction and broadcast.
+    Null texts have no unit, and units without a letter or digit are none; paragraphs and lines count only
+    where the text has several. Repeated rows give their units each; texts of any length are read whole;
+    other columns, whatever their names, are not read. ``known`` is (license_id, digest, length).
+
+    Each line is folded once, and the document is put together from its lines. Only units that have the length
+    of a known text are respelt and hashed: no other can have its digest.
     """
+    few = known.select("digest").limit(MAX_KNOWN + 1).count() <= MAX_KNOWN
+    lengths = sorted(r[0] for r in known.select("length").distinct().collect()) if few else []
+    low, high = (lengths[0], lengths[-1]) if lengths else (x or 0 for x in known.agg(F.min("length"), F.max("length")).first())
+    fits = lambda n: n.isin(lengths) if lengths else (n >= low) & (n <= high)
+    near = lambda n: (n >= max(1, int(low * SHORTER))) & (n <= int(high * LONGER) + 1)
+    blank = r"\n[ \t\r]*\n"
     t = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("t")).filter("t is not null")
-    u = t.select(
-        "__id",
-        F.explode(F.expr(r"""concat(array(struct('document' as kind, 0 as position, t as unit)),
-            if(t rlike '\n[ \\t\r]*\n', transform(split(t, '\n[ \\t\r]*\n'), (x, i) -> struct('paragraph' as kind, i as position, x as unit)), array()),
-            if(contains(t, '\n'), transform(split(t, '\n'), (x, i) -> struct('line' as kind, i as position, x as unit)), array()))""")).alias("u"),
-    ).select("__id", "u.*")
-    d = u.select("__id", "kind", "position", canonical(F.col("unit")).alias("c")).filter("c <> ''").select("__id", "kind", "position", F.sha2("c", 256).alias("digest"))
-    return d.join(F.broadcast(known.select("digest", "license_id")), "digest").select(F.col("__id").alias(id_col), "kind", "position", "license_id")
+    lines = t.select("__id", "t", F.transform(F.split(without_copyright(F.lower("t")), "\n"), folded).alias("lines"))
+    size = F.aggregate("lines", F.lit(-1), lambda n, x: n + F.length(x) + F.when(x != "", 1).otherwise(0))
+    unit = lambda kind, at, fold: F.struct(F.lit(kind).alias("kind"), at.alias("position"), fold.alias("fold"))
+    none = F.array().cast("array<struct<kind:string,position:int,fold:string>>")
+    whole = F.when(near(size), F.array(unit("document", F.lit(0), F.array_join(F.filter("lines", lambda x: x != ""), " ")))).otherwise(none)
+    each = F.when(F.size("lines") > 1, F.filter(F.transform("lines", lambda x, i: unit("line", i, x)), lambda u: near(F.length(u["fold"])))).otherwise(none)
+    parts = F.transform(F.split("t", blank), lambda x, i: unit("paragraph", i, folded(without_copyright(F.lower(x)))))
+    paragraphs = F.when(F.col("t").rlike(blank), F.filter(parts, lambda u: near(F.length(u["fold"])))).otherwise(none)
+    respell = lambda u: F.struct(u["kind"].alias("kind"), u["position"].alias("position"), respelt(u["fold"]).alias("c"))
+    units = F.filter(F.transform(F.concat(whole, each, paragraphs), respell), lambda u: fits(F.length(u["c"])))
+    d = lines.select("__id", F.explode(units).alias("u")).select("__id", "u.kind", "u.position", F.sha2("u.c", 256).alias("digest"))
+    keys = known.select("digest", "license_id")
+    return d.join(F.broadcast(keys) if few else keys, "digest").select(F.col("__id").alias(id_col), "kind", "position", "license_id")
 
 
 def license_report(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: license_ids (sorted, comma-joined, '' if none), n_units, whole_license (null unless the whole text is one)."""
+    """One row per document: license_ids (sorted, comma-joined, '' if none), n_units, whole_license (null unless the whole text is one).
+
+    Null and empty texts have none; rows that share an id share the units of all of them; an empty table gives no rows.
+    """
     found = license_units(docs, known, id_col, text_col).groupBy(id_col).agg(
         F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("__ids"), F.count("*").alias("__n"), F.min(F.when(F.col("kind") == "document", F.col("license_id"))).alias("__whole"),
     )

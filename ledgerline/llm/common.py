@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Regular expression class of the bytes that separate words.
-BLANKS = r"[\x20\x09-\x0D]+"
+#: The setting that bounds Arrow batches, and its value where the session has none of its own.
+_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+#: Bits of a row's hash by which sampling counts rows, coarse and fine.
+COARSE, FINE = 8, 12
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +36,17 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_arrow(rows: DataFrame, run, schema: str) -> DataFrame:
+    """``rows.mapInArrow(run, schema)`` on batches of a few megabytes.
+
+    Batches are bounded by the session's setting. Where that still has Spark's own 64 MB, of which a task
+    holds several copies in and out of Python, it is set to ``BATCH_BYTES`` for the session.
+    """
+    if rows.sparkSession.conf.get(_BATCH) in ("64m", "64MB", "67108864", "67108864b"):
+        rows.sparkSession.conf.set(_BATCH, BATCH_BYTES)
+    return rows.mapInArrow(run, schema)
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z lower-cased and every other character left alone.
 
@@ -46,3 +59,42 @@ def lower_ascii(text: Column) -> Column:
 def text_or_empty(column: str = "text") -> Column:
     """The text column as a string, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def least_hashed(rows: DataFrame, group: str, ties: list[str], most: int) -> DataFrame:
+    """Of each value of ``group`` (a string column of few values) the ``most`` rows of least __h, then ``ties``.
+
+    Rows are counted by the first bits of the hash, then, where the limit falls, by the next ones, so
+    that only about ``most`` rows of a group are ever ranked, whatever share of the table it has. The
+    driver sees 256 counts and then 4,096 for a value. Null groups have no rows; fewer rows are all taken.
+    """
+    first, second = F.shiftrightunsigned("__h", 64 - COARSE), F.shiftrightunsigned("__h", 64 - COARSE - FINE)
+
+    def limits(counts: DataFrame, before: dict[str, int]) -> dict[str, tuple[int, int]]:
+        """By group the bucket in which its limit falls, and the rows before that bucket."""
+        out, total = {}, dict(before)
+        for r in counts.orderBy("g", "b").collect():
+            if r["g"] not in out or out[r["g"]][1] + out[r["g"]][2] < most:
+                out[r["g"]] = (r["b"], total.get(r["g"], 0), r["n"])
+                total[r["g"]] = total.get(r["g"], 0) + r["n"]
+        return {k: (b, n) for k, (b, n, _) in out.items()}
+
+    def table(found: dict[str, tuple[int, int]]) -> DataFrame:
+        return F.broadcast(rows.sparkSession.createDataFrame([(k, b) for k, (b, _) in found.items()], f"{group} string, __bucket bigint"))
+
+    count = F.count("*").alias("n")
+    known = rows.filter(F.col(group).isNotNull())
+    coarse = limits(known.groupBy(F.col(group).alias("g"), first.alias("b")).agg(count), {})
+    if not coarse:
+        return rows.limit(0)
+    inside = known.join(table(coarse), group).filter(first == F.col("__bucket"))
+    fine = limits(inside.groupBy(F.col(group).alias("g"), second.alias("b")).agg(count), {k: n for k, (_, n) in coarse.items()})
+    near = known.join(table(fine), group).filter(second <= F.col("__bucket"))
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.shiftrightunsigned("__h", 1), "__h", *ties))
+    return near.withColumn("__rank", rank).filter(F.col("__rank") <= most).repartition("__rank").select(*rows.columns)
+
+
+def columns_numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns __c0, __c1, ..., which clash with no working column, and the new name of each (the first of equal ones)."""
+    names = [f"__c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(reversed([*zip(df.columns, names)]))

@@ -90,7 +90,11 @@ def hits(low: Column, term: str) -> Column:
     The text is cut at the term and the lengths of the pieces are added up, so that a long text is read once.
     """
     pieces = F.split(low, re.escape(term), -1)
-    starts = F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda i: F.aggregate(F.slice(pieces, 1, i), F.lit(0), lambda n, p: n + F.length(p)) + (i - 1) * len(term) + 1)
+    # The place after each piece, carried along with the places found before it.
+    state = F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("starts"))
+    step = lambda s, p: F.struct((s["next"] + F.length(p) + len(term)).alias("next"), F.array_append(s["starts"], s["next"] + F.length(p)).alias("starts"))
+    found = F.aggregate(pieces, state, step, lambda s: s["starts"])
+    starts = F.slice(found, 1, F.size(found) - 1)
     return F.when(F.contains(low, F.lit(term)), starts).otherwise(F.array().cast("array<int>"))
 
 
@@ -127,9 +131,9 @@ def sentences(c: Column) -> Column:
     return F.filter(F.transform(parts, F.trim), lambda s: s != "")
 
 
-def sentence_nature(sentence: Column, negative: Sequence[str], alleged: Sequence[str], risk: Sequence[str], exempt_from_negation: Column | None = None) -> Column:
+def sentence_nature(sentence: Column, negative: Sequence[str], alleged: Sequence[str], risk: Sequence[str], exempt_from_negation: Column | None = None, is_folded: bool = False) -> Column:
     """NEGATIVA_EXPLICITA, ALEGACAO_OU_INVESTIGACAO, RISCO_OU_POSSIBILIDADE or SINAL_TEXTUAL_SEM_CONFIRMAR_CAUSALIDADE."""
-    f = fold(sentence)
+    f = sentence if is_folded else fold(sentence)
     holds = lambda markers: reduce(lambda a, b: a | b, [F.contains(f, F.lit(folded(m))) for m in markers], F.lit(False))
     no = holds(negative) if exempt_from_negation is None else holds(negative) & ~exempt_from_negation
     return first_match([(no, "NEGATIVA_EXPLICITA"), (holds(alleged), "ALEGACAO_OU_INVESTIGACAO"), (holds(risk), "RISCO_OU_POSSIBILIDADE")], "SINAL_TEXTUAL_SEM_CONFIRMAR_CAUSALIDADE")

@@ -22,9 +22,14 @@ def consolidated(acts: DataFrame, key: str, member: Sequence[str], order: Sequen
     return acts.groupBy(key).agg(F.count("*").alias("size"), F.min(s).alias("first"), F.array_sort(F.collect_list(s)).alias("members"))
 
 
+def any_flags(flags: Sequence[str]) -> list[Column]:
+    """Whether any row of a group has each flag; nulls are false (A3)."""
+    return [F.bool_or(F.coalesce(F.col(f), F.lit(False))).alias(f) for f in flags]
+
+
 def flags_or(df: DataFrame, key: str, flags: Sequence[str]) -> DataFrame:
     """Per key whether any row has each flag; nulls are false (A3)."""
-    return df.groupBy(key).agg(*[F.bool_or(F.coalesce(F.col(f), F.lit(False))).alias(f) for f in flags])
+    return df.groupBy(key).agg(*any_flags(flags))
 
 
 def best_member(df: DataFrame, key: str, rank: Sequence[Column], values: Sequence[str]) -> DataFrame:
@@ -111,7 +116,7 @@ def consumption(calls: DataFrame, tenant: str, at: str, cost: str, now: Column)
 
 def retries(jobs: DataFrame, keys: Sequence[str], at: str, status: str) -> DataFrame:
     """Attempts per key and the last status."""
-    return jobs.groupBy(*keys).agg(F.count("*").alias("attempts"), F.max_by(status, at).alias("last_status"))
+    return jobs.groupBy(*keys).agg(F.count("*").alias("attempts"), F.max_by(status, F.struct(at, status)).alias("last_status"))
 
 
 def with_sums(df: DataFrame, key: str, sums: Mapping[str, Column]) -> DataFrame:

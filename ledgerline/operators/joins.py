@@ -45,8 +45,8 @@ def only_known(items: DataFrame, known: DataFrame, column: str, key: str = "key"
 
 
 def inventory_diff(today: DataFrame, before: DataFrame, key: str, hash_col: str) -> DataFrame:
-    """today with status novo, alterado or identico against the inventory before."""
-    old = before.select(F.col(key).alias("__k"), F.col(hash_col).alias("__h")).dropDuplicates(["__k"])
+    """today with status novo, alterado or identico against the inventory before (J9). Of repeated keys there the least hash counts."""
+    old = before.groupBy(F.col(key).alias("__k")).agg(F.min(hash_col).alias("__h"))
     status = F.when(F.col("__k").isNull(), "novo").when(~F.col(hash_col).eqNullSafe(F.col("__h")), "alterado").otherwise("identico")
     return today.join(old, F.col(key) == F.col("__k"), "left").withColumn("status", status).drop("__k", "__h")
 
@@ -76,10 +76,34 @@ def antecedent_edges(df: DataFrame, item: str, criteria: Sequence[str]) -> DataF
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def shared_value_classes(df: DataFrame, item: str, criteria: Sequence[str]) -> DataFrame:
+    """Items that share a value, without pairing them (J10, J11): item, criterio, value, class_id (the smallest
+    item of the class) and links (how many others share the value). Blank values link nothing.
+
+    Every link is between two members of one class. Classes are aggregated before the join back, so that a
+    value of very many items costs its rows; adaptive execution splits a hot one.
+    """
+    rows = [df.filter(F.trim(F.col(c).cast("string")) != "").select(F.col(item).alias("item"), F.lit(c).alias("criterio"), F.col(c).cast("string").alias("value")) for c in criteria]
+    each = reduce(lambda a, b: a.unionByName(b), rows).distinct()
+    classes = each.groupBy("criterio", "value").agg(F.min("item").alias("class_id"), (F.count("*") - 1).alias("links")).filter("links > 0")
+    return each.join(classes, ["criterio", "value"]).select("item", "criterio", "value", "class_id", "links")
+
+
+def diagnosed(asked: DataFrame, stored: DataFrame, scores: DataFrame, known: DataFrame, key: str, process: str, current: str, seq: str) -> DataFrame:
+    """Asked ids with the process that their current score row names, and what is missing (J19): nao_armazenado,
+    sem_score_vigente, processo_desconhecido or ok. Of several current rows the last by ``seq`` counts."""
+    now = scores.filter(F.col(current)).groupBy(key).agg(F.max_by(process, F.struct(seq, process)).alias(process))
+    here = stored.select(F.col(key).alias("__stored")).distinct()
+    named = known.select(F.col(process).alias("__known")).distinct()
+    j = asked.join(here, F.col(key) == F.col("__stored"), "left").join(now.withColumnRenamed(key, "__key"), F.col("__stored") == F.col("__key"), "left").join(named, F.col(process) == F.col("__known"), "left")
+    state = F.when(F.col("__stored").isNull(), "nao_armazenado").when(F.col(process).isNull(), "sem_score_vigente").when(F.col("__known").isNull(), "processo_desconhecido").otherwise("ok")
+    return j.select(key, process, state.alias("situacao"))
+
+
 def upserted_edges(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Old and new edges, one per key, the old one staying."""
     both = old.withColumn("__age", F.lit(0)).unionByName(new.withColumn("__age", F.lit(1)))
-    return both.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy("__age"))).filter("__rn = 1").drop("__rn", "__age")
+    return both.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy("__age", *[c for c in old.columns if c not in keys]))).filter("__rn = 1").drop("__rn", "__age")
 
 
 def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, since: str, values: Sequence[str], fact_id: Sequence[str]) -> DataFrame:
@@ -104,7 +128,7 @@ def unmatched(children: DataFrame, parents: DataFrame, keys: Sequence[str]) -> D
 def rule_lookup(rows: DataFrame, rules: DataFrame, on: Sequence[str], null_safe: Sequence[str], version: str, values: Sequence[str], row_id: str) -> DataFrame:
     """Each row with the newest version of its rule; null matches null in ``null_safe`` columns."""
     keys = [*on, *null_safe]
-    newest = rules.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(version).desc()))).filter("__rn = 1").select(*[F.col(k).alias(f"__{k}") for k in keys], *values)
+    newest = rules.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(version).desc(), *values))).filter("__rn = 1").select(*[F.col(k).alias(f"__{k}") for k in keys], *values)
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in on] + [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in null_safe])
     return rows.join(newest, cond, "left").drop(*[f"__{k}" for k in keys])
 

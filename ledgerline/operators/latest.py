@@ -89,9 +89,11 @@ def relabelled(df: DataFrame, column: str, when: Column, to: str) -> DataFrame:
 
 def migrated_ids(rows: DataFrame, mapping: DataFrame, id_col: str, old: str, new: str) -> DataFrame:
     """Provisional ids replaced by real ones with an outcome (V4): ``migrado`` where the real id was free,
-    ``conflito`` where a row has it already (the id stays), ``mantido`` where nothing is mapped."""
+    ``conflito`` where a row has it already or a smaller provisional id of the rows is to become it too (the
+    id stays), ``mantido`` where nothing is mapped. Of several real ids for one provisional id the least counts."""
     taken = rows.select(F.col(id_col).alias("__taken")).distinct()
-    m = mapping.select(F.col(old).alias("__old"), F.col(new).alias("__new")).dropDuplicates(["__old"])
-    j = rows.join(m, F.col(id_col) == F.col("__old"), "left").join(taken, F.col("__new") == F.col("__taken"), "left")
-    outcome = F.when(F.col("__new").isNull(), "mantido").when(F.col("__taken").isNotNull(), "conflito").otherwise("migrado")
-    return j.withColumn("outcome", outcome).withColumn(id_col, F.when(F.col("outcome") == "migrado", F.col("__new")).otherwise(F.col(id_col))).drop("__old", "__new", "__taken")
+    m = mapping.groupBy(F.col(old).alias("__old")).agg(F.min(new).alias("__new"))
+    claims = m.join(taken.withColumnRenamed("__taken", "__old"), "__old", "left_semi").groupBy(F.col("__new").alias("__claimed")).agg(F.min("__old").alias("__first"))
+    j = rows.join(m, F.col(id_col) == F.col("__old"), "left").join(taken, F.col("__new") == F.col("__taken"), "left").join(claims, F.col("__new") == F.col("__claimed"), "left")
+    outcome = F.when(F.col("__new").isNull(), "mantido").when(F.col("__taken").isNotNull() | (F.col("__first") != F.col("__old")), "conflito").otherwise("migrado")
+    return j.withColumn("outcome", outcome).withColumn(id_col, F.when(F.col("outcome") == "migrado", F.col("__new")).otherwise(F.col(id_col))).drop("__old", "__new", "__taken", "__claimed", "__first")

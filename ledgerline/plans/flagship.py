@@ -25,7 +25,7 @@ def triage_queue(spark: SparkSession, folder: str, top: int = 20) -> DataFrame:
     key = keys.case_key(F.col("o_orderkey"), F.col("p_type"), F.to_date("l_shipdate"), F.col("o_custkey"), F.col("p_brand"), F.col("l_suppkey"), F.lit(None).cast("string"), [("economy", "standard")])
     flags = {"grande": F.col("l_quantity") > 40, "devolvido": F.col("l_returnflag") == "R", "caro": F.col("l_extendedprice") > 60000, "desconto": F.col("l_discount") >= 0.05, "urgente": F.col("o_orderpriority") == "1-URGENT", "vigente": F.coalesce("open", F.lit(False))}
     d = acts.select(key.alias("caso"), F.to_date("l_shipdate").alias("dia"), *[v.alias(k) for k, v in flags.items()])
-    case = counters.flags_or(d, "caso", list(flags)).join(d.groupBy("caso").agg(F.count("*").alias("atos"), F.max("dia").alias("ultimo_dia")), "caso")
+    case = d.groupBy("caso").agg(*counters.any_flags(list(flags)), F.count("*").alias("atos"), F.max("dia").alias("ultimo_dia"))
     on = {k: F.col(k) for k in flags}
     score = capped_score(on, {"grande": 4, "devolvido": 3, "caro": 3, "urgente": 2, "vigente": 1}, 10, {"desconto": -2}, [], [(on["grande"] & on["devolvido"] & on["caro"], 8)])
     ranked = case.withColumn("score", score).withColumn("faixa", banded(F.col("score"), [(8, "A"), (5, "B"), (2, "C")], "D"))

@@ -12,6 +12,7 @@ from ledgerline.functions.dates import add_years, age_days, months_until
 from ledgerline.functions.text import fold, folded, matched_words, sentence_nature, sentences, text_status
 from ledgerline.operators.rules import active, first_match
 from ledgerline.plans import vocabulary as V
+from ledgerline.plans.recalculation import industry_code
 
 
 def vocabulary_table(spark: SparkSession, gates: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -32,31 +33,32 @@ def gate_signals(df: DataFrame, key: str, text: str, gates: Mapping[str, Sequenc
     hits = F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(padded, F.concat(F.lit(" "), t, F.lit(" "))))
     vocabulary = vocabulary_table(df.sparkSession, gates)
     found = s.withColumn("folded", F.explode(hits)).join(F.broadcast(vocabulary), "folded")  # the vocabulary's size is fixed in code
-    nature = sentence_nature(F.col("sentence"), negative, alleged, risk, F.col("gate") == exempt)
+    nature = sentence_nature(F.col("__f"), negative, alleged, risk, F.col("gate") == exempt, is_folded=True)
     return found.withColumn("nature", nature).filter("nature <> 'NEGATIVA_EXPLICITA'").select(key, "position", "gate", "term", "nature", "sentence")
 
 
 def discovered(df: DataFrame, key: str, text: str, fields: Sequence[str] = (), gates: Mapping[str, Sequence[str]] = V.GATES, sector: Sequence[str] = V.SECTOR_TERMS, structured: Mapping[str, Sequence[str]] = V.STRUCTURED_GATES) -> DataFrame:
     """df's key with vinculo, portas (sorted gates), resultado, motivo, requer_revisao, selecionavel.
 
-    ``fields`` are boolean columns of df that structured gates and the industry link read; ``cnae`` is
-    read where df has it. The watch-list gate opens only with ``fato_novo``.
+    ``fields`` are columns of df (boolean, or filled when they hold) that structured gates and official links
+    read; ``cnae`` and ``documento_url`` are read where df has them. The watch-list gate opens only with news.
     """
     have = set(fields)
-    flag = lambda c: active(F.col(c)) if c in have else F.lit(False)
+    kinds = dict(df.dtypes)
+    flag = lambda c: F.lit(False) if c not in have else active(F.col(c)) if kinds[c] == "boolean" else F.coalesce(F.col(c).cast("string"), F.lit("")) != ""
+    any_flag = lambda cs: reduce(lambda a, b: a | b, [flag(c) for c in cs], F.lit(False))
+    news = any_flag(V.NOVELTY)
     signals = gate_signals(df, key, text, gates)
     opened = signals.groupBy(key).agg(F.array_sort(F.collect_set("gate")).alias("__gates"), F.bool_or(F.col("nature") != "SINAL_TEXTUAL_SEM_CONFIRMAR_CAUSALIDADE").alias("__unsure"))
     watch = flag("empresa_watchlist") | flag("ativo_watchlist") | flag("projeto_estrategico")
-    extra = [(reduce(lambda a, b: a | b, [flag(c) for c in cols], F.lit(False)) & (flag("fato_novo") if g.startswith("P8_") else F.lit(True)), g) for g, cols in structured.items()]
-    code = F.lit(False)
-    if "cnae" in df.columns:
-        digits = F.regexp_replace(F.coalesce(F.col("cnae").cast("string"), F.lit("")), r"\D", "")
-        code = reduce(lambda a, b: a | b, [F.startswith(digits, F.lit(c)) for c in V.INDUSTRY_CODES])
+    extra = [(reduce(lambda a, b: a | b, [flag(c) for c in cols], F.lit(False)) & (news if g.startswith("P8_") else F.lit(True)), g) for g, cols in structured.items()]
+    code = industry_code(F.col("cnae")).isNotNull() if "cnae" in df.columns else F.lit(False)
     contextual = F.coalesce(F.col("tipos_contextuais"), F.lit(0)) >= 2 if "tipos_contextuais" in df.columns else F.lit(False)
     d = df.withColumn("__sector", matched_words(F.col(text), sector)).join(opened, key, "left")
-    d = d.withColumn("__link", first_match([((F.size("__sector") > 0) | code | watch, "DIRETO"), (contextual, "CONTEXTUAL")], "NAO_COMPROVADO"))
+    d = d.withColumn("__link", first_match([((F.size("__sector") > 0) | code | any_flag(V.OFFICIAL_LINKS), "DIRETO"), (contextual, "CONTEXTUAL")], "NAO_COMPROVADO"))
     d = d.withColumn("portas", F.array_sort(F.array_distinct(F.concat(F.coalesce("__gates", F.array().cast("array<string>")), F.array_compact(F.array(*[F.when(c, F.lit(g)) for c, g in extra]))))))
-    empty = F.trim(F.coalesce(F.col(text), F.lit(""))) == ""
+    url = F.coalesce(F.col("documento_url").cast("string"), F.lit("")) != "" if "documento_url" in df.columns else F.lit(False)
+    empty = (F.trim(F.coalesce(F.col(text), F.lit(""))) == "") & ~url
     link, open_ = F.col("__link"), F.size("portas") > 0
     routine = flag("ato_rotineiro_inequivoco")
     result = first_match([

@@ -119,9 +119,12 @@ def ranked_queue(items: DataFrame, tenant: str = "empresa_id", key: str = "id")
     return items.withColumn("ordem", F.row_number().over(Window.partitionBy(tenant).orderBy(*keys)))
 
 
-def queue_arrays(ranked: DataFrame, columns: Sequence[str], tenant: str = "empresa_id", up_to: int = 1000) -> DataFrame:
-    """The head of each tenant's queue as one ordered array, for display."""
-    head = ranked.filter(F.col("ordem") <= up_to)
+def queue_arrays(ranked: DataFrame, columns: Sequence[str], tenant: str = "empresa_id", up_to: int | None = None) -> DataFrame:
+    """Each tenant's queue as one ordered array (A23), whole, or its first ``up_to`` places where a page is wanted.
+
+    A queue that does not fit a row stays as ``ranked``, which has the same order in ``ordem``.
+    """
+    head = ranked if up_to is None else ranked.filter(F.col("ordem") <= up_to)
     return head.groupBy(tenant).agg(F.array_sort(F.collect_list(F.struct("ordem", *columns))).alias("fila"))
 
 

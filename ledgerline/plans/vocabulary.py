@@ -221,3 +221,7 @@ TRANSITIONS = (
 REASON_REQUIRED = ("DESCARTAR", "DEVOLVER_ANALISE", "DESCARTAR_OU_MONITORAR", "DEVOLVER_REPROVADA", "DEVOLVER_FINAL", "REVOGAR_APROVACAO", "MANTER_MONITORADO", "REABRIR_DESCARTADO", "INCLUIR_MANUAL")
 MATRIX_STATES = ("confirmado", "nao_confirmado", "nao_localizado", "nao_aplicavel", "requer_apuracao_humana", "aguardando_contraditorio", "fonte_indisponivel", "divergencia_entre_fontes")
 IMPACT_CLASSES = ("FATO_PRINCIPAL", "ATRIBUICAO", "GRAVIDADE", "PERIFERICA")
+
+#: Fields that say that a fact is new, and fields that link an event to the sector officially.
+NOVELTY = ("novo_ou_alterado", "evento_novo", "fato_novo")
+OFFICIAL_LINKS = ("processo_anm", "identificador_sigbm", "cnpj_watchlist_confirmado", "empresa_watchlist_confirmada", "ativo_watchlist_confirmado", "atividade_licenciada_mineraria", "vinculo_oficial_confirmado", "empresa_watchlist", "ativo_watchlist", "projeto_estrategico")

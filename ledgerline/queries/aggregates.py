@@ -161,7 +161,17 @@ def retry_counter(t: Tables) -> DataFrame:
     return counters.retries(t.events, ["user_id", "event_type"], "event_id", "value")
 
 
-@query()
+@query(r"""
+WITH cur AS (SELECT o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC NULLS FIRST, o_orderkey) = 1),
+a AS (SELECT CASE WHEN regexp_matches(lower(p_type), 'economy|standard') THEN sha256(l_orderkey || '|familia:economy|standard')
+    ELSE sha256(concat_ws('|', coalesce(CAST(o_custkey AS VARCHAR), 'None'), CAST(CAST(l_shipdate AS DATE) AS VARCHAR), coalesce(p_brand, 'None'), CAST(l_suppkey AS VARCHAR))) END AS caso, CAST(l_shipdate AS DATE) AS dia,
+    l_quantity > 40 AS g, l_returnflag = 'R' AS d, l_extendedprice > 60000 AS c, l_discount >= 0.05 AS x, coalesce(o_orderpriority = '1-URGENT', false) AS u, cur.o_orderkey IS NOT NULL AS v
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN orders ON l_orderkey = orders.o_orderkey LEFT JOIN cur ON l_orderkey = cur.o_orderkey
+  WHERE CAST(l_shipdate AS DATE) >= DATE '1996-01-01' AND NOT coalesce(contains(lower(p_type), 'promo'), false)),
+b AS (SELECT caso, bool_or(g) AS g, bool_or(d) AS d, bool_or(c) AS c, bool_or(x) AS x, bool_or(u) AS u, bool_or(v) AS v, count(*) AS atos, max(dia) AS ultimo_dia FROM a GROUP BY caso),
+s AS (SELECT *, greatest(least(g::INT * 4 + d::INT * 3 + c::INT * 3 + u::INT * 2 + v::INT, 10) - x::INT * 2, 0) AS s0 FROM b),
+z AS (SELECT caso, atos, ultimo_dia, CAST(CASE WHEN g AND d AND c THEN greatest(s0, 8) ELSE s0 END AS DOUBLE) AS score FROM s)
+SELECT *, CASE WHEN score >= 8 THEN 'A' WHEN score >= 5 THEN 'B' WHEN score >= 2 THEN 'C' ELSE 'D' END AS faixa FROM z ORDER BY score DESC, ultimo_dia DESC, caso LIMIT 20""")
 def flagship(t: Tables) -> DataFrame:
     """The end-to-end query of ``entry``."""
     return triage_queue(t.spark, t.folder)

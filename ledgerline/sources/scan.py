@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +39,11 @@ def header_contract(spark: SparkSession, folder: str, files: Mapping[str, Sequen
     ``erro_colunas`` for another count, ``aviso_nomes`` for other names (case and byte order mark aside),
     ``ausente`` for a file that is not there.
     """
-    heads = spark.read.text(folder, encoding="ISO-8859-1", wholetext=False).select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("arquivo"), "value", F.monotonically_increasing_id().alias("__at"))
-    first = heads.groupBy("arquivo").agg(F.min_by("value", "__at").alias("cabecalho"))
+    # Only names are read of the folder, then one line of each wanted file: the limit ends its scan.
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    paths = spark.read.format("binaryFile").load(folder).select("path", name.alias("arquivo")).filter(F.col("arquivo").isin([k + suffix for k in files])).collect()
+    heads = [spark.read.option("encoding", "ISO-8859-1").text(r["path"]).limit(1).select(F.lit(r["arquivo"]).alias("arquivo"), F.col("value").alias("cabecalho")) for r in paths]
+    first = reduce(lambda a, b: a.unionByName(b), heads, spark.createDataFrame([], "arquivo string, cabecalho string"))
     wanted = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k + suffix).alias("arquivo"), F.lit(sep.join(v)).alias("esperado")) for k, v in files.items()])))
     j = wanted.join(first, "arquivo", "left")
     clean = lambda c: F.lower(F.regexp_replace(F.trim(c), "^(﻿|ï»¿)", ""))

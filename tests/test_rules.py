@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from ledgerline.functions import dates, keys, numbers, text
 from ledgerline.operators import joins, latest, scope
 from ledgerline.operators.rules import cascade
-from ledgerline.plans import calls, criticality, scores
+from ledgerline.plans import calls, criticality, notices, recalculation, scores
 from ledgerline.plans import vocabulary as V
+from ledgerline.sources import scan
 
 REF = "2026-10-14"
 ACT = "tipo_scm string, tipo_texto string, data_ato string, titular string, substancia string, area_ha string, n_municipios int, tem_evidencia boolean"
@@ -105,3 +106,42 @@ def test_selection_does_not_depend_on_row_order(spark):
     pick = lambda r: sorted((x.id_evento, x.posicao, x.resultado) for x in criticality.selected(spark.createDataFrame(r, cols).withColumn("nivel_potencial", F.lit(None).cast("string")), F.col("nivel").isin(*V.SELECTION_FLOOR), criticality.selection_order(), 5).collect())
     a = pick(rows)
     assert a == pick(rows[::-1]) and sum(x[2] == "escolhido" for x in a) == 5
+
+
+def test_two_provisional_ids_of_one_real_id_conflict(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "id bigint, n string")
+    m = spark.createDataFrame([(1, 9), (2, 9), (3, 4), (3, 8)], "o bigint, n bigint")
+    got = {r.n: (r.id, r.outcome) for r in latest.migrated_ids(rows, m, "id", "o", "n").collect()}
+    assert got == {"a": (9, "migrado"), "b": (2, "conflito"), "c": (3, "conflito"), "d": (4, "mantido")}
+
+
+def test_header_contract_reads_first_lines(spark, tmp_path):
+    for name, lines in {"Evento.txt": ["IDEvento;DSEvento", "1;a;b;c"], "Municipio.txt": ["IDMunicipio;NMMunicipio", "1;x"], "ProcessoMunicipio.txt": ["dsprocesso;IDMUN", "1;2"], "other.txt": ["x"]}.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n", encoding="latin-1")
+    got = {r.arquivo: r.situacao for r in scan.header_contract(spark, str(tmp_path)).collect()}
+    assert (got["Evento.txt"], got["Municipio.txt"], got["ProcessoMunicipio.txt"], got["Pessoa.txt"]) == ("ok", "erro_colunas", "aviso_nomes", "ausente") and "other.txt" not in got
+
+
+def test_hits_are_places_of_non_overlapping_terms(spark):
+    for t, want in (("abcabc", [1, 4]), ("xabc", [2]), ("", []), ("aba", []), ("abc" * 40, list(range(1, 121, 3)))):
+        got = spark.range(1).select(text.hits(F.lit(t), "abc").alias("h")).first().h
+        assert got == want
+
+
+def test_notice_labels_in_their_layouts(spark):
+    one = "N° Protocolo: 12/2026\nLOCAL; BR-040, km 3,5\nFONTE(S) DE INFORMAÇÕES: Z\nBREVE DESCRIÇÃO DA OCORRÊNCIA: caiu; o produto: óleo\nPRODUTO: n/a\nNúcleo de Prevenção e Emergência Ambiental\nRua"
+    df = spark.createDataFrame([(1, one), (2, None), (3, "nothing")], "id bigint, text string")
+    got = {r.id: r for r in notices.notice_details(df, "id", "text").collect()}
+    r = got[1]
+    assert (r.protocolo, r.local, r.fontes, r.descricao, r.produto, r.rodovia, r.km, r.municipio) == ("12/2026", "BR-040, km 3,5", "Z", "caiu; o produto: óleo", None, "BR-040", "3.5", None)
+    assert got[2].protocolo is None and got[3].local is None
+
+
+def test_notice_inputs_from_stored_rows(spark):
+    rows = [("processado", "confirmado", None, "Acidente 01/02/2026", '{"rejeito_ou_produto_perigoso_ou_volume_significativo": {"x": 1}}', 0), ("falha_extracao", "provavel", "2026-01-01", "", "not json", 3), (None, None, None, None, None, 2)]
+    df = spark.createDataFrame(rows, "status_processamento string, faixa_vinculo string, data_hora_ocorrencia string, titulo_fato string, gatilhos_aplicados string, nev int")
+    for c in recalculation.FACTS:
+        df = df.withColumn(c, F.lit(c == "vitimas"))
+    got = recalculation.notice_inputs(df).collect()
+    assert [(r.data_ocorrencia, r.tem_evidencia, sorted(k for k, v in r.sinais_textuais.items() if v)) for r in got] == [("01/02/2026", True, ["rejeito"]), ("2026-01-01", False, []), (None, True, [])]
+    assert got[0].confirmados["vitimas"] and not got[0].confirmados["risco_estrutura"]

@@ -17,9 +17,13 @@ ACT_FLAGS = (*V.ACT_WEIGHTS, *V.ACT_REDUCERS, "perda_de_lavra")
 LINK_FLAGS = (*V.LINK_WEIGHTS, "municipio_minerador", *V.LINK_REDUCERS, "cadeia_mineral_industrial_nao_confirmada")
 
 
-def act_signals(description: Column, substance: Column, holder: Column, area: Column, places: Column) -> dict[str, Column]:
-    """The 13 signals of an act (R1). Terms are looked for as substrings of the type's normal form, in words too."""
-    n = normalise(description)
+ACT_BANDS = ((8, "A"), (5, "B"), (2, "C"))
+
+
+def act_signals(description: Column, substance: Column, holder: Column, area: Column, places: Column, normal: Column | None = None) -> dict[str, Column]:
+    """The 13 signals of an act (R1). Terms are looked for as substrings of the type's normal form, in words too;
+    ``normal`` is that form where it is at hand."""
+    n = normalise(description) if normal is None else normal
     named = {k: has_substring(n, terms) for k, terms in V.ACT_TERMS.items()}
     done = suffix_status(n, V.SUFFIX_NEGATIVE, V.SUFFIX_PENDING, V.SUFFIX_DONE) == "concluido"
     size = F.replace(F.trim(F.coalesce(area.cast("string"), F.lit(""))), F.lit(","), F.lit("."))
@@ -55,7 +59,7 @@ def act_score(flags: Mapping[str, Column]) -> tuple[Column, Column, Column]:
     score = capped_score(flags, V.ACT_WEIGHTS, 10, V.ACT_REDUCERS, [(c, v) for _, c, v in caps], [(c, v) for _, c, v in floors])
     signed = [(k, w) for k, w in [*V.ACT_WEIGHTS.items(), *V.ACT_REDUCERS.items()]]
     reasons = listed([(active(flags[k]), f"{k}({w:+d})") for k, w in signed] + [(c, n) for n, c, _ in [*caps, *floors]])
-    return score, banded(score, [(8, "A"), (5, "B"), (2, "C")], "D"), reasons
+    return score, banded(score, ACT_BANDS, "D"), reasons
 
 
 def act_memory(flags: Mapping[str, Column]) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.text import normalised
 from ledgerline.operators import joins
 from ledgerline.operators.shared import written
-from ledgerline.plans import criticality, notices, recalculation, scores
+from ledgerline.plans import cases, checklist, criticality, notices, recalculation, scores
 from ledgerline.plans import vocabulary as V
 from ledgerline.queries.decisions import _ACTS_SQL, REF, _acts
 from ledgerline.queries.registry import Tables, query
@@ -124,3 +125,61 @@ def permit_verbs(t: Tables) -> DataFrame:
     """Decision verbs and mineral link of texts by the permit vocabularies."""
     d = F.col("text")
     return t.documents.select("doc_id", scores.permit_verb(F.coalesce(F.lower(d), F.lit(""))).alias("verbo"), scores.permit_link(F.col("lang"), F.col("source"), F.lower(d)).alias("vinculo"))
+
+
+_KINDS = ("CONC LAV/DECAIMENTO INSTAURADO PUBL", "AUT PESQ/CESSAO TOTAL APROVADA PUBL", "AUT PESQ/PAGAMENTO DE TAH EFETUADO", "RENUNCIA PROTOC", "PENHORA AVERBADA", "EXIGENCIA PUBL", "RETIFICACAO DE ALVARA DE PESQUISA", "OUTRO ATO")
+_KIND_LIST = "[" + ", ".join(f"'{k}'" for k in _KINDS) + "]"
+_HAS = {k: " OR ".join(f"contains(n, '{normalised(t)}')" for t in terms) for k, terms in V.ACT_TERMS.items()}
+
+
+def _case_acts(t: Tables) -> DataFrame:
+    """Lines as acts of the case of their order."""
+    s = F.col("l_suppkey")
+    return t.lineitem.select(
+        "l_orderkey", F.col("l_partkey").cast("string").alias("processo"), F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (F.col("l_partkey") % len(_KINDS) + 1).cast("int")).alias("descricao"), F.lit(None).cast("string").alias("narrativa"),
+        F.when(s % 3 == 0, "VALE S.A.").otherwise(F.concat(F.lit("OUTRA "), s.cast("string"))).alias("empresa"), F.when(F.col("l_partkey") % 5 != 0, F.col("l_linestatus")).alias("municipio"), F.to_date("l_shipdate").alias("data_evento"),
+        F.when(F.col("l_returnflag") == "R", "MINÉRIO DE FERRO").otherwise("GRANITO").alias("substancia"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity").cast("int").cast("string")).otherwise("").alias("area_ha"), "l_linenumber",
+    )
+
+
+@query(f"""
+WITH a AS (SELECT l_orderkey, l_partkey::VARCHAR AS processo, {_KIND_LIST}[l_partkey % {len(_KINDS)} + 1] AS d, CASE WHEN l_suppkey % 3 = 0 THEN 'VALE S.A.' ELSE 'OUTRA ' || l_suppkey END AS empresa, CASE WHEN l_partkey % 5 <> 0 THEN l_linestatus END AS mun,
+    CAST(l_shipdate AS DATE) AS dia, l_returnflag = 'R' AS est, l_linenumber % 2 = 0 AND CAST(l_quantity AS INTEGER) <> 0 AS dim, l_linenumber AS ln FROM lineitem),
+n AS (SELECT *, trim(regexp_replace(' ' || lower(regexp_replace(d, '[^A-Z0-9]+', ' ', 'g')) || ' ', ' de ', ' ', 'g')) AS n FROM a),
+f AS (SELECT *, {", ".join(f"({v}) AS {k}" for k, v in _HAS.items())}, empresa LIKE 'VALE%' AS emp FROM n),
+c AS (SELECT l_orderkey, count(*) AS atos, count(DISTINCT processo) AS processos, count(DISTINCT mun) AS municipios, min({{'o': ln, 'p': processo, 'd': d, 'e': empresa, 'm': coalesce(mun, ''), 't': dia}}) AS p,
+    bool_or(mudanca_material_direito) AS mm, bool_or(perda_de_lavra) AS pl, bool_or(alvara_comum_pesquisa) AS al, bool_or(reserva_ou_substancia) AS rs, bool_or(rotina) AS ro, bool_or(exigencia_generica) AS ex, bool_or(retificacao_formal) AS re, bool_or(dim) AS dim, bool_or(emp) AS emp, bool_or(est) AS est FROM f GROUP BY 1),
+s AS (SELECT *, greatest(least(mm::INT * 4 + al::INT * 2 + dim::INT * 2 + emp::INT * 2 + est::INT * 2 + rs::INT + (municipios >= 2)::INT, 10) - ro::INT * 5 - ex::INT * 3 - re::INT * 2, 0) AS s0 FROM c),
+t AS (SELECT *, least(s0, CASE WHEN ro THEN 1 ELSE 10 END, CASE WHEN ex THEN 4 ELSE 10 END, CASE WHEN al AND NOT (mm OR dim OR emp OR est OR rs OR municipios >= 2) THEN 4 ELSE 10 END, CASE WHEN rs AND NOT dim THEN 7 ELSE 10 END) AS s1 FROM s),
+u AS (SELECT *, CASE WHEN pl THEN greatest(s1, 8) ELSE s1 END AS score FROM t),
+v AS (SELECT *, CASE WHEN score >= 8 THEN 'A' WHEN score >= 5 THEN 'B' WHEN score >= 2 THEN 'C' ELSE 'D' END AS faixa, count(*) OVER (PARTITION BY p.e) - 1 AS antecedentes FROM u)
+SELECT l_orderkey, atos, processos, CAST(score AS DOUBLE) AS score, faixa, p.e = 'VALE S.A.' AS criterio_ok, CASE WHEN p.e <> 'VALE S.A.' THEN 'criterios:empresa' WHEN faixa NOT IN ('A', 'B') THEN 'banda_' || faixa END AS motivo_fila, antecedentes,
+  CASE WHEN 5 + (p.m <> '')::INT + (processos > 1 OR antecedentes > 0)::INT >= 6 THEN 'Media' ELSE 'Baixa' END AS grau FROM v""")
+def case_assembly(t: Tables) -> DataFrame:
+    """Acts assembled to scored cases with their queue reason, antecedents and completeness."""
+    acts = _case_acts(t)
+    order = F.struct("l_linenumber", "processo", "descricao", "empresa", F.coalesce("municipio", F.lit("")).alias("m"), "data_evento")
+    found = cases.assembled(acts, "l_orderkey", order, {"score_m9a": 1.0}, F.create_map(F.lit("empresa"), F.lit("vale s.a.")))
+    return found.select("l_orderkey", "atos", "processos", "score", "faixa", "criterio_ok", "motivo_fila", "antecedentes", "grau")
+
+
+@query("""
+WITH c AS (SELECT c_custkey AS k, c_custkey % 7 = 0 AS x, c_custkey % 5 = 0 AS y, c_acctbal > 0 AS z, c_nationkey % 2 = 0 AS w FROM customer),
+a AS (SELECT 'atos' AS modulo, k, list_transform(['S', CASE WHEN x THEN 'N' ELSE 'S' END, CASE WHEN z THEN 'S' ELSE 'N' END, 'S', 'A', CASE WHEN w THEN 'S' ELSE 'N' END, CASE WHEN y THEN 'S' WHEN x THEN 'N' ELSE 'A' END, CASE WHEN w THEN 'S' ELSE 'N' END, 'A', 'A', CASE WHEN z THEN 'S' ELSE 'N' END, 'A'], lambda q: q) AS r FROM c
+  UNION ALL SELECT 'comunicados', k, list_transform(['S', CASE WHEN x THEN 'N' ELSE 'S' END, CASE WHEN z OR w THEN 'S' ELSE 'N' END, 'S', CASE WHEN w THEN 'S' ELSE 'N' END, CASE WHEN w THEN 'S' ELSE 'N' END, CASE WHEN x THEN 'X' WHEN z THEN 'S' ELSE 'A' END, 'X', 'X', 'A', CASE WHEN w THEN 'S' ELSE 'N' END, 'A'], lambda q: CASE WHEN y THEN 'A' ELSE q END) FROM c
+  UNION ALL SELECT 'outorgas', k, list_transform(['S', CASE WHEN x THEN 'N' ELSE 'S' END, CASE WHEN z THEN 'S' ELSE 'N' END, 'S', CASE WHEN w THEN 'S' ELSE 'N' END, CASE WHEN w OR z THEN 'S' ELSE 'N' END, CASE WHEN z THEN 'S' ELSE 'A' END, 'S', CASE WHEN x THEN 'A' ELSE 'S' END, 'A', CASE WHEN w THEN 'S' ELSE 'N' END, 'A'], lambda q: CASE WHEN y THEN 'X' WHEN x THEN 'A' ELSE q END) FROM c)
+SELECT k AS c_custkey, modulo, array_to_string(r, '') AS respostas FROM a""")
+def module_checklists(t: Tables) -> DataFrame:
+    """The twelve answers of each module's rules."""
+    k = F.col("c_custkey")
+    x, y, z, w = k % 7 == 0, k % 5 == 0, F.col("c_acctbal") > 0, F.col("c_nationkey") % 2 == 0
+    filled = lambda condition: F.when(condition, "x")
+    day = F.lit("2001-01-01")
+    answers = {
+        "atos": checklist.act_answers({"titular": filled(~x), "municipio": filled(z), "data_evento": day, "descricao": filled(w)}, F.when(y, "comprovado").when(x, "nao_comprovado").otherwise("provavel"), z),
+        "comunicados": checklist.notice_answers({"empresa": filled(~x), "local": filled(z), "municipio": filled(w), "data_ocorrencia": day, "volume": F.when(w, 1.5), "descricao": filled(w), "modalidade": F.lit("")}, y, F.when(x, "descartado").otherwise("confirmado"), z, w),
+        "outorgas": checklist.permit_answers({"titular": filled(~x), "municipio": filled(z), "data_decisao": day, "finalidade": filled(w), "portaria": filled(z)}, y, F.when(x, "indeterminado").otherwise("suspensao"), w, z, w, F.when(~x, z)),
+    }
+    letter = F.create_map(*[F.lit(v) for kv in {"confirmado": "S", "nao_localizado": "N", "nao_aplicavel": "X", "requer_apuracao_humana": "A"}.items() for v in kv])
+    rows = [checklist.answered(t.customer, "c_custkey", a).groupBy("c_custkey").agg(F.array_sort(F.collect_list(F.struct("pergunta", F.element_at(letter, F.col("resposta")).alias("r")))).alias("q")).select("c_custkey", F.lit(m).alias("modulo"), F.array_join(F.transform("q", lambda q: q["r"]), "").alias("respostas")) for m, a in answers.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.text import normalised
 from ledgerline.operators import joins
 from ledgerline.operators.shared import written
-from ledgerline.plans import cases, checklist, criticality, notices, recalculation, scores
+from ledgerline.plans import calls, cases, checklist, criticality, notices, recalculation, scores
 from ledgerline.plans import vocabulary as V
 from ledgerline.queries.decisions import _ACTS_SQL, REF, _acts
 from ledgerline.queries.registry import Tables, query
@@ -183,3 +183,26 @@ def module_checklists(t: Tables) -> DataFrame:
     letter = F.create_map(*[F.lit(v) for kv in {"confirmado": "S", "nao_localizado": "N", "nao_aplicavel": "X", "requer_apuracao_humana": "A"}.items() for v in kv])
     rows = [checklist.answered(t.customer, "c_custkey", a).groupBy("c_custkey").agg(F.array_sort(F.collect_list(F.struct("pergunta", F.element_at(letter, F.col("resposta")).alias("r")))).alias("q")).select("c_custkey", F.lit(m).alias("modulo"), F.array_join(F.transform("q", lambda q: q["r"]), "").alias("respostas")) for m, a in answers.items()]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("""
+WITH c AS (SELECT o_orderkey AS k, o_orderkey % 13 AS z FROM orders)
+SELECT k AS o_orderkey, CASE z WHEN 0 THEN 'json_invalido' WHEN 1 THEN 'secoes_diferentes_do_schema' WHEN 2 THEN 'fato_confirmado_vazio' WHEN 3 THEN 'fato_confirmado_citacao_inexistente,fato_confirmado_sem_citacao' WHEN 4 THEN 'numero_nao_encontrado_no_dossie:fato_confirmado'
+    WHEN 6 THEN 'perguntas_redacao_itens_demais' WHEN 7 THEN 'atribui_score_ou_prioridade' WHEN 8 THEN 'libera_publicacao' WHEN 9 THEN 'hipotese_apuracao_estrutura_invalida' WHEN 10 THEN 'lacunas_sem_itens' WHEN 11 THEN 'numero_nao_encontrado_no_dossie:rascunho_pre_release' ELSE '' END AS erros,
+  CASE WHEN z IN (0, 1) THEN '' WHEN z = 12 THEN 'contexto_documental_sem_citacao,numero_fora_do_dossie:avaliacao_editorial' ELSE 'contexto_documental_sem_citacao' END AS avisos FROM c""")
+def analysis_audit(t: Tables) -> DataFrame:
+    """Stored analyses held against their dossiers (R32): both date forms of the day of the order are good, other numbers are not."""
+    z, day = F.col("o_orderkey") % 13, F.to_date("o_orderdate")
+    at = lambda n, bad, good: F.when(z == n, bad).otherwise(good)
+    fact = F.when(z == 2, F.lit("curto")).when(z == 4, F.lit("Foram 98765 toneladas, segundo o auto")).when(z == 7, F.lit("O fato recebe nota final: 9 na escala")).when(z == 8, F.lit("O texto pode ser publicado assim, sem mais")).otherwise(F.concat(F.lit("O ato foi publicado em "), F.date_format(day, "dd/MM/yyyy"), F.lit(" no diário")))
+    cites = at(3, F.array(F.lit(9)), F.array(F.lit(1), F.lit(2)))
+    draft = at(11, F.lit("Em 11.222.333 casos"), F.when(z == 5, F.date_format(day, "yyyy-MM-dd")))
+    shape = F.struct(
+        F.struct(fact.alias("texto"), cites.alias("citacoes")).alias("fato_confirmado"), F.struct(F.lit("contexto").alias("texto"), F.array().cast("array<int>").alias("citacoes")).alias("contexto_documental"),
+        F.struct(at(12, F.lit("Prazo de 4567 dias úteis"), F.lit("relevante ao setor")).alias("texto")).alias("avaliacao_editorial"), F.struct(F.lit("verificar a origem").alias("texto"), at(9, F.lit("x"), F.lit(None).cast("string")).alias("extra")).alias("hipotese_apuracao"),
+        at(10, F.array().cast("array<string>"), F.array(F.lit("data"))).alias("lacunas"), at(6, F.array_repeat(F.lit("por quê?"), 7), F.array(F.lit("quem?"))).alias("perguntas_redacao"),
+        F.struct(F.lit("ouvir os dois lados").alias("texto"), F.coalesce(draft, F.lit("")).alias("rascunho_pre_release")).alias("proposta_abordagem"), at(1, F.lit(1), F.lit(None).cast("int")).alias("outra"),
+    )
+    d = t.orders.select("o_orderkey", F.when(z == 0, "{").otherwise(F.to_json(shape)).alias("resposta"), F.concat(F.lit("Publicado em "), F.date_format(day, "yyyy-MM-dd")).alias("dossie"), F.lit(2).alias("n"))
+    found = calls.audited_analyses(d, "resposta", "dossie", "n")
+    return found.select("o_orderkey", F.array_join(F.array_sort("erros"), ",").alias("erros"), F.array_join("avisos", ",").alias("avisos"))

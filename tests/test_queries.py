@@ -9,7 +9,7 @@ import pytest
 from ledgerline.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-SOME = ("enrich_fact", "scoped_load_counts", "asof_price", "consolidate_cases", "capped_score_bands", "selection_groups", "queue_rank", "transition_violations", "version_rotation", "field_audit", "stream_state", "page_links", "date_functions", "flagship", "recalculated_scores", "act_inputs", "antecedent_classes", "diagnostic_ids", "notice_fields", "module_names", "industry_codes", "id_migration", "case_assembly", "module_checklists")
+SOME = ("enrich_fact", "scoped_load_counts", "asof_price", "consolidate_cases", "capped_score_bands", "selection_groups", "queue_rank", "transition_violations", "version_rotation", "field_audit", "stream_state", "page_links", "date_functions", "flagship", "recalculated_scores", "act_inputs", "antecedent_classes", "diagnostic_ids", "notice_fields", "module_names", "industry_codes", "id_migration", "case_assembly", "module_checklists", "analysis_audit")
 
 
 @pytest.fixture(scope="module")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return out if rank else out.drop(name)
 
 
+def ranked_in_parts(df: DataFrame, per: Sequence[str], leading: Sequence[tuple[Column, bool]], rest: Sequence[Column], rank: str) -> DataFrame:
+    """``df`` with its place, from 1, within ``per`` by the ``leading`` keys (value, whether it descends), then ``rest``.
+
+    For few groups of very many rows: rows are counted by their leading keys, the running totals of these counts are
+    the offsets, and only rows with equal leading keys are ranked together, so no task sorts a whole group.
+    """
+    names = [f"__k{i}" for i in range(len(leading))]
+    d = df.withColumns({n: v for n, (v, _) in zip(names, leading)})
+    order = [F.col(n).desc() if down else F.col(n).asc() for n, (_, down) in zip(names, leading)]
+    counts = d.groupBy(*per, *names).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*per).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    keys = [*per, *names]
+    offsets = counts.select(*[F.col(k).alias(f"__at_{k}") for k in keys], F.coalesce(before, F.lit(0)).alias("__before"))
+    inside = d.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*rest)))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__at_{k}")) for k in keys])
+    return inside.join(offsets, on).withColumn(rank, (F.col("__before") + F.col("__rn")).cast("int")).select(*df.columns, rank)
+
+
 def currently_valid(links: DataFrame, key: str, start: str, end: str, tie: str) -> DataFrame:
     """Per key the open link (end blank or null) of latest start, compared as text; a null start wins."""
     open_ = links.filter(F.coalesce(F.trim(F.col(end).cast("string")), F.lit("")) == "")

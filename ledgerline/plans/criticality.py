@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import age_days, to_day
 from ledgerline.functions.numbers import dump_area
 from ledgerline.functions.text import has_phrase, normalise
+from ledgerline.operators.latest import ranked_in_parts
 from ledgerline.operators.rules import active, cascade, first_match, listed, rank_of
 from ledgerline.plans import vocabulary as V
 
@@ -194,13 +195,16 @@ def page(df: DataFrame, order: Sequence[Column], offset: int, size: int) -> Data
     return df.orderBy(*order).offset(offset).limit(size)
 
 
-def simulated(df: DataFrame, before: str, per: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
+def simulated(df: DataFrame, before: str, per: Sequence[str], limit: int) -> DataFrame:
     """What-if rows: grupo, posicao_no_grupo, dentro_do_teto, movimento against the priority before, ab_para_d.
 
-    ``df`` is classified, with grupo. A changed rule is a changed argument of the classification.
+    ``df`` is classified, with grupo; places are by the selection key. Groups are few and large, so they are ranked
+    in parts of equal level, priority, points and age. A changed rule is a changed argument of the classification.
     """
-    w = Window.partitionBy(*per, "grupo").orderBy(*order)
-    out = df.withColumn("posicao_no_grupo", F.row_number().over(w))
+    level = rank_of(F.coalesce("nivel_potencial", "nivel"), V.LEVELS)
+    place = F.when(F.col("prioridade").isNull(), 4).otherwise(F.instr(F.lit("ABCD"), F.col("prioridade")) - 1)
+    leading = [(level, True), (place, False), (F.coalesce("pontuacao", F.lit(0.0)), True), (F.coalesce("idade_dias", F.lit(10**9)), False)]
+    out = ranked_in_parts(df, [*per, "grupo"], leading, [F.coalesce("qualidade_evidencia", F.lit(0)).desc(), F.col("id_evento").asc()], "posicao_no_grupo")
     was, now = F.instr(F.lit("DCBA"), F.coalesce(F.col(before), F.lit("-"))), F.instr(F.lit("DCBA"), F.coalesce(F.col("prioridade"), F.lit("-")))
     move = first_match([(now > was, "subiu"), (now < was, "desceu")], "igual")
     return out.withColumn("dentro_do_teto", (F.col("grupo") == "SELECIONAVEL_AGORA") & (F.col("posicao_no_grupo") <= limit)).withColumn("movimento", move).withColumn("ab_para_d", F.coalesce(F.col(before).isin("A", "B") & (F.col("prioridade") == "D"), F.lit(False)))

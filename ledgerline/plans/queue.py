@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import json as J
-from ledgerline.operators.latest import current_score
+from ledgerline.operators.latest import current_score, ranked_in_parts
+from ledgerline.operators.shared import written
 from ledgerline.operators.rules import active, first_match, listed
 from ledgerline.plans import vocabulary as V
 
@@ -113,10 +114,15 @@ def queue_items(events: DataFrame, scores: DataFrame, evidence: DataFrame, docum
 
 
 def ranked_queue(items: DataFrame, tenant: str = "empresa_id", key: str = "id") -> DataFrame:
-    """items with ordem, the place in their tenant's queue, by eight keys."""
+    """items with ordem, the place in their tenant's queue, by eight keys.
+
+    Tenants are few and their queues may be long, so these are ranked in parts of equal state, ranks and time (of
+    a time that is text, its first six characters).
+    """
     score = F.coalesce(F.when(F.col("decisorio"), F.col("score_valor").cast("double")), F.lit(-1e18))
-    keys = [F.col("atualizado").desc(), F.col("rank_prioridade").desc(), F.col("rank_criticidade").desc(), F.col("material_ts").desc(), F.col("inedito").desc(), score.desc(), F.col("qualidade_evidencia").desc(), F.col(key).desc()]
-    return items.withColumn("ordem", F.row_number().over(Window.partitionBy(tenant).orderBy(*keys)))
+    leading = [(F.col("atualizado"), True), (F.col("rank_prioridade"), True), (F.col("rank_criticidade"), True), (F.substring("material_ts", 1, 6) if dict(items.dtypes)["material_ts"] == "string" else F.col("material_ts"), True)]
+    rest = [F.col("material_ts").desc(), F.col("inedito").desc(), score.desc(), F.col("qualidade_evidencia").desc(), F.col(key).desc()]
+    return ranked_in_parts(written(items, "queue-items"), [tenant], leading, rest, "ordem")
 
 
 def queue_arrays(ranked: DataFrame, columns: Sequence[str], tenant: str = "empresa_id", up_to: int | None = None) -> DataFrame:

@@ -164,7 +164,7 @@ WITH {_ACTS_SQL} SELECT id_evento, {_GROUP} AS grupo, CAST(row_number() OVER (PA
 def rule_simulation(t: Tables) -> DataFrame:
     """What-if simulation of the rules over all events."""
     d = _grouped(t).withColumn("antes", F.element_at(F.array(*[F.lit(x) for x in "ABCD"]), (F.col("id_evento") % 4 + 1).cast("int")))
-    return criticality.simulated(d, "antes", [], criticality.selection_order(), 20).select("id_evento", "grupo", "posicao_no_grupo", "dentro_do_teto", "movimento", "ab_para_d")
+    return criticality.simulated(d, "antes", [], 20).select("id_evento", "grupo", "posicao_no_grupo", "dentro_do_teto", "movimento", "ab_para_d")
 
 
 @query(f"""

@@ -27,10 +27,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import in_arrow, kept_by_worker
+
 #: Pieces (in two generations) and states that one Python worker keeps; beyond, it starts anew. They bound memory only.
-PIECES_KEPT, STATES_KEPT = 100_000, 300_000
+PIECES_KEPT, STATES_KEPT = 80_000, 200_000
 #: Rows of an outgoing Arrow batch, ids that a decoder takes at once, bytes after which a long piece emits its sure tokens.
-ROWS_OUT, IDS_AT_ONCE, BLOCK = 512, 1 << 16, 1 << 12
+ROWS_OUT, IDS_AT_ONCE, BLOCK = 256, 1 << 16, 1 << 12
 #: Rank of a pair that never merges; the last token at the start of a piece.
 NEVER, START = 1 << 40, -1
 
@@ -214,28 +216,15 @@ class Encoder:
     """Ids of texts, cut into pieces by the pattern."""
 
     def __init__(self, transducer: Transducer, pattern: str):
-        self.cut, self.pieces = regex.compile(pattern), Kept(lambda piece: transducer.encode(piece.encode()))
+        self.cut, self.tokens = regex.compile(pattern), transducer.tokens
+        self.pieces = Kept(lambda piece: transducer.encode(piece.encode()))
 
     def ids(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.cut.findall(text)))
 
 
-#: What this Python worker has made: the rules of one file, and the encoder of one pattern over them.
-_made: dict[str, tuple] = {}
-
-
-def _transducer(path: str) -> Transducer:
-    if _made.get("rules", ("",))[0] != path:
-        _made.clear()
-        _made["rules"] = (path, Transducer(read_ranks(path)))
-    return _made["rules"][1]
-
-
 def _encoder(path: str, pattern: str) -> Encoder:
-    rules = _transducer(path)
-    if _made.get("encoder", ("",))[0] != (pattern):
-        _made["encoder"] = ((pattern), Encoder(rules, pattern))
-    return _made["encoder"][1]
+    return kept_by_worker(("bpe", path, pattern), lambda: Encoder(Transducer(read_ranks(path)), pattern))
 
 
 class Utf8Stream:
@@ -294,6 +283,22 @@ def _uncollected() -> Iterator[None]:
             gc.enable()
 
 
+def _encoded(encoder: Encoder, texts: pa.Array) -> list[bytes]:
+    with _uncollected():
+        return [encoder.ids(t) if t else b"" for t in texts.to_pylist()]
+
+
+def _decoded(tokens: dict[int, bytes], encoded: list[bytes | None]) -> list[str]:
+    texts = []
+    for packed in encoded:
+        ids, stream, chars = array("I", packed or b""), Utf8Stream(), []
+        for k in range(0, len(ids), IDS_AT_ONCE):
+            chars.append(stream.feed(b"".join(map(tokens.__getitem__, ids[k : k + IDS_AT_ONCE]))))
+        chars.append(stream.finish())
+        texts.append("".join(chars))
+    return texts
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ids (binary, little-endian unsigned 32-bit).
 
@@ -307,13 +312,14 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
-                with _uncollected():
-                    ids = [encoder.ids(t) if t else b"" for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["__id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_encoded(encoder, part.column(1)), pa.binary())], ["__id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    return rows.mapInArrow(run, f"__id {kind}, ids binary").withColumnRenamed("__id", id_col)
+    return in_arrow(_id_and_text(docs, id_col, text_col), run, f"__id {kind}, ids binary", keeps=True).withColumnRenamed("__id", id_col)
+
+
+def _id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataFrame:
@@ -324,21 +330,30 @@ def decode_documents(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id"
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _transducer(ranks_path).tokens
+        tokens = kept_by_worker(("tokens", ranks_path), lambda: {r: t for t, r in read_ranks(ranks_path).items()})
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
-                texts = []
-                for packed in part.column(1).to_pylist():
-                    ids, stream, chars = array("I", packed or b""), Utf8Stream(), []
-                    for k in range(0, len(ids), IDS_AT_ONCE):
-                        chars.append(stream.feed(b"".join(map(tokens.__getitem__, ids[k : k + IDS_AT_ONCE]))))
-                    chars.append(stream.finish())
-                    texts.append("".join(chars))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["__id", "ids", "text"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_decoded(tokens, part.column(1).to_pylist()), pa.string())], ["__id", "ids", "text"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(F.col(id_col).alias("__id"), "ids").mapInArrow(run, f"__id {kind}, ids binary, text string").withColumnRenamed("__id", id_col)
+    return in_arrow(encoded.select(F.col(id_col).alias("__id"), "ids"), run, f"__id {kind}, ids binary, text string", keeps=True).withColumnRenamed("__id", id_col)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, ids and text as ``decode_documents`` of ``encode_documents`` gives them, in one pass: in Spark each of
+    these would hold a Python worker of its own, with the rules in both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(ranks_path, pattern)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_OUT):
+                part = batch.slice(at, ROWS_OUT)
+                ids = _encoded(encoder, part.column(1))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(_decoded(encoder.tokens, ids), pa.string())], ["__id", "ids", "text"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return in_arrow(_id_and_text(docs, id_col, text_col), run, f"__id {kind}, ids binary, text string", keeps=True).withColumnRenamed("__id", id_col)
 
 
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -346,5 +361,5 @@ def token_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
 
     Null and empty texts have no tokens and the digests of no bytes; equal rows give equal rows.
     """
-    back = decode_documents(encode_documents(docs, ranks_path, pattern, id_col, text_col), ranks_path, id_col)
+    back = round_trip(docs, ranks_path, pattern, id_col, text_col)
     return back.select(id_col, F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))

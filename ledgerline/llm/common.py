@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,15 +38,37 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_arrow(rows: DataFrame, run, schema: str) -> DataFrame:
+#: What this Python worker keeps between tasks, by name.
+_kept: dict[object, object] = {}
+
+
+def kept_by_worker(name: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in a Python worker. It keeps one thing at a time, so that the models of
+    operators that follow one another in it do not add up."""
+    if name not in _kept:
+        _kept.clear()
+        gc.collect()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def in_arrow(rows: DataFrame, run: Callable[[Iterator], Iterator], schema: str, keeps: bool = False) -> DataFrame:
     """``rows.mapInArrow(run, schema)`` on batches of a few megabytes.
 
     Batches are bounded by the session's setting. Where that still has Spark's own 64 MB, of which a task
-    holds several copies in and out of Python, it is set to ``BATCH_BYTES`` for the session.
+    holds several copies in and out of Python, it is set to ``BATCH_BYTES`` for the session. Unless ``run``
+    itself ``keeps`` something between tasks, whatever the worker kept before is let go first.
     """
     if rows.sparkSession.conf.get(_BATCH) in ("64m", "64MB", "67108864", "67108864b"):
         rows.sparkSession.conf.set(_BATCH, BATCH_BYTES)
-    return rows.mapInArrow(run, schema)
+
+    def tidy(batches: Iterator) -> Iterator:
+        if _kept:
+            _kept.clear()
+            gc.collect()
+        yield from run(batches)
+
+    return rows.mapInArrow(run if keeps else tidy, schema)
 
 
 def lower_ascii(text: Column) -> Column:

@@ -4,7 +4,8 @@ Copies are first combined inside each input partition, then per (digest, salt),
 winners per digest. All three are grouped aggregations whose key holds the whole normalised text,
 so texts are compared in full at every stage and two texts of one digest are never taken for equal.
 The first two are one aggregation in Spark: its map side is the local stage. A group that holds a
-third of all rows reaches the last stage as at most ``salts`` rows.
+third of all rows reaches the last stage as at most ``salts`` rows. Only the answer travels back to the
+rows by SHA-256 alone, so that no text is shuffled for it.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import lower_ascii, text_or_empty
+from ledgerline.llm.common import columns_numbered, lower_ascii, text_or_empty
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 32) -> DataFrame:
@@ -42,9 +43,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 32) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Rows that repeat a kept id stay too."""
-    keep = exact_duplicates(docs, id_col, text_col, salts).filter("kept").select(F.col(id_col).alias("__kept_id")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("__kept_id")), "left_semi")
+    """The rows of ``docs`` that stay, with all their columns, whatever their names.
+
+    Of equal texts the rows of the largest id stay: one, or all that repeat both id and text.
+    """
+    keep = duplicate_groups(docs, id_col, text_col, salts).select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep_id"))
+    numbered, name = columns_numbered(docs)
+    digest = F.sha2(lower_ascii(text_or_empty(name[text_col])), 256)
+    stays = (digest == F.col("__digest")) & F.col(name[id_col]).eqNullSafe(F.col("__keep_id"))
+    return numbered.join(keep, stays, "left_semi").toDF(*docs.columns)
 
 
 ORACLE_SQL = """

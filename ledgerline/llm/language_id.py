@@ -21,21 +21,19 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import settled
+from ledgerline.llm.common import in_arrow, kept_by_worker, least_hashed, settled
 
 #: n-gram order; training rows per language (a bounded sample of labelled rows: those of least hash).
 ORDER, TRAIN_ROWS = 4, 2000
 #: Share of a language's training documents that rejection may cost, and how far beyond them it begins.
 REJECT_RATE, SLACK = 0.001, 2.0
-#: Bits of a row's hash by which sampling counts rows, coarse and fine.
-COARSE, FINE = 8, 12
 #: A word's letters beyond so many are scored in pieces of this length, so that long runs stay whole.
 PIECE = 64
 #: Chunks and n-grams that a worker remembers, and numbers over all languages in either memory.
-CHUNKS_KEPT, GRAMS_KEPT, BITS_KEPT = 300_000, 400_000, 4_000_000
+CHUNKS_KEPT, GRAMS_KEPT, BITS_KEPT = 200_000, 400_000, 4_000_000
 #: Rows of an outgoing batch; characters of texts whose new chunks are scored at once.
 ROWS_OUT, CHARS_AT_ONCE = 512, 1 << 20
 LETTERS = regex.compile(r"\p{L}+")
@@ -231,17 +229,6 @@ class Scorer:
         return entropy, length
 
 
-#: The scorer of the model that this Python worker has used last.
-_scorers: dict[str, Scorer] = {}
-
-
-def _scorer(model: LanguageModel) -> Scorer:
-    if model.name not in _scorers:
-        _scorers.clear()
-        _scorers[model.name] = Scorer(model)
-    return _scorers[model.name]
-
-
 def _scored(rows: DataFrame, model: LanguageModel, extra: str, result) -> DataFrame:
     """mapInArrow over (__id, ..., __text): ``result`` gives the output columns of a batch's entropies."""
     spark = rows.sparkSession
@@ -250,7 +237,7 @@ def _scored(rows: DataFrame, model: LanguageModel, extra: str, result) -> DataFr
     kept = rows.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared.value)
+        scorer = kept_by_worker(("language", shared.value.name), lambda: Scorer(shared.value))
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
@@ -259,38 +246,7 @@ def _scored(rows: DataFrame, model: LanguageModel, extra: str, result) -> DataFr
         scorer.forget()
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{schema}, {extra}")
-
-
-def least_hashed(known: DataFrame, rows: int) -> DataFrame:
-    """Of each __lang the ``rows`` rows of least (__h, __id): __lang, __text.
-
-    Rows are counted by the first bits of the hash, then, where the limit falls, by the next ones, so
-    that only about ``rows`` rows a language are ever ranked, whatever share of the table it has.
-    """
-    first, second = F.shiftrightunsigned("__h", 64 - COARSE), F.shiftrightunsigned("__h", 64 - COARSE - FINE)
-
-    def limits(counts: DataFrame, before: dict[str, int]) -> dict[str, tuple[int, int]]:
-        """By language the bucket in which its limit falls, and the rows before that bucket."""
-        out, total = {}, dict(before)
-        for r in counts.orderBy("__lang", "b").collect():
-            if r["__lang"] not in out or out[r["__lang"]][1] + out[r["__lang"]][2] < rows:
-                out[r["__lang"]] = (r["b"], total.get(r["__lang"], 0), r["n"])
-                total[r["__lang"]] = total.get(r["__lang"], 0) + r["n"]
-        return {k: (b, n) for k, (b, n, _) in out.items()}
-
-    def table(found: dict[str, int]) -> DataFrame:
-        return known.sparkSession.createDataFrame([*found.items()], "__lang string, b bigint")
-
-    coarse = limits(known.groupBy("__lang", first.alias("b")).agg(F.count("*").alias("n")), {})
-    if not coarse:
-        return known.select("__lang", "__text").limit(0)
-    # The models of all languages are on the driver anyway, so a row per language may be broadcast.
-    inside = known.join(F.broadcast(table({k: b for k, (b, _) in coarse.items()})), "__lang").filter(first == F.col("b")).drop("b")
-    fine = limits(inside.groupBy("__lang", second.alias("b")).agg(F.count("*").alias("n")), {k: n for k, (_, n) in coarse.items()})
-    near = known.join(F.broadcast(table({k: b for k, (b, _) in fine.items()})), "__lang").filter(second <= F.col("b"))
-    rank = F.row_number().over(Window.partitionBy("__lang").orderBy(F.shiftrightunsigned("__h", 1), "__h", "__id"))
-    return near.withColumn("__rank", rank).filter(F.col("__rank") <= rows).repartition("__rank").select("__lang", "__text")
+    return in_arrow(rows, run, f"{schema}, {extra}", keeps=True)
 
 
 def learned(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", order: int = ORDER, rows_per_language: int = TRAIN_ROWS) -> LanguageModel:
@@ -302,7 +258,7 @@ def learned(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """
     named = labelled.select(F.col(id_col).cast("string").alias("__id"), F.col(lang_col).cast("string").alias("__lang"), F.col(text_col).cast("string").alias("__text"))
     known = named.filter("__lang is not null and __text is not null").withColumn("__h", F.xxhash64("__id"))
-    sample = settled(least_hashed(known, rows_per_language), "language-sample")
+    sample = settled(least_hashed(known, "__lang", ["__id"], rows_per_language).select("__lang", "__text"), "language-sample")
     words = sample.select("__lang", F.explode(F.regexp_extract_all(F.lower("__text"), F.lit(r"(\p{L}+)"))).alias("w")).groupBy("__lang", "w").agg(F.count("*").alias("n"))
     pad = " " * (order - 1)
     padded = words.select("__lang", "n", F.concat(F.lit(pad), F.col("w"), F.lit(" ")).alias("p"))

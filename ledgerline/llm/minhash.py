@@ -32,7 +32,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import settled
+from ledgerline.llm.common import columns_numbered, in_arrow, settled
+from ledgerline.llm.words import Words, parts
 
 WORDS, LOW, HIGH = 5, 75, 100
 BANDS, ROWS, BITS = 32, 4, 4
@@ -47,7 +48,9 @@ FINE, FINE_MARGIN = 2048, 0.677
 #: a set that can link with such a one has at most MOST_FEW.
 FEW = 64
 MOST_FEW = (FEW - 1) * HIGH // LOW
-WORDS_KEPT, BLOCK, ROWS_OUT = 400_000, 4096, 1024
+BLOCK = 4096
+#: Members of a bucket that one task pairs with the rest of it, on average.
+LOAD_A_TASK = 2_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(20240229)
 _A = (_SEEDS.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
@@ -58,28 +61,19 @@ _UPPER = bytes(range(65, 91))
 _LOWERED = bytes.maketrans(_UPPER, _UPPER.lower())
 
 
-class WordHashes(dict):
-    """64-bit hashes by word."""
+def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+    """Of each text the sorted distinct 64-bit hashes of its 5-word shingles (of the whole sequence if it is shorter)."""
+    words = Words([t.translate(_LOWERED) for t in texts])
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
+    def of(w: np.ndarray, k: int) -> np.ndarray:
+        h = np.full(max(len(w) - k + 1, 0), k, np.uint64)
+        for j in range(k):
+            h = (h ^ w[j : len(h) + j]) * _MIX
+            h ^= h >> np.uint64(29)
+        return h
 
-
-def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the 5-word shingles (of the whole sequence if it is shorter)."""
-    words = text.encode().translate(_LOWERED).split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    k = min(WORDS, len(w))
-    h = np.full(len(w) - k + 1, k, np.uint64)
-    for j in range(k):
-        h = (h ^ w[j : len(w) - k + 1 + j]) * _MIX
-        h ^= h >> np.uint64(29)
-    return np.unique(h)
+    whole, edges = of(words.hash, WORDS), words.first.tolist()
+    return [np.unique(whole[a : b - WORDS + 1]) if b - a >= WORDS else of(words.hash[a:b], b - a) if b > a else whole[:0] for a, b in zip(edges, edges[1:])]
 
 
 def minima(found: np.ndarray, a: np.ndarray = _A, b: np.ndarray = _B, block: int = BLOCK) -> np.ndarray:
@@ -119,27 +113,23 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """__id, n (shingles), same (digest of the whole set), sig (packed low bits), bands. Nothing but n for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_OUT):
-                part = batch.slice(at, ROWS_OUT)
-                n, same, sig, bands = [], [], [], []
-                for t in part.column(1).to_pylist():
-                    found = shingles(t, hashes)
-                    n.append(len(found))
-                    if not len(found):
-                        same.append(None)
-                        sig.append(None)
-                        bands.append(None)
-                        continue
-                    low = minima(found)
-                    same.append(xxhash.xxh3_128_digest(found.tobytes()))
-                    sig.append(packed(low))
-                    bands.append(band_keys(low))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), pa.array(sig, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))], ["__id", "n", "same", "sig", "bands"])
+        for part, texts in parts(batches, 1):
+            n, same, sig, bands = [], [], [], []
+            for found in shingle_sets(texts):
+                n.append(len(found))
+                if not len(found):
+                    same.append(None)
+                    sig.append(None)
+                    bands.append(None)
+                    continue
+                low = minima(found)
+                same.append(xxhash.xxh3_128_digest(found.tobytes()))
+                sig.append(packed(low))
+                bands.append(band_keys(low))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), pa.array(sig, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))], ["__id", "n", "same", "sig", "bands"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    return rows.mapInArrow(run, "__id bigint, n bigint, same binary, sig array<bigint>, bands array<bigint>")
+    return in_arrow(rows, run, "__id bigint, n bigint, same binary, sig array<bigint>, bands array<bigint>")
 
 
 def estimate(a: str, b: str) -> Column:
@@ -169,21 +159,18 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left, right = sets.select(F.col("__id").alias("a"), F.col("set").alias("x")), sets.select(F.col("__id").alias("b"), F.col("set").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return in_arrow(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y"), run, "a bigint, b bigint")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """__id, set for the documents named in ``ids`` (__id), one row each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_OUT):
-                part = batch.slice(at, ROWS_OUT)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingles(t, hashes).tobytes() for t in part.column(1).to_pylist()], pa.binary())], ["__id", "set"])
+        for part, texts in parts(batches, 1):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in shingle_sets(texts)], pa.binary())], ["__id", "set"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    return rows.join(ids, "__id", "left_semi").mapInArrow(run, "__id bigint, set binary").dropDuplicates(["__id"])
+    return in_arrow(rows.join(ids, "__id", "left_semi"), run, "__id bigint, set binary").dropDuplicates(["__id"])
 
 
 def own_shingles(sets: DataFrame) -> DataFrame:
@@ -197,7 +184,7 @@ def own_shingles(sets: DataFrame) -> DataFrame:
                 ids = np.repeat(np.asarray(part.column(0)), [len(x) for x in found])
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate(found), pa.int64())], ["id", "shingle"])
 
-    rows = sets.select("__id", "set").mapInArrow(run, "id bigint, shingle bigint")
+    rows = in_arrow(sets.select("__id", "set"), run, "id bigint, shingle bigint")
     alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).filter("n = 1")
     return alone.groupBy("id").agg(F.count("*").alias("own"))
 
@@ -217,7 +204,7 @@ def fine_signatures(sets: DataFrame) -> DataFrame:
             few = [x.view(np.int64) if len(x) <= MOST_FEW else None for x in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fine, pa.list_(pa.int64())), pa.array(few, pa.list_(pa.int64()))], ["id", "fine", "few"])
 
-    return sets.select("__id", "set").mapInArrow(run, "id bigint, fine array<bigint>, few array<bigint>")
+    return in_arrow(sets.select("__id", "set"), run, "id bigint, fine array<bigint>, few array<bigint>")
 
 
 def fine_estimate(a: str, b: str) -> Column:
@@ -286,14 +273,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     able = settled(able, "minhash-able")
     fine = fine_signatures(sets.join(able.select(F.col("id").alias("__id")), "__id", "left_semi"))
     side = settled(open_.join(able.join(fine, "id").join(classes.select("id", "bands"), "id"), "id"), "minhash-sides")
-    one = side.select("band", F.col("id").alias("a"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("most").alias("f"), F.col("fine").alias("p"), F.col("few").alias("s"), F.col("bands").alias("x"))
-    two = side.select("band", F.col("id").alias("b"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("most").alias("g"), F.col("fine").alias("q"), F.col("few").alias("t"), F.col("bands").alias("y"))
+    # In each bucket the members outside its largest component meet all others; two inside it need no comparison.
+    shares = side.groupBy("band", "component").agg(F.count("*").alias("n")).groupBy("band")
+    most_of = shares.agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("in_largest"))
+    dealt = most_of.filter("all > in_largest").select("band", "largest", F.ceil((F.col("all") - F.col("in_largest")) / LOAD_A_TASK).cast("int").alias("salts"))
+    side = side.join(dealt, "band").withColumn("inner", F.col("component") == F.col("largest"))
+    one = side.filter("not inner").select("band", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.col("id").alias("a"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("most").alias("f"), F.col("fine").alias("p"), F.col("few").alias("s"), F.col("bands").alias("x"))
+    two = side.select("band", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("id").alias("b"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("most").alias("g"), F.col("fine").alias("q"), F.col("few").alias("t"), F.col("bands").alias("y"), "inner")
     by_sets = (LOW + HIGH) * F.size(F.array_intersect("s", "t")) >= LOW * (F.col("m") + F.col("k"))
     near = F.when(F.least("m", "k") < FEW, by_sets).otherwise(fine_estimate("p", "q") >= FINE_MARGIN)
-    close = (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & (7 * F.least("f", "g") >= 3 * (F.col("m") + F.col("k"))) & near
+    close = (F.col("inner") | (F.col("a") < F.col("b"))) & (F.col("c") != F.col("d")) & (7 * F.least("f", "g") >= 3 * (F.col("m") + F.col("k"))) & near
     # A shared band of two components is a mixed bucket, so the smallest shared one is always among ``side``.
     once = F.array_min(F.array_intersect("x", "y")) == one["band"]
-    across = one.join(two, (one["band"] == two["band"]) & close & once).select("a", "b")
+    met = one.join(two, (one["band"] == two["band"]) & (one["salt"] == two["salt"]) & close & once)
+    across = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = settled(across.join(tried, ["a", "b"], "left_anti"), "minhash-rest")
     if not rest.isEmpty():
         labels = components(edges.union(settled(confirmed(rest, sets), "minhash-more")), "minhash-all")
@@ -305,6 +298,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that represent their component, with all their columns."""
+    """The rows of ``docs`` that represent their component, with all their columns, whatever their names.
+
+    Rows without words and rows with a null id stay; rows that repeat a kept id stay too.
+    """
+    numbered, name = columns_numbered(docs)
     keep = near_duplicates(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("__kept_id")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("__kept_id")), "left_semi")
+    return numbered.join(keep, F.col(name[id_col]).eqNullSafe(F.col("__kept_id")), "left_semi").toDF(*docs.columns)

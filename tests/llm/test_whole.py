@@ -6,27 +6,27 @@ from ledgerline.llm import language_id, minhash, pii
 from ledgerline.llm import queries as llm_queries
 
 
-def low_bits(text, hashes):
-    return {int(x) >> 32 & 63 for x in minhash.shingles(text, hashes)}
+def low_bits(text):
+    return {int(x) >> 32 & 63 for x in minhash.shingle_sets([text.encode()])[0]}
 
 
-def short_family(f, hashes):
+def short_family(f):
     """A has 3 shingles, B one more, whose hash lies 32 mod 64 from one of them: a link at exactly 3/4. Closer texts of
     smaller id lead the buckets of B, and others those of A."""
     words = [f"f{f}w{i}" for i in range(7)]
     a = " ".join(words)
-    of_a = low_bits(a, hashes)
+    of_a = low_bits(a)
     for i in range(2000):
         b = f"{a} f{f}y{i}"
-        last = low_bits(" ".join(b.split()[-5:]), hashes).pop()
+        last = low_bits(" ".join(b.split()[-5:])).pop()
         if (last ^ 32) in of_a and last not in of_a:
             break
     return [f"{a} f{f}m{i} f{f}n{i}" for i in range(60)] + [f"{b} f{f}l{i}" for i in range(8)] + [a, b]
 
 
 def test_minhash_links_short_texts_in_crowded_buckets(spark):
-    rng, hashes = np.random.default_rng(3), minhash.WordHashes()
-    texts = [t for f in (1, 5, 6) for t in short_family(f, hashes)]
+    rng = np.random.default_rng(3)
+    texts = [t for f in (1, 5, 6) for t in short_family(f)]
     for k in range(120):
         n = int(rng.integers(5, 16))
         w = [f"r{i}" for i in range(n)]

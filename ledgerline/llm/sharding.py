@@ -53,7 +53,7 @@ def interleaved_shards(docs: DataFrame, shards: int = 16, seed: str = "shard-0",
     exact = placed.select("*", F.expr(f"(__at - 1) * {shards} div __rows").cast("int").alias("shard"))
     return exact.select(
         F.col("__id").alias(id_col), F.expr("nullif(substring(__source, 2), '')").alias(source_col), "size", "text_crc32", F.lit("rows").alias("law"), "shard",
-        F.expr(f"(__at - 1) - (shard * __rows + {shards - 1}) div {shards}").cast("int").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        F.expr(f"(__at - 1) - (cast(shard as bigint) * __rows + {shards - 1}) div {shards}").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
 
 
@@ -63,5 +63,5 @@ WITH d AS (
   SELECT doc_id, coalesce('=' || source, '') AS s, md5(concat_ws('|', 'shard-0', CAST(doc_id AS VARCHAR))) AS h, strlen(coalesce(text, '')) + 1 AS size FROM documents),
 r AS (SELECT *, (row_number() OVER (PARTITION BY s ORDER BY h, doc_id) - 1 + CAST('0x' || substring(md5('shard-0|' || s), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE) / (count(*) OVER (PARTITION BY s)) AS part FROM d),
 g AS (SELECT *, row_number() OVER (ORDER BY part, s, h, doc_id) - 1 AS pos, count(*) OVER () AS n FROM r)
-SELECT doc_id, size, 'rows' AS law, CAST(pos * 16 // n AS INTEGER) AS shard, CAST(pos - ((pos * 16 // n) * n + 15) // 16 AS INTEGER) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM g
+SELECT doc_id, size, 'rows' AS law, CAST(pos * 16 // n AS INTEGER) AS shard, pos - ((pos * 16 // n) * n + 15) // 16 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM g
 """

@@ -9,18 +9,20 @@ cell, which is calibrated: the expected mixture is the raked one at any size.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import settled, text_or_empty
+from ledgerline.llm.common import columns_numbered, settled, text_or_empty
 
 MARGINS = ("source", "lang", "topic")
 #: Cells up to which raking runs on the driver and the result is broadcast; beyond, both stay in Spark.
 MAX_CELLS = 100_000
-SWEEPS, TOLERANCE = 60, 1e-6
+#: Sweeps at most, on the driver and in Spark; raking that has not come to rest by then warns. Change of a probability at which it rests.
+SWEEPS, SPARK_SWEEPS, TOLERANCE = 500, 60, 1e-6
 #: Share of all tokens to keep, and the power that flattens the corpus shares into targets.
 BUDGET, FLATTEN = 0.7, 0.7
 
@@ -59,14 +61,15 @@ def rake(tokens: np.ndarray, groups: list[np.ndarray], targets: list[np.ndarray]
             now = np.bincount(group, p * tokens, len(target))
             p = np.minimum(1.0, p * np.divide(target, now, out=np.ones_like(target), where=now > 0)[group])
         if len(p) == 0 or np.abs(p - before).max() < TOLERANCE:
-            break
+            return p
+    warnings.warn(f"raking has not come to rest in {SWEEPS} sweeps", stacklevel=2)
     return p
 
 
 def rake_in_spark(cells: DataFrame, targets: dict[str, DataFrame], start: float, total: float) -> DataFrame:
     """``rake`` for any number of cells: each sweep is a table of the shared folder."""
     state = cells.withColumn("p", F.lit(start))
-    for sweep in range(SWEEPS):
+    for sweep in range(SPARK_SWEEPS):
         new = state.withColumnRenamed("p", "was").withColumn("p", F.col("was"))
         for margin, share in targets.items():
             now = new.groupBy(margin).agg(F.sum(F.col("p") * F.col("tokens")).alias("now")).join(share, margin)
@@ -75,7 +78,8 @@ def rake_in_spark(cells: DataFrame, targets: dict[str, DataFrame], start: float,
         new = settled(new, f"rake-{sweep}")
         state = new.drop("was")
         if new.filter(F.abs(F.col("p") - F.col("was")) >= TOLERANCE).isEmpty():
-            break
+            return state
+    warnings.warn(f"raking has not come to rest in {SPARK_SWEEPS} sweeps", stacklevel=2)
     return state
 
 
@@ -114,16 +118,43 @@ def uniform(id_column: Column, seed: str) -> Column:
 
 
 def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET, power: float = FLATTEN, seed: str = "mix-0", id_col: str = "doc_id", max_cells: int = MAX_CELLS, **columns: str) -> DataFrame:
-    """One row per document: id, source, lang, topic, n_tokens, probability, kept. Repeated ids share one fate."""
+    """One row per document: id, source, lang, topic, n_tokens, probability, kept.
+
+    Null and empty texts have no tokens and the probability of their cell; null sources and languages are
+    values of their own; repeated ids share one fate; other columns are not read. No row gives none.
+    """
     rows = with_cells(docs, id_col, **columns)
     chosen = keep_probabilities(rows, targets, budget, power, max_cells).select(*MARGINS, "p")
     out = rows.join(chosen, list(MARGINS))
     return out.select(F.col("__id").alias(id_col), *MARGINS, "n_tokens", F.col("p").alias("probability"), (uniform(F.col("__id"), seed) < F.col("p")).alias("kept"))
 
 
+def margin_report(documents: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET, power: float = FLATTEN) -> DataFrame:
+    """What the result of ``mixed`` comes to: margin, value, tokens, target, expected (by the probabilities), kept.
+
+    As no probability exceeds 1, scarce values stay below their targets, and so does the sum; ``expected``
+    says by how much, ``kept`` what the draw made of it.
+    """
+    kept = F.sum(F.when(F.col("kept"), F.col("n_tokens")).otherwise(0)).alias("kept")
+    cells = settled(documents.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens"), F.sum(F.col("probability") * F.col("n_tokens")).alias("expected"), kept), "mixing-report")
+    total = budget * float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    parts = []
+    for m in MARGINS:
+        share = flattened(cells, m, power)
+        if targets and m in targets:
+            given = F.create_map(*[F.lit(x) for k, v in targets[m].items() for x in (k, float(v))])
+            share = share.select(m, F.coalesce(F.try_element_at(given, F.col(m)), F.lit(0.0)).alias("share"))
+        sums = cells.groupBy(m).agg(F.sum("tokens").alias("tokens"), F.sum("expected").alias("expected"), F.sum("kept").alias("kept")).join(share, m)
+        parts.append(sums.select(F.lit(m).alias("margin"), F.col(m).alias("value"), "tokens", (F.col("share") * total).alias("target"), "expected", "kept"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def sample_mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET, power: float = FLATTEN, seed: str = "mix-0", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", max_cells: int = MAX_CELLS) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; text is read, never shuffled."""
+    """The rows of ``docs`` that are kept, with all their columns, whatever their names; text is read, never shuffled."""
     chosen = keep_probabilities(with_cells(docs, id_col, text_col, source_col, lang_col), targets, budget, power, max_cells)
     chosen = chosen.select(F.col("source").alias("__s"), F.col("lang").alias("__l"), F.col("topic").alias("__t"), F.col("p").alias("__p"))
-    on = [F.coalesce(F.col(source_col).cast("string"), F.lit("")) == F.col("__s"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")) == F.col("__l"), topic_of(text_or_empty(text_col)) == F.col("__t")]
-    return docs.join(chosen, reduce(lambda a, b: a & b, on)).filter(uniform(F.col(id_col), seed) < F.col("__p")).drop("__s", "__l", "__t", "__p")
+    numbered, name = columns_numbered(docs)
+    value = lambda c: F.coalesce(F.col(name[c]).cast("string"), F.lit(""))
+    on = [value(source_col) == F.col("__s"), value(lang_col) == F.col("__l"), topic_of(value(text_col)) == F.col("__t")]
+    kept = numbered.join(chosen, reduce(lambda a, b: a & b, on)).filter(uniform(F.col(name[id_col]), seed) < F.col("__p"))
+    return kept.select(*numbered.columns).toDF(*docs.columns)

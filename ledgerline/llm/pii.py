@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import in_arrow, least_hashed, settled
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -45,6 +47,8 @@ TRAIN_ROWS = 4000
 #: Chain neighbours farther apart than this many characters have no edge.
 NEAR = 80
 SWEEPS, TOLERANCE, ACCEPT = 30, 1e-4, 0.6
+#: Weight of a skip edge where the sample shows none.
+SKIP = 4.0
 
 
 def luhn(digits: str) -> bool:
@@ -113,7 +117,7 @@ class Field:
     unary: dict[tuple[int, int, int, int], np.ndarray]
     unseen: np.ndarray
     chain: np.ndarray
-    skip: float = 4.0
+    skip: float = SKIP
 
 
 def tokens_of(text: str) -> list[tuple[int, int]]:
@@ -128,7 +132,11 @@ def labelled_tokens(text: str, base: list[tuple[str, int, int]]) -> tuple[list[t
     for a, b in spans:
         while k < len(ordered) and ordered[k][2] <= a:
             k += 1
-        over = [s for s in ordered[k : k + 8] if s[1] < b and a < s[2]]
+        over, at = [], k
+        while at < len(ordered) and ordered[at][1] < b:
+            if a < ordered[at][2]:
+                over.append(ordered[at])
+            at += 1
         exact = next((s for s in over if (s[1], s[2]) == (a, b)), None)
         if over and exact is None:
             continue  # the span itself stands for what it overlaps
@@ -231,27 +239,43 @@ def consistent_spans(texts: list[str | None], bases: list[list[tuple[str, int, i
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> Field:
-    """Potentials from the base spans of a bounded sample (rows of least hash): smoothed log
-    frequencies of labels by shape and of label pairs of chain neighbours, counted on executors."""
+    """Potentials from the base spans of a bounded sample (rows of least hash), counted on executors.
+
+    Unary ones are smoothed log frequencies of labels given the shape, chain ones those of label pairs
+    of neighbours, and a skip edge's weight is the log odds that two labelled tokens on one agree
+    (``SKIP`` where the sample has no such pair). A token without a label that has a skip edge to a
+    labelled one is taken as unobserved, not as ``other``: it is what the field is there to find.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, str], int] = defaultdict(int)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 spans, labels = labelled_tokens(text, base_spans(text))
+                unseen = set()
+                for i, j in skip_edges(text, spans):
+                    if labels[i] and labels[j]:
+                        counts["s:", str(int(labels[i] == labels[j]))] += 1
+                    elif labels[i] or labels[j]:
+                        unseen.add(j if labels[i] else i)
                 for k, (a, b) in enumerate(spans):
+                    if k in unseen or k - 1 in unseen:
+                        continue
                     counts["u:" + ",".join(map(str, shape(text[a:b]))), str(labels[k])] += 1
                     if k and a - spans[k - 1][1] <= NEAR:
                         counts["c:" + str(labels[k - 1]), str(labels[k])] += 1
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["what", "label", "n"])
 
-    texts = docs.select(F.col(text_col).cast("string").alias("t"), F.xxhash64(F.col(id_col).cast("string")).alias("h")).filter("t is not null and t rlike '[0-9@]'")
-    sample = texts.orderBy("h", "t").limit(rows).select("t")
-    found = sample.mapInArrow(run, "what string, label string, n bigint").groupBy("what", "label").agg(F.sum("n").alias("n")).collect()
+    texts = docs.select(F.col(text_col).cast("string").alias("t"), F.xxhash64(F.col(id_col).cast("string")).alias("__h"), F.lit("").alias("__all")).filter("t is not null and t rlike '[0-9@]'")
+    sample = settled(least_hashed(texts, "__all", ["t"], rows).select("t"), "pii-sample")
+    found = in_arrow(sample, run, "what string, label string, n bigint").groupBy("what", "label").agg(F.sum("n").alias("n")).collect()
     unary: dict[str, np.ndarray] = {}
+    agree = [0.5, 0.5]
     chain, overall = np.ones((len(LABELS), len(LABELS))), np.ones(len(LABELS))
     for r in found:
-        if r["what"].startswith("c:"):
+        if r["what"] == "s:":
+            agree[int(r["label"])] += r["n"]
+        elif r["what"].startswith("c:"):
             chain[int(r["what"][2:]), int(r["label"])] += r["n"]
         else:
             unary.setdefault(r["what"][2:], np.ones(len(LABELS)))[int(r["label"])] += r["n"]
@@ -259,7 +283,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: i
     # Damped, as base labels of a shape say little about what the patterns miss.
     soft = 0.5
     pairs = np.log(chain / chain.sum(axis=1, keepdims=True)) - np.log(overall / overall.sum())
-    return Field({tuple(map(int, k.split(","))): soft * np.log(v / v.sum()) for k, v in unary.items()}, soft * np.log(overall / overall.sum()), 0.25 * pairs)
+    return Field({tuple(map(int, k.split(","))): soft * np.log(v / v.sum()) for k, v in unary.items()}, soft * np.log(overall / overall.sum()), 0.25 * pairs, SKIP if sum(agree) == 1 else float(np.log(agree[1] / agree[0])))
 
 
 def written(spans: list[tuple[str, int, int]]) -> str:
@@ -270,7 +294,9 @@ def find_personal_data(docs: DataFrame, model: Field, id_col: str = "doc_id", te
     """One row per document: id, n_email, n_ip, n_card, n_phone (base spans), base, spans.
 
     base and spans are ``kind:start:end`` in code points, end exclusive, comma-joined by start, then
-    kind. Null and empty texts have none. Equal spans of two kinds are listed as both.
+    kind. Null and empty texts have none. Equal spans of two kinds are listed as both. Texts are read whole,
+    whatever their length; repeated rows and ids are judged each; other columns, whatever their names, are not
+    read; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -286,4 +312,4 @@ def find_personal_data(docs: DataFrame, model: Field, id_col: str = "doc_id", te
 
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"__id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, spans string").withColumnRenamed("__id", id_col)
+    return in_arrow(rows, run, f"__id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, spans string").withColumnRenamed("__id", id_col)

@@ -1,6 +1,7 @@
 """Each operator on nulls, empty texts, repeats, clashing columns and empty tables, and against brute force."""
 
 import hashlib
+import re
 from array import array
 from collections import Counter
 
@@ -11,7 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, exact_dedup, language_id, licenses, minhash, mixing, pii, quality, sharding, substring_dedup
+from ledgerline.llm import bpe, common, exact_dedup, language_id, licenses, minhash, mixing, pii, quality, sharding, substring_dedup, words
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, __id string, kept string"
 LONG = " ".join(f"word{i}" for i in range(120))
@@ -69,6 +70,7 @@ def test_utf8_stream_holds_cut_characters():
 def test_rake_in_spark_equals_numpy_and_meets_margins(spark, docs, empty, monkeypatch):
     rows = mixing.with_cells(docs)
     monkeypatch.setattr(mixing, "SWEEPS", 3)
+    monkeypatch.setattr(mixing, "SPARK_SWEEPS", 3)
     a = {(r.source, r.lang, r.topic): r.p for r in mixing.keep_probabilities(rows, budget=0.5).collect()}
     b = {(r.source, r.lang, r.topic): r.p for r in mixing.keep_probabilities(rows, budget=0.5, max_cells=0).collect()}
     monkeypatch.undo()
@@ -81,20 +83,136 @@ def test_rake_in_spark_equals_numpy_and_meets_margins(spark, docs, empty, monkey
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in mixing.mixed(docs).filter("kept").collect())
 
 
+def plain_mixture(rows, budget, power, seed):
+    """Raking cell by cell in plain loops: (doc_id, probability, kept) of rows (doc_id, source, lang, topic, tokens)."""
+    cells = Counter()
+    for _, *cell, n in rows:
+        cells[tuple(cell)] += n
+    whole, p = sum(cells.values()), dict.fromkeys(cells, budget)
+    targets = []
+    for m in range(3):
+        sums = Counter()
+        for c, n in cells.items():
+            sums[c[m]] += n
+        flat = {v: float(n) ** power for v, n in sums.items()}
+        targets.append({v: budget * whole * x / sum(flat.values()) for v, x in flat.items()})
+    for _ in range(500):
+        before = dict(p)
+        for m, target in enumerate(targets):
+            now = Counter()
+            for c, n in cells.items():
+                now[c[m]] += p[c] * n
+            p = {c: min(1.0, p[c] * (target[c[m]] / now[c[m]] if now[c[m]] else 1.0)) for c in cells}
+        if all(abs(p[c] - before[c]) < 1e-6 for c in p):
+            break
+    draw = lambda i: int(hashlib.md5(f"{seed}|{i}".encode()).hexdigest()[:13], 16) / 16**13
+    return {i: (p[tuple(cell)], draw(i) < p[tuple(cell)]) for i, *cell, _ in rows}
+
+
+def test_mixture_against_plain_raking(spark, docs):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [tuple(r) for r in mixing.with_cells(d).collect()]
+    want, found = plain_mixture(rows, mixing.BUDGET, mixing.FLATTEN, "mix-0"), mixing.mixed(d)
+    got = {r.doc_id: (r.probability, r.kept) for r in found.collect()}
+    assert got.keys() == want.keys() and all(abs(got[i][0] - want[i][0]) < 1e-6 and got[i][1] == want[i][1] for i in got)
+    report = mixing.margin_report(found).collect()
+    for m in mixing.MARGINS:
+        part = [r for r in report if r.margin == m]
+        assert sum(r.tokens for r in part) == sum(x[-1] for x in rows) and sum(r.kept for r in part) == sum(x[-1] for x in rows if want[x[0]][1])
+        assert abs(sum(r.target for r in part) - mixing.BUDGET * sum(x[-1] for x in rows)) < 1e-3
+    clash = docs.withColumn("__s", F.lit(1)).withColumn("__p", F.lit(0.0))
+    assert mixing.sample_mixture(clash).columns == clash.columns
+
+
+def test_shards_count_in_longs(spark, docs, empty):
+    made = sharding.interleaved_shards(docs)
+    assert dict(made.dtypes)["slot"] == "bigint" and sharding.interleaved_shards(empty).count() == 0
+    rows = made.collect()
+    sizes = Counter(r.shard for r in rows)
+    assert len(rows) == len(ROWS) and all(sorted(r.slot for r in rows if r.shard == s) == list(range(n)) for s, n in sizes.items()) and max(sizes.values()) - min(sizes.get(s, 0) for s in range(16)) <= 1
+
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain_spans(text):
+    """Base spans by the patterns as they stand, checks after each leftmost match."""
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m[0] if c in "0123456789"]
+            luhn = sum(x if k % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for k, x in enumerate(reversed(digits))) % 10 == 0
+            ok = {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")), "card": 14 <= len(digits) <= 19 and luhn, "phone": 10 <= len(digits) <= 15}[kind]
+            if ok:
+                out.append((kind, *m.span()))
+    return sorted(out, key=lambda s: (s[1], list(PATTERNS).index(s[0]), s[2]))
+
+
+def test_pii_base_spans_against_plain_patterns(spark):
+    rng = np.random.default_rng(5)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null").select("text").collect()]
+    texts += ["".join(rng.choice(list("0123456789.+-() @ab%,\n"), 40)) for _ in range(3000)] + ["1." * 3000, "+1" + "-" * 3000 + "2", "4111111111111111 4111-1111-1111-1111 +44 20 7946 0958 a@b.c.d 1.2.3.4.5.6.7.8"]
+    for t in texts:
+        assert pii.base_spans(t) == plain_spans(t), t[:200]
+
+
+def test_pii_sees_all_overlapping_spans():
+    text = "1.1.1.1 " * 30
+    base = pii.base_spans(text) + [("card", 0, len(text) - 1)]
+    spans, labels = pii.labelled_tokens(text, base)
+    assert sum(1 for x in labels if x) == len(base)
+
+
 def test_substring_dedup_against_brute_force(spark, docs, empty):
     base = [f"t{i}" for i in range(300)]
     texts = [" ".join(base), "x y " + " ".join(base[40:100]) + " z", " ".join(["q"] * 80), " ".join(base[:34]), None, "", " ".join(f"u{i}" for i in range(90)), " ".join(base[10:44]) + " end"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    words = {i: (t or "").split() for i, t in enumerate(texts)}
-    seen = Counter(tuple(w[k : k + 35]) for w in words.values() for k in range(len(w) - 34))
+    split = {i: (t or "").split() for i, t in enumerate(texts)}
+    seen = Counter(tuple(w[k : k + 35]) for w in split.values() for k in range(len(w) - 34))
     for r in substring_dedup.remove_repeats(df).collect():
-        w = words[r.doc_id]
+        w = split[r.doc_id]
         gone = {j for k in range(len(w) - 34) if seen[tuple(w[k : k + 35])] > 1 for j in range(k, k + 35)}
         left = " ".join(x for j, x in enumerate(w) if j not in gone)
         assert (r.n_words, r.n_removed, r.kept_sha256) == (len(w), len(gone), hashlib.sha256(left.encode()).hexdigest())
     assert substring_dedup.remove_repeats(empty).count() == 0 and substring_dedup.remove_repeats(docs).count() == len(ROWS)
 
 
+def test_substring_dedup_with_repeated_and_null_ids(spark, monkeypatch):
+    base = [f"t{i}" for i in range(70)]
+    text = " ".join(base[:50])
+    rows = [(3, "q"), (3, text), (None, text), (None, "zz " + text + " yy"), (7, text), (7, text), (8, None), (11, "  " + "\n".join(base[20:70]))]
+    split = [(t or "").split() for _, t in rows]
+    seen = Counter(tuple(w[k : k + 35]) for w in split for k in range(len(w) - 34))
+    want = []
+    for (i, _), w in zip(rows, split):
+        gone = {j for k in range(len(w) - 34) if seen[tuple(w[k : k + 35])] > 1 for j in range(k, k + 35)}
+        want.append((str(i), len(w), len(gone), hashlib.sha256(" ".join(x for j, x in enumerate(w) if j not in gone).encode()).hexdigest()))
+    monkeypatch.setattr(substring_dedup, "SEEDS_A_SHARD", 2)
+    monkeypatch.setattr(substring_dedup, "LOAD_A_TASK", 2)
+    for kind in ("bigint", "string"):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+        got = [(str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(df).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def test_words_of_many_texts():
+    texts = [b"", b"  a\tbb ccc", b"a \n\x0b\x1cb  b", b"x" * 500 + b" y", "é 中文字字字字字字字字字字".encode(), b" "]
+    found, plain = words.Words(texts), [w for t in texts for w in t.split()]
+    assert [found.data[a:b] for a, b in zip(found.starts, found.ends)] == plain
+    assert np.diff(found.first).tolist() == [len(t.split()) for t in texts]
+    assert len(set(zip(found.hash.tolist(), plain))) == len(set(plain)) == len(set(found.hash.tolist()))
+
+
+def test_dropping_copies_of_repeated_ids_and_clashing_columns(spark):
+    rows = [(5, "a", 1), (7, "A", 2), (5, "b", 3), (None, "c", 4), (None, None, 5), (1, "", 6), (5, "b", 3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, __kept_id bigint")
+    assert sorted(map(str, exact_dedup.drop_exact_duplicates(df).collect())) == sorted(map(str, df.filter("__kept_id in (2, 3, 4, 6)").collect()))
+    one = "one two three four five six seven eight nine ten eleven twelve"
+    near = spark.createDataFrame([(2, one, 1), (3, one + " more", 2), (4, "else", 3), (6, None, 4)], df.schema)
+    assert sorted(r.doc_id for r in minhash.drop_near_duplicates(near).collect()) == [2, 4, 6]
+    assert exact_dedup.drop_exact_duplicates(df.limit(0)).count() == 0 and minhash.drop_near_duplicates(df.limit(0)).count() == 0
+
+
 def test_pii_adds_consistent_spans_and_keeps_base(spark, docs, empty):
     found = {r.doc_id: r for r in pii.find_personal_data(docs, pii.fit(docs)).collect()}
     r, text = found[9], ROWS[-1][1]
@@ -199,9 +317,9 @@ def test_language_held_out_accuracy_and_edges(spark):
         assert length[k] == len(grams) and np.allclose(entropy[k], plain)
 
 
-def test_language_sample_is_the_least_hashed(spark):
+def test_sample_is_the_least_hashed(spark):
     d = spark.range(3000).select(F.lit("aa").alias("__lang"), F.col("id").cast("string").alias("__text"), F.col("id").cast("string").alias("__id"))
     d = d.union(spark.range(7).select(F.lit("bb"), F.col("id").cast("string"), F.col("id").cast("string"))).withColumn("__h", F.xxhash64("__id"))
-    got = {(r[0], r[1]) for r in language_id.least_hashed(d, 50).collect()}
+    got = {(r["__lang"], r["__text"]) for r in common.least_hashed(d, "__lang", ["__id"], 50).collect()}
     rows = sorted((r["__lang"], r["__h"] % 2**64, r["__id"]) for r in d.collect())
     assert got == {(x, i) for x in ("aa", "bb") for _, _, i in [r for r in rows if r[0] == x][:50]}

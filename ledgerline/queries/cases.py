@@ -12,6 +12,7 @@ from ledgerline.plans import calls, cases, checklist, criticality, notices, reca
 from ledgerline.plans import vocabulary as V
 from ledgerline.queries.decisions import _ACTS_SQL, REF, _acts
 from ledgerline.queries.registry import Tables, query
+from ledgerline.queries.texts import _ACC
 
 _OLD_SQL = _ACTS_SQL.replace("o_orderkey % 5 <> 0 AS ev", "false AS ev")
 
@@ -120,7 +121,15 @@ def industry_codes(t: Tables) -> DataFrame:
     return t.supplier.select("s_suppkey", recalculation.industry_code(F.concat(code, F.lit(".1-0"))).alias("codigo"))
 
 
-@query()
+_BARE = f"regexp_replace(translate(lower({{}}), {_ACC}), '[^\\x00-\\x7F]', '', 'g')"
+_VERB = "CASE " + " ".join(f"WHEN regexp_matches(v, '{p}') THEN '{k}'" for p, k in V.PERMIT_VERBS) + " ELSE 'indeterminado' END"
+_MINERAL = " OR ".join(r"regexp_matches(u, '\bmina\b')" if w == "mina" else f"contains(u, '{w}')" for w in V.PERMIT_MINERAL)
+_OTHER_USE = " OR ".join(f"contains(u, '{w}')" for w in V.PERMIT_OTHER_USE)
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, {_BARE.format("coalesce(text, '')")} AS v, {_BARE.format("coalesce(lang, '') || ' ' || coalesce(source, '') || ' ' || coalesce(text, '')")} AS u FROM documents)
+SELECT doc_id, {_VERB} AS verbo, CASE WHEN {_MINERAL} THEN 'confirmado' WHEN {_OTHER_USE} THEN 'nao_mineral_confirmado' ELSE 'indeterminado' END AS vinculo FROM t""")
 def permit_verbs(t: Tables) -> DataFrame:
     """Decision verbs and mineral link of texts by the permit vocabularies."""
     d = F.col("text")

@@ -96,7 +96,15 @@ def excerpts_around(t: Tables) -> DataFrame:
     return sinks.evidence_rows(e, "doc_id", F.col("e"))
 
 
-@query()
+_SENTENCES = r"""unnest(list_filter(list_transform(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])\s+|\n+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> ''))"""
+_WORST = "CASE WHEN contains(f, '{0}') THEN CASE WHEN contains(f, 'may') OR contains(f, 'version') THEN 3 WHEN contains(f, 'not') THEN 2 ELSE 1 END END"
+
+
+@query(rf"""
+WITH s AS (SELECT doc_id, {_SENTENCES} AS text FROM documents), f AS (SELECT doc_id, {_FOLD} AS f FROM s),
+g AS (SELECT doc_id, bool_or(contains(f, 'licensed under') OR contains(f, 'released under')) AS a, bool_or(contains(f, 'token =')) AS b, bool_or(contains(f, '@mail') OR contains(f, '+1 (')) AS c, max({_WORST.format("license")}) AS l, max({_WORST.format("@mail")}) AS r FROM f GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN g.doc_id IS NULL THEN 'VAZIO' WHEN a THEN 'LICENCA' WHEN b THEN 'SEGREDO' WHEN c THEN 'CONTATO' ELSE 'SEM_MARCA' END AS status,
+  array_to_string(list_filter(['licenca=' || ['afirmado', 'negado', 'incerto'][l], 'rede=' || ['afirmado', 'negado', 'incerto'][r]], lambda x: x IS NOT NULL), ',') AS themes FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id""")
 def text_states(t: Tables) -> DataFrame:
     """Status of texts by ordered markers, and the worst state of themes."""
     order = (("LICENCA", ("licensed under", "released under")), ("SEGREDO", ("token =",)), ("CONTATO", ("@mail", "+1 (")))
@@ -127,7 +135,16 @@ def page_links(t: Tables) -> DataFrame:
     return pages.page_links(t.pages).select("page_id", "position", "link")
 
 
-@query()
+@query(rf"""
+WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{_LINK}', 1)) AS h, generate_subscripts(regexp_extract_all(html, '{_LINK}', 1), 1) - 1 AS position FROM pages),
+c AS (SELECT *, trim(regexp_replace(replace(h, '&amp;', '&'), '#.*$', '')) AS x, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) AS root, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+/(?:[^?#/]*/)*)', 1) AS folder FROM a),
+d AS (SELECT page_id, CAST(position AS INTEGER) AS position, CASE WHEN x = '' OR regexp_matches(lower(x), '^(mailto|javascript|tel|data):') THEN NULL WHEN regexp_matches(x, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN x WHEN x LIKE '//%' THEN regexp_extract(url, '^([a-zA-Z]+:)', 1) || x
+  WHEN x LIKE '/%' THEN root || x ELSE CASE WHEN folder = '' THEN root || '/' ELSE folder END || x END AS link FROM c),
+e AS (SELECT page_id, link, min(position) AS position FROM d WHERE link IS NOT NULL GROUP BY page_id, link),
+x AS (SELECT *, lower(regexp_extract(link, '\.([A-Za-z0-9]{{2,5}})(?:\?.*)?$', 1)) AS extension FROM e),
+n AS (SELECT *, extension IN ('pdf', 'doc', 'docx') AS is_document, sum((extension IN ('pdf', 'doc', 'docx'))::INT) OVER (PARTITION BY page_id ORDER BY position) AS nth FROM x),
+m AS (SELECT page_id, count(DISTINCT link) AS c FROM d WHERE link IS NOT NULL AND regexp_matches(link, '[?&](?:page|pagina|start)=([0-9]+)') GROUP BY page_id)
+SELECT n.page_id, position, link, extension, is_document, contains(link, 'example.com') AS allowed, coalesce(c, 0) AS next_pages FROM n LEFT JOIN m ON n.page_id = m.page_id WHERE NOT is_document OR nth <= 40""")
 def link_inventory(t: Tables) -> DataFrame:
     """First occurrences of links, with flags, documents limited per page."""
     links = pages.page_links(t.pages)
@@ -143,7 +160,18 @@ def page_list_items(t: Tables) -> DataFrame:
     return items.select("item", "link", "title", "day", "hash", pages.title_parts(F.col("title")).alias("p")).select("item", "link", "title", "day", "hash", "p.place", "p.state")
 
 
-@query()
+_BLOCKS = "html"
+for _tag in ("script", "style", "nav", "header", "footer"):
+    _BLOCKS = rf"regexp_replace({_BLOCKS}, '(?is)<{_tag}\b.*?</{_tag}\s*>', ' ', 'g')"
+_PLAIN = rf"regexp_replace(regexp_replace({_BLOCKS}, '(?i)<br\s*/?>|</(p|div|li|tr|h[1-6]|td|title)\s*>', chr(10), 'g'), '(?s)<[^>]*>', ' ', 'g')"
+for _entity, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    _PLAIN = f"replace({_PLAIN}, '{_entity}', '{_char}')"
+
+
+@query(rf"""
+WITH p AS (SELECT page_id, array_to_string(list_filter(list_transform(string_split({_PLAIN}, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\r\f]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS t,
+  regexp_extract(regexp_replace(html, '(?s)<[^>]*>', ' ', 'g'), '(?i)(?:total(?:\s+de)?|resultados?\s*:?)\s*:?\s*(\d{{1,7}})', 1) AS a FROM pages)
+SELECT page_id, md5(t) AS text_md5, length(t) AS chars, CAST(nullif(a, '') AS INTEGER) AS announced FROM p""")
 def page_text(t: Tables) -> DataFrame:
     """Plain text of pages and its size."""
     plain = text.plain_text(F.col("html"))

@@ -89,7 +89,17 @@ def unnegated_match(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.has_unnegated(F.col("text"), ["licens"], ("under ", "is ")).alias("hit"))
 
 
-@query()
+_NEGATED = "|".join(text.NEGATIONS)
+
+
+@query(rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, lower(coalesce(text, '')) AS low FROM documents),
+p AS (SELECT t.*, o, term, string_split(low, term) AS ps FROM t, (VALUES (1, 'license'), (2, 'token =')) v(o, term) WHERE contains(low, term)),
+k AS (SELECT *, unnest(range(1, len(ps))) AS k FROM p),
+i AS (SELECT doc_id, t, low, o, term, k, CAST(list_sum(list_transform(ps[1:k], lambda x: length(x))) + (k - 1) * length(term) + 1 AS BIGINT) AS i FROM k),
+e AS (SELECT doc_id, o, k, trim(substring(t, greatest(i - 60, 1), i + length(term) + 60 - greatest(i - 60, 1))) AS x FROM i WHERE NOT regexp_matches(substring(low, greatest(i - 25, 1), least(i - 1, 25)), '{_NEGATED}')),
+d AS (SELECT doc_id, x, min(o * 1000000 + k) AS pos FROM e GROUP BY doc_id, x), n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS n FROM d)
+SELECT sha256(doc_id || '|licenca|' || n) AS id, doc_id, 'licenca' AS campo, substring(x, 1, 2000) AS trecho FROM n WHERE x <> ''""")
 def excerpts_around(t: Tables) -> DataFrame:
     """Excerpts around the hits of terms."""
     e = t.documents.select("doc_id", text.excerpts(F.col("text"), ["license", "token ="], "licenca").alias("e"))

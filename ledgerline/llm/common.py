@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,18 +58,20 @@ def in_arrow(rows: DataFrame, run: Callable[[Iterator], Iterator], schema: str,
 
     Batches are bounded by the session's setting. Where that still has Spark's own 64 MB, of which a task
     holds several copies in and out of Python, it is set to ``BATCH_BYTES`` for the session. Unless ``run``
-    itself ``keeps`` something between tasks, whatever the worker kept before is let go first.
+    itself ``keeps`` something between tasks, whatever the worker kept before is let go first. Workers wait for
+    further tasks, so each gives back at its end what it no longer needs.
     """
     if rows.sparkSession.conf.get(_BATCH) in ("64m", "64MB", "67108864", "67108864b"):
         rows.sparkSession.conf.set(_BATCH, BATCH_BYTES)
 
     def tidy(batches: Iterator) -> Iterator:
-        if _kept:
+        if _kept and not keeps:
             _kept.clear()
             gc.collect()
         yield from run(batches)
+        pa.default_memory_pool().release_unused()
 
-    return rows.mapInArrow(run if keeps else tidy, schema)
+    return rows.mapInArrow(tidy, schema)
 
 
 def lower_ascii(text: Column) -> Column:
@@ -103,17 +106,22 @@ def least_hashed(rows: DataFrame, group: str, ties: list[str], most: int) -> Dat
                 total[r["g"]] = total.get(r["g"], 0) + r["n"]
         return {k: (b, n) for k, (b, n, _) in out.items()}
 
-    def table(found: dict[str, tuple[int, int]]) -> DataFrame:
-        return F.broadcast(rows.sparkSession.createDataFrame([(k, b) for k, (b, _) in found.items()], f"{group} string, __bucket bigint"))
+    def within(df: DataFrame, found: dict[str, tuple[int, int]], test: Callable[[Column], Column]) -> DataFrame:
+        """Rows whose bucket passes the test against their group's."""
+        if len(found) == 1:
+            ((value, (bucket, _)),) = found.items()
+            return df.filter((F.col(group) == value) & test(F.lit(bucket)))
+        limits_of = rows.sparkSession.createDataFrame([(k, b) for k, (b, _) in found.items()], f"{group} string, __bucket bigint")
+        return df.join(F.broadcast(limits_of), group).filter(test(F.col("__bucket"))).drop("__bucket")
 
     count = F.count("*").alias("n")
     known = rows.filter(F.col(group).isNotNull())
     coarse = limits(known.groupBy(F.col(group).alias("g"), first.alias("b")).agg(count), {})
     if not coarse:
         return rows.limit(0)
-    inside = known.join(table(coarse), group).filter(first == F.col("__bucket"))
+    inside = within(known, coarse, lambda b: first == b)
     fine = limits(inside.groupBy(F.col(group).alias("g"), second.alias("b")).agg(count), {k: n for k, (_, n) in coarse.items()})
-    near = known.join(table(fine), group).filter(second <= F.col("__bucket"))
+    near = within(known, fine, lambda b: second <= b)
     rank = F.row_number().over(Window.partitionBy(group).orderBy(F.shiftrightunsigned("__h", 1), "__h", *ties))
     return near.withColumn("__rank", rank).filter(F.col("__rank") <= most).repartition("__rank").select(*rows.columns)
 

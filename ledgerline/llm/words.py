@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 
 #: Rows of an outgoing batch; bytes of texts that are hashed at once; bytes beyond which a word is hashed by itself.
-ROWS_OUT, BYTES_AT_ONCE, LONG_WORD = 512, 1 << 20, 128
+ROWS_OUT, BYTES_AT_ONCE, LONG_WORD = 512, 1 << 19, 128
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _POINT = 0xD6E8FEB86659FD93
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])

@@ -34,9 +34,20 @@ def settled(df: DataFrame, name: str) -> DataFrame:
 
     Lineage ends here, so a lost executor never makes earlier stages run again.
     """
+    return settled_at(df, name)[0]
+
+
+def settled_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``settled`` with the place of the table, for ``removed`` once a later table has taken its part."""
     path = f"{shared_dir(df.sparkSession)}/ledgerline-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table that ``settled_at`` wrote and nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at.getParent(), True)
 
 
 #: What this Python worker keeps between tasks, by name.

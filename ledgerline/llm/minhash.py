@@ -2,7 +2,8 @@
 
 1. Each document's distinct 5-word shingles give 128 minima. Four minima at a time make a band key;
    the low 4 bits of all minima are packed into eight 64-bit words.
-2. Documents of equal shingle sets are one class, represented by the smallest id.
+2. Documents of equal shingle sets are one class with a number of its own. Ids name documents in the
+   answer and nothing else, so that an id which several texts share joins none of them.
 3. Classes that share a band key are candidates. Similarity is estimated from the packed words by bit
    counts, corrected for chance agreement of low bits; only pairs far below the limit are let go.
 4. Pairs left are confirmed on full sets: 100 * intersection >= 75 * union.
@@ -110,7 +111,7 @@ def band_keys(low: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """__id, n (shingles), same (digest of the whole set), sig (packed low bits), bands. Nothing but n for texts without words."""
+    """__id, __digest (of the text as it is), n (shingles), same (digest of the whole set), sig (packed low bits), bands. No more than n for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in parts(batches, 1):
@@ -126,10 +127,16 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 same.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sig.append(packed(low))
                 bands.append(band_keys(low))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), pa.array(sig, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))], ["__id", "n", "same", "sig", "bands"])
+            made = [pa.array(n, pa.int64()), pa.array(same, pa.binary()), pa.array(sig, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *made], ["__id", "__digest", "n", "same", "sig", "bands"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    return in_arrow(rows, run, "__id bigint, n bigint, same binary, sig array<bigint>, bands array<bigint>")
+    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"), text_digest(text_col).alias("__digest"))
+    return in_arrow(rows, run, "__id bigint, __digest string, n bigint, same binary, sig array<bigint>, bands array<bigint>")
+
+
+def text_digest(text_col: str) -> Column:
+    """What tells rows of one id apart."""
+    return F.md5(F.col(text_col).cast("string"))
 
 
 def estimate(a: str, b: str) -> Column:
@@ -162,15 +169,19 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return in_arrow(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y"), run, "a bigint, b bigint")
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """__id, set for the documents named in ``ids`` (__id), one row each."""
+def full_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """__id, set of each class. ``classes``: id (its number), least (id of a document of it), same (digest of its set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in parts(batches, 1):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in shingle_sets(texts)], pa.binary())], ["__id", "set"])
+            found = [x.tobytes() for x in shingle_sets(texts)]
+            # Other texts may have the same id: only those of the class itself count.
+            own = pa.array([xxhash.xxh3_128_digest(x) == y.as_py() for x, y in zip(found, part.column(3))], pa.bool_())
+            yield pa.RecordBatch.from_arrays([part.column(2), pa.array(found, pa.binary())], ["__id", "set"]).filter(own)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    return in_arrow(rows.join(ids, "__id", "left_semi"), run, "__id bigint, set binary").dropDuplicates(["__id"])
+    rows = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).cast("string").alias("__text"))
+    named = rows.join(classes.select("least", "id", "same"), "least").select("least", "__text", "id", "same")
+    return in_arrow(named, run, "__id bigint, set binary").dropDuplicates(["__id"])
 
 
 def own_shingles(sets: DataFrame) -> DataFrame:
@@ -237,13 +248,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: id, n_shingles, component_id, kept.
 
     Words are lower-cased (A-Z) runs of bytes other than space and \\x09-\\x0D. Texts that are null or
-    have no word form a component of their own. Ids must be integers; rows that repeat an id count as
-    one document, and a null id is its own component (null, kept). Other columns are ignored.
+    have no word form a component of their own. Ids must be integers; each row that repeats an id is judged by its own
+    text; a null id is its own component (null, kept), as nothing could name it. Very long texts are hashed by pieces
+    and compared whole. An empty table gives no rows; other columns are ignored, whatever their names.
     """
+    return judged(docs, id_col, text_col).select(F.col("__id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: __id, __digest (of its text), n, component_id, kept."""
     found = settled(profiles(docs, id_col, text_col), "minhash-profiles")
-    # Signature and bands follow from the set, so those of any member are those of the class.
-    first_of = [F.min("__id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")]
-    classes = settled(found.filter("n > 0 and __id is not null").groupBy("same").agg(*first_of), "minhash-classes")
+    # Signature and bands follow from the set, so those of any member are those of the class. The table is written, so its numbers hold.
+    first_of = [F.min("__id").alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")]
+    grouped = found.filter("n > 0 and __id is not null").groupBy("same").agg(*first_of)
+    classes = settled(grouped.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
     buckets = classes.select("id", F.explode("bands").alias("band"))
     sizes = buckets.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     shared = settled(buckets.join(sizes, "band"), "minhash-buckets")
@@ -260,7 +278,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     best = first.groupBy("a").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("est", "b")))), 1, BEST).alias("best"))
     tried = best.select("a", F.explode("best.b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tried = settled(tried, "minhash-tried")
-    sets = settled(full_sets(docs, shared.select(F.col("id").alias("__id")).distinct(), id_col, text_col), "minhash-sets")
+    sets = settled(full_sets(docs, classes.join(shared.select("id").distinct(), "id", "left_semi"), id_col, text_col), "minhash-sets")
     edges = settled(confirmed(tried, sets), "minhash-links")
     labels = components(edges, "minhash-first")
     # Members of different components that share a bucket: whatever was not tried is tried now.
@@ -291,17 +309,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not rest.isEmpty():
         labels = components(edges.union(settled(confirmed(rest, sets), "minhash-more")), "minhash-all")
     label_of = labels.withColumnRenamed("__id", "id")
-    named = classes.select("same", "id").join(label_of, "id", "left").select("same", F.coalesce("component", "id").alias("component"))
-    out = found.select("__id", "n", "same").join(named, "same", "left")
-    component = F.when((F.col("n") > 0) & F.col("__id").isNotNull(), F.col("component")).otherwise(F.col("__id"))
-    return out.select(F.col("__id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("__id").eqNullSafe(component).alias("kept"))
+    named = classes.select("same", "id", "least").join(label_of, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    out = found.select("__id", "__digest", "n", "same").join(named.join(least, "component").select("same", "component_id"), "same", "left")
+    component = F.when((F.col("n") > 0) & F.col("__id").isNotNull(), F.col("component_id")).otherwise(F.col("__id"))
+    return out.select("__id", "__digest", "n", component.alias("component_id"), F.col("__id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that represent their component, with all their columns, whatever their names.
 
-    Rows without words and rows with a null id stay; rows that repeat a kept id stay too.
+    Rows are told apart by id and text: of several texts under one id each stays or goes by itself. Rows without
+    words and rows with a null id stay; rows that repeat id and text of a kept one stay too. An empty table stays empty.
     """
     numbered, name = columns_numbered(docs)
-    keep = near_duplicates(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("__kept_id")).distinct()
-    return numbered.join(keep, F.col(name[id_col]).eqNullSafe(F.col("__kept_id")), "left_semi").toDF(*docs.columns)
+    keep = judged(docs, id_col, text_col).filter("kept").select(F.col("__id").alias("__kept_id"), F.col("__digest").alias("__kept_text")).distinct()
+    same_row = F.col(name[id_col]).cast("long").eqNullSafe(F.col("__kept_id")) & text_digest(name[text_col]).eqNullSafe(F.col("__kept_text"))
+    return numbered.join(keep, same_row, "left_semi").toDF(*docs.columns)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, exact_dedup, language_id, licenses, minhash, mixing, pii, quality, sharding, substring_dedup
+from ledgerline.llm import bpe, clustering, cross_polytope, exact_dedup, language_id, licenses, minhash, mixing, pii, product_codes, quality, sharding, substring_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +60,35 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected", "entropy")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_vectors(embeddings(spark, sf_dir))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_codes.compressed(embeddings(spark, sf_dir))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters(embeddings(spark, sf_dir))
+
+
+#: In the order of the list they are numbered by.
+OPERATORS = (
+    op1_byte_bpe, op2_mixing, op3_substring_dedup, op4_pii, op5_quality_rules, op6_exact_dedup, op7_minhash, op8_sharding, op9_license_scan, op10_language_id,
+    op11_embedding_near_dedup, op12_vector_codes, op13_centroid_clustering,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_mixing, op3_substring_dedup, op4_pii, op5_quality_rules, op6_exact_dedup, op7_minhash, op8_sharding, op9_license_scan, op10_language_id)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL, "op9_license_scan": licenses.ORACLE_SQL}
+    return {
+        "op5_quality_rules": quality.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL, "op9_license_scan": licenses.ORACLE_SQL, "op11_embedding_near_dedup": cross_polytope.ORACLE_SQL,
+        "op12_vector_codes": product_codes.oracle_sql(), "op13_centroid_clustering": clustering.oracle_sql(),
+    }

@@ -323,3 +323,15 @@ def test_sample_is_the_least_hashed(spark):
     got = {(r["__lang"], r["__text"]) for r in common.least_hashed(d, "__lang", ["__id"], 50).collect()}
     rows = sorted((r["__lang"], r["__h"] % 2**64, r["__id"]) for r in d.collect())
     assert got == {(x, i) for x in ("aa", "bb") for _, _, i in [r for r in rows if r[0] == x][:50]}
+
+
+@pytest.mark.parametrize("swapped", [False, True])
+def test_near_dedup_judges_rows_of_one_id_by_their_own_texts(spark, swapped):
+    """Two texts under one id: one a near copy of another document, one unlike all else."""
+    twins = [(5, LONG + " z"), (5, "of these words no other text has one, nor will it ever")]
+    rows = [(3, LONG), *(reversed(twins) if swapped else twins), (9, "of these words no other text has one, nor will it ever"), (None, LONG), (4, None)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, least string").coalesce(1)
+    got = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1, r.kept) for r in minhash.near_duplicates(df).collect())
+    assert got == [(-1, 116, -1, True), (3, 116, 3, True), (4, 0, 4, True), (5, 8, 5, True), (5, 117, 3, False), (9, 8, 5, False)]
+    left = sorted((r.doc_id or -1, r.text or "") for r in minhash.drop_near_duplicates(df).collect())
+    assert left == sorted([(3, LONG), (-1, LONG), (4, ""), (5, rows[-3][1])])

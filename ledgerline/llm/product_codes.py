@@ -152,7 +152,7 @@ def compressed(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books = Codebooks(history[:1])
         for batch in whole(batches):
-            code, bound, stamp, far = books.first(matrix(batch.column(2), dim).reshape(batch.num_rows, parts, -1))
+            code, bound, stamp, far = books.first(matrix(batch.column(2), dim).reshape(batch.num_rows, parts, dim // parts))
             yield pa.RecordBatch.from_arrays([*batch.columns, *_columns(code, bound, stamp), pa.array(far.sum(axis=1), pa.int64())], ["id", "label", "v", "code", "bound", "stamp", "error"])
 
     state, path = settled_at(in_arrow(rows, begun, schema), "codes-0")
@@ -176,7 +176,7 @@ def _judged_again(state: DataFrame, history: list[np.ndarray], schema: str) -> D
             n = batch.num_rows
             x = matrix(batch.column(2), parts * width).reshape(n, parts, width)
             code, bound, stamp = (np.frombuffer(b"".join(c.to_pylist()), k) for c, k in zip(batch.columns[3:6], (np.uint8, "<f4", np.uint8)))
-            kept = code.reshape(n, parts).astype(np.int64), bound.reshape(n, parts, -1).astype(np.float64), stamp.reshape(n, parts, -1).astype(np.int64)
+            kept = code.reshape(n, parts).astype(np.int64), bound.reshape(n, parts, books.groups).astype(np.float64), stamp.reshape(n, parts, books.groups).astype(np.int64)
             code, bound, stamp, far, _ = books.again(x, *kept)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *_columns(code, bound, stamp), pa.array(far.sum(axis=1), pa.int64())], batch.schema.names)
 

@@ -60,3 +60,11 @@ def stream_late_changes(t: Tables) -> DataFrame:
     """Changes that come after a version was made."""
     versions = t.events.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("made_at"))
     return logs.run_to_table(logs.late_changes(_events(t).filter("event_type = 'error'"), versions, "user_id", "ts", "made_at").select("user_id", "event_id"), "late")
+
+
+@query("""
+SELECT DISTINCT v.user_id, v.event_id FROM events v JOIN events c ON c.user_id = v.user_id AND c.ts > v.ts WHERE v.event_type = 'purchase' AND c.event_type = 'error'""")
+def stream_stale_versions(t: Tables) -> DataFrame:
+    """Versions that a later change makes stale, both as streams."""
+    versions, changes = _events(t).filter("event_type = 'purchase'"), _events(t).filter("event_type = 'error'")
+    return logs.run_to_table(logs.stale_versions(versions, changes, "user_id", "ts", "ts", "event_id"), "stale")

@@ -6,15 +6,16 @@ so that a run that was stopped goes on where it was. State is kept per key by Sp
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerline.operators.shared import shared_path
+from ledgerline.streaming.keyed import stepped
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str, per_trigger: int = 1000) -> DataFrame:
@@ -22,13 +23,15 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     return spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", per_trigger).parquet(folder)
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def run_to_table(stream: DataFrame, name: str, mode: str = "append", at: str | None = None) -> DataFrame:
     """Runs a stream to the end of what is there and reads the table it wrote.
 
-    Complete results replace the table batch by batch; appended ones go through the exactly-once file sink.
+    Complete results replace the table batch by batch; appended ones go through the exactly-once file sink. A stream
+    that is run ``at`` the same path again goes on where it was, with its state.
     """
     spark, schema = stream.sparkSession, stream.schema
-    out, marks = shared_path(spark, name), shared_path(spark, f"{name}-checkpoint")
+    base = at or shared_path(spark, name)
+    out, marks = f"{base}/table", f"{base}/checkpoint"
     writer = stream.writeStream.option("checkpointLocation", marks).trigger(availableNow=True).outputMode(mode)
     if mode == "append":
         query = writer.format("parquet").option("path", out).start()
@@ -51,57 +54,45 @@ def stream_states(stream: DataFrame, key: str, seq: str, before: str, after: str
     allowed; rejected rows leave the state as it is. Rows of a key are taken in the order of ``seq`` within a batch.
     """
     pairs = frozenset(allowed)
-    kind = stream.schema[key].dataType.simpleString()
-    seq_kind = stream.schema[seq].dataType.simpleString()
 
-    def judge(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        current = state.get[0] if state.exists else initial
-        rows = pd.concat(list(frames)).sort_values(seq, kind="stable")
-        out = []
-        for s, b, a in zip(rows[seq], rows[before], rows[after]):
+    def judge(state: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+        current, states, accepted = state[0], [], []
+        for b, a in zip(rows[before], rows[after]):
             ok = (b is None or b == current) and (current, a) in pairs
-            out.append((group[0], s, current, a, ok))
+            states.append(current)
+            accepted.append(ok)
             current = a if ok else current
-        state.update((current,))
-        yield pd.DataFrame(out, columns=[key, seq, "state", "wanted", "accepted"])
+        return (current,), pd.DataFrame({seq: rows[seq].to_numpy(), "state": states, "wanted": rows[after].to_numpy(), "accepted": accepted})
 
-    rows = stream.select(key, seq, F.col(before).cast("string").alias(before) if before in stream.columns else F.lit(None).cast("string").alias(before), F.col(after).cast("string").alias(after))
-    return rows.groupBy(key).applyInPandasWithState(judge, f"{key} {kind}, {seq} {seq_kind}, state string, wanted string, accepted boolean", "state string", "append", GroupStateTimeout.NoTimeout)
+    text = lambda c: F.col(c).cast("string") if c in stream.columns else F.lit(None).cast("string")
+    seq_kind = stream.schema[seq].dataType.simpleString()
+    return stepped(stream.withColumns({before: text(before), after: text(after)}), key, seq, [before, after], judge, "state string", (initial,), f"{seq} {seq_kind}, state string, wanted string, accepted boolean")
 
 
 def stream_deltas(stream: DataFrame, key: str, seq: str, mark: str) -> DataFrame:
-    """A row for each change of a key's fingerprint against the one before (T3); the first counts as a change."""
-    kind, seq_kind = stream.schema[key].dataType.simpleString(), stream.schema[seq].dataType.simpleString()
+    """A row for each change of a key's fingerprint against the one before (T3); the first counts as a change. Rows without a fingerprint say nothing."""
 
-    def diff(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(frames)).sort_values(seq, kind="stable")
-        out = []
-        for s, m in zip(rows[seq], rows[mark]):
-            if m != last:
-                out.append((group[0], s, last, m))
-                last = m
-        state.update((last,))
-        yield pd.DataFrame(out, columns=[key, seq, "was", "now"])
+    def diff(state: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+        marks = rows[mark].to_numpy(dtype=object)
+        was = np.concatenate([np.array([state[0]], object), marks[:-1]])
+        changed = marks != was
+        out = pd.DataFrame({seq: rows[seq].to_numpy()[changed], "was": was[changed], "now": marks[changed]})
+        return (marks[-1] if len(marks) else state[0],), out
 
-    return stream.select(key, seq, F.col(mark).cast("string").alias(mark)).groupBy(key).applyInPandasWithState(diff, f"{key} {kind}, {seq} {seq_kind}, was string, now string", "last string", "append", GroupStateTimeout.NoTimeout)
+    seq_kind = stream.schema[seq].dataType.simpleString()
+    rows = stream.withColumn(mark, F.col(mark).cast("string")).dropna(subset=[mark])
+    return stepped(rows, key, seq, [mark], diff, "last string", (None,), f"{seq} {seq_kind}, was string, now string")
 
 
 def stream_cap(stream: DataFrame, key: str, seq: str, counts: Column, cap: int) -> DataFrame:
     """Counted rows with their number in the key and whether the cap admits them (T5)."""
-    kind, seq_kind = stream.schema[key].dataType.simpleString(), stream.schema[seq].dataType.simpleString()
 
-    def admit(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        used = state.get[0] if state.exists else 0
-        rows = pd.concat(list(frames)).sort_values(seq, kind="stable")
-        out = []
-        for s in rows[seq]:
-            out.append((group[0], s, used, used < cap))
-            used += 1
-        state.update((used,))
-        yield pd.DataFrame(out, columns=[key, seq, "used_before", "admitted"])
+    def admit(state: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+        used = state[0] + np.arange(len(rows), dtype=np.int64)
+        return (int(state[0] + len(rows)),), pd.DataFrame({seq: rows[seq].to_numpy(), "used_before": used, "admitted": used < cap})
 
-    return stream.filter(counts).select(key, seq).groupBy(key).applyInPandasWithState(admit, f"{key} {kind}, {seq} {seq_kind}, used_before bigint, admitted boolean", "used long", "append", GroupStateTimeout.NoTimeout)
+    seq_kind = stream.schema[seq].dataType.simpleString()
+    return stepped(stream.filter(counts), key, seq, [], admit, "used bigint", (0,), f"{seq} {seq_kind}, used_before bigint, admitted boolean")
 
 
 def stream_counters(stream: DataFrame, group: str) -> DataFrame:
@@ -116,3 +107,20 @@ def late_changes(changes: DataFrame, versions: DataFrame, key: str, changed: str
     """
     last = versions.groupBy(key).agg(F.max(made).alias("made"))
     return changes.join(last, key).filter(F.col(changed) > F.col("made"))
+
+
+def stale_versions(versions: DataFrame, changes: DataFrame, key: str, made: str, changed: str, id_col: str, horizon: str | None = None, delay: str | None = None) -> DataFrame:
+    """Versions, as a stream, that a later change of their key makes stale (T6): key and id, each once.
+
+    Both sides are streams, joined on the key and on time order. As it stands, no row is ever late and Spark keeps all
+    of both sides. With ``horizon`` (how long after a version a change still counts) and ``delay`` (how late rows may
+    come), both intervals, watermarks let Spark drop state that nothing can meet any more, and rows later than that.
+    """
+    v = versions.select(F.col(key).alias("__key"), F.col(id_col).alias("__id"), F.col(made).alias("__made"))
+    c = changes.select(F.col(key).alias("__of"), F.col(changed).alias("__changed"))
+    on = (F.col("__key") == F.col("__of")) & (F.col("__changed") > F.col("__made"))
+    if horizon and delay:
+        v, c = v.withWatermark("__made", delay), c.withWatermark("__changed", delay)
+        on = on & (F.col("__changed") <= F.col("__made") + F.expr(f"INTERVAL {horizon}"))
+        return v.join(c, on).select(F.col("__key").alias(key), F.col("__id").alias(id_col), "__made").dropDuplicatesWithinWatermark([key, id_col]).drop("__made")
+    return v.join(c, on).select(F.col("__key").alias(key), F.col("__id").alias(id_col)).dropDuplicates([key, id_col])

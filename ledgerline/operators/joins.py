@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators.segments import scanned
+
 
 def enriched(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
     """Left joins of a fact with one-row-per-key dimensions, each pruned to its columns first.
@@ -106,15 +108,19 @@ def upserted_edges(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataF
     return both.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy("__age", *[c for c in old.columns if c not in keys]))).filter("__rn = 1").drop("__rn", "__age")
 
 
-def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, since: str, values: Sequence[str], fact_id: Sequence[str]) -> DataFrame:
+def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, since: str, values: Sequence[str], fact_id: Sequence[str], segment: Callable[[Column], Column] | None = None) -> DataFrame:
     """Each fact with the newest version of its key at or before its time; null values if there is none.
 
     Facts and versions of a key are put into one order of time and the last version is carried forward:
-    one shuffle and one sort, and no pair of a fact with the versions it does not use.
+    one shuffle and one sort, and no pair of a fact with the versions it does not use. ``segment`` makes of a time
+    the part of the order that it lies in (``segments.scanned``), so that a hot key is spread over many tasks.
     """
     v = versions.select(F.col(key), F.col(since).alias("__t"), F.lit(0).alias("__fact"), F.struct(*values).alias("__v"))
     f = facts.withColumn("__t", F.col(at)).withColumn("__fact", F.lit(1))
     both = f.withColumn("__v", F.lit(None).cast(v.schema["__v"].dataType)).unionByName(v, allowMissingColumns=True)
+    if segment is not None:
+        carried = scanned(both, [key], ["__t", "__fact"], segment(F.col("__t")), known={"__v": F.col("__v")}).filter("__fact = 1")
+        return carried.select(*facts.columns, *[F.col(f"__v.{x}").alias(x) for x in values])
     w = Window.partitionBy(key).orderBy("__t", "__fact").rowsBetween(Window.unboundedPreceding, 0)
     carried = both.withColumn("__v", F.last("__v", ignorenulls=True).over(w)).filter("__fact = 1")
     return carried.select(*facts.columns, *[F.col(f"__v.{x}").alias(x) for x in values])

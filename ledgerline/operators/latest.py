@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators.segments import scanned
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None) -> DataFrame:
     """The first ``n`` rows of each key in ``order`` (W1-W3, W11, W12). ``rank`` names a column for the place, from 1."""
@@ -51,14 +53,24 @@ def state_of_key(log: DataFrame, key: str, seq: str, state: str, since: str) ->
     return log.groupBy(key).agg(last.alias("__last"), F.count("*").alias("steps")).select(key, F.col("__last.state").alias("state"), F.col("__last.since").alias("since"), "steps")
 
 
-def continuity(log: DataFrame, key: str, seq: str, before: str, after: str, initial: str) -> DataFrame:
-    """``log`` with expected (the state the previous row led to) and continuous (whether it is the row's own before)."""
-    expected = F.lag(after, 1, initial).over(Window.partitionBy(key).orderBy(seq))
-    return log.withColumn("expected", expected).withColumn("continuous", F.col(before).eqNullSafe(F.col("expected")))
-
+def continuity(log: DataFrame, key: str, seq: str, before: str, after: str, initial: str, segment: Column | None = None) -> DataFrame:
+    """``log`` with expected (the state the previous row led to) and continuous (whether it is the row's own before).
 
-def version_chain(df: DataFrame, key: str, order: Sequence[str], id_col: str) -> DataFrame:
-    """version (from 1) and previous (id of the version before) per key."""
+    Where one key may hold a large share of all rows, ``segment`` (see ``segments.scanned``) spreads it.
+    """
+    if segment is None:
+        d = log.withColumn("expected", F.lag(after, 1, initial).over(Window.partitionBy(key).orderBy(seq)))
+    else:
+        # A row's null after is a value like any other; only a key's first row has none before it.
+        d = scanned(log, [key], [seq], segment, number="__nth", previous={"expected": F.col(after)})
+        d = d.withColumn("expected", F.when(F.col("__nth") == 1, F.lit(initial)).otherwise(F.col("expected"))).drop("__nth")
+    return d.withColumn("continuous", F.col(before).eqNullSafe(F.col("expected")))
+
+
+def version_chain(df: DataFrame, key: str, order: Sequence[str], id_col: str, segment: Column | None = None) -> DataFrame:
+    """version (from 1) and previous (id of the version before) per key (W10); ``segment`` spreads hot keys."""
+    if segment is not None:
+        return scanned(df, [key], order, segment, number="version", previous={"previous": F.col(id_col)}).withColumn("version", F.col("version").cast("int"))
     w = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("version", F.row_number().over(w)).withColumn("previous", F.lag(id_col).over(w))
 
@@ -68,11 +80,16 @@ def newest_flag(df: DataFrame, key: str, version: str) -> DataFrame:
     return df.withColumn("is_newest", F.col(version) == F.max(version).over(Window.partitionBy(key)))
 
 
-def running_cap(log: DataFrame, key: str, seq: str, counts: Column, cap: int, base: Column | None = None) -> DataFrame:
-    """Rows with used_before (counted rows earlier in the key, plus ``base``) and admitted: it counts and there is room."""
-    w = Window.partitionBy(key).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    used = F.coalesce(F.sum(F.when(counts, 1).otherwise(0)).over(w), F.lit(0)) + (F.lit(0) if base is None else base)
-    return log.withColumn("used_before", used.cast("long")).withColumn("admitted", ~counts | (F.col("used_before") < cap))
+def running_cap(log: DataFrame, key: str, seq: str, counts: Column, cap: int, base: Column | None = None, segment: Column | None = None) -> DataFrame:
+    """Rows with used_before (counted rows earlier in the key, plus ``base``) and admitted: it counts and there is room (W7);
+    ``segment`` spreads hot keys."""
+    one = F.when(counts, 1).otherwise(0)
+    if segment is None:
+        d = log.withColumn("used_before", F.sum(one).over(Window.partitionBy(key).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)))
+    else:
+        d = scanned(log, [key], [seq], segment, sums={"used_before": one})
+    used = F.coalesce("used_before", F.lit(0)) + (F.lit(0) if base is None else base)
+    return d.withColumn("used_before", used.cast("long")).withColumn("admitted", ~counts | (F.col("used_before") < cap))
 
 
 def changed_after(versions: DataFrame, changes: DataFrame, key: str, made: str, changed: str, id_col: str) -> DataFrame:

@@ -22,13 +22,13 @@ def _payload(path: str) -> Column:
     return F.coalesce(F.get_json_object("payload", f"$.{path}"), F.lit(""))
 
 
-def transition_violations(log: DataFrame, rules: DataFrame, key: str = "event_id", seq: str = "seq", initial: str = "SEM_FLUXO", enabled: bool = True) -> DataFrame:
+def transition_violations(log: DataFrame, rules: DataFrame, key: str = "event_id", seq: str = "seq", initial: str = "SEM_FLUXO", enabled: bool = True, segment: Column | None = None) -> DataFrame:
     """Every row of a log with the list of what is wrong with it (G2, batch form).
 
     Rows are judged against the row before, accepted or not; ``stream_states`` judges against the last
     accepted one. log: key, seq, de, acao, para, usuario_id, motivo, payload (JSON text).
     """
-    d = continuity(log, key, seq, "de", "para", initial)
+    d = continuity(log, key, seq, "de", "para", initial, segment)
     known = rules.select("acao", "de", "para", F.lit(True).alias("__known"))
     d = d.join(F.broadcast(known), ["acao", "de", "para"], "left")  # the table has as many rows as code lists
     act, back = F.col("acao"), _payload("origem_devolucao")

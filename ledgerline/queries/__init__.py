@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.queries import aggregates, cases, decisions, scope, streams, texts, windows
+from ledgerline.queries import aggregates, cases, decisions, scope, streams, tables, texts, windows
 from ledgerline.queries.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "aggregates", "cases", "decisions", "scope", "streams", "texts", "windows"]
+__all__ = ["ORACLES", "QUERIES", "aggregates", "cases", "decisions", "scope", "streams", "tables", "texts", "windows"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import keys
 from ledgerline.functions.numbers import call_cost
-from ledgerline.operators import joins
+from ledgerline.operators import joins, segments
 from ledgerline.operators.rules import active_weights, banded, capped_score, cascade, listed
 from ledgerline.operators.shared import written
 from ledgerline.plans import calls, criticality, queue, scores, workflow
@@ -332,7 +332,7 @@ def transition_violations(t: Tables) -> DataFrame:
     before = F.lag("event_type", 1, "SEM_FLUXO").over(Window.partitionBy("user_id").orderBy("event_id"))
     log = t.events.select(k, F.col("user_id").alias("u"), F.lit("IR").alias("acao"), F.when(k % 5 == 0, "view").otherwise(before).alias("de"), F.col("event_type").alias("para"), F.when(k % 6 != 0, "p").alias("usuario_id"), F.lit(None).cast("string").alias("motivo"), F.lit("{}").alias("payload"))
     rules = workflow.transition_table(t.spark, [("IR", a, b) for a, b in _PAIRS])
-    return workflow.transition_violations(log, rules, "u", "event_id").select("event_id", F.array_join("violations", ",").alias("violations"))
+    return workflow.transition_violations(log, rules, "u", "event_id", segment=segments.blocks(F.col("event_id"), 4096)).select("event_id", F.array_join("violations", ",").alias("violations"))
 
 
 @query("""

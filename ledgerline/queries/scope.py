@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ledgerline.functions import dates, keys
 from ledgerline.operators import audit, joins, scope
 from ledgerline.operators.latest import latest_per_key
+from ledgerline.operators.shared import written
 from ledgerline.queries.registry import Tables, query
-from ledgerline.sources.scan import scoped_load
+from ledgerline.sources.scan import load_counts, scoped_load
 
 REF = "2001-11-05"
 
@@ -42,8 +43,17 @@ def _fact(t: Tables) -> DataFrame:
 WITH d AS (SELECT coalesce({_RULES_SQL}, 'aceito') AS motivo FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey)
 SELECT motivo, count(*) AS n FROM d GROUP BY motivo""")
 def scoped_load_counts(t: Tables) -> DataFrame:
-    """Rejection counters of a scoped load."""
-    return scoped_load(_fact(t), _rules())[1]
+    """Rejection counters of a scoped load, observed while its rows are written."""
+    kept, seen = scoped_load(_fact(t), _rules())
+    written(kept, "scoped")
+    return load_counts(t.spark, seen)
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, l_shipdate, p_type FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey WHERE {_RULES_SQL} IS NULL""")
+def scoped_load_rows(t: Tables) -> DataFrame:
+    """The rows of a scoped load."""
+    return scoped_load(_fact(t), _rules())[0].select("l_orderkey", "l_linenumber", "l_shipdate", "p_type")
 
 
 @query(f"""
@@ -240,7 +250,7 @@ def asof_price(t: Tables) -> DataFrame:
     """The price version in force at each fact's time."""
     v = t.lineitem.filter("l_linenumber = 1").groupBy("l_partkey", F.col("l_shipdate").alias("since")).agg(F.max("l_extendedprice").alias("price"))
     f = t.lineitem.filter("l_linenumber > 1").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    return joins.as_of(f, v, "l_partkey", "l_shipdate", "since", ["price"], ["l_orderkey"])
+    return joins.as_of(f, v, "l_partkey", "l_shipdate", "since", ["price"], ["l_orderkey"], lambda at: F.date_trunc("year", at))
 
 
 @query("""

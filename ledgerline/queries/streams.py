@@ -19,6 +19,14 @@ def stream_new_inputs(t: Tables) -> DataFrame:
     return logs.run_to_table(logs.new_or_changed(_events(t).select("user_id", "event_type"), ["user_id"], ["event_type"]).select("user_id", "event_type"), "new")
 
 
+@query("""
+SELECT CASE WHEN event_type = 'error' THEN 'erro' WHEN value < 10 THEN 'valor' ELSE 'aceito' END AS motivo, count(*) AS n FROM events GROUP BY 1""")
+def stream_load_counts(t: Tables) -> DataFrame:
+    """Counters of a stream's load, observed while its rows are written."""
+    rules = [("erro", F.col("event_type") == "error"), ("valor", F.col("value") < 10)]
+    return logs.stream_load(_events(t), rules, "load")[1].groupBy("motivo").agg(F.sum("n").alias("n"))
+
+
 _ALLOWED = (("SEM_FLUXO", "signup"), ("signup", "view"), ("view", "click"), ("click", "purchase"), ("purchase", "view"), ("click", "error"), ("error", "view"))
 
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators import latest
+from ledgerline.operators import latest, segments
 from ledgerline.plans.calls import dossier_evidence
 from ledgerline.queries.registry import Tables, query
 
+#: Events of a segment of a key.
+BLOCK = 4096
+
 
 @query("""
 WITH l AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 17 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS inicio, CASE o_orderstatus WHEN 'F' THEN '2001-01-01' WHEN 'P' THEN '  ' END AS fim FROM orders)
@@ -49,13 +52,13 @@ def continuity(t: Tables) -> DataFrame:
     """Whether each row starts where the one before ended."""
     before = F.lag("event_type", 1, "SEM_FLUXO").over(Window.partitionBy("user_id").orderBy("event_id"))
     log = t.events.select("event_id", "user_id", F.when(F.col("event_id") % 5 == 0, F.col("event_type")).otherwise(before).alias("de"), F.col("event_type").alias("para"))
-    return latest.continuity(log, "user_id", "event_id", "de", "para", "SEM_FLUXO")
+    return latest.continuity(log, "user_id", "event_id", "de", "para", "SEM_FLUXO", segments.blocks(F.col("event_id"), BLOCK))
 
 
 @query("""SELECT o_orderkey, o_custkey, CAST(row_number() OVER w AS INTEGER) AS version, lag(o_orderkey) OVER w AS previous FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""")
 def version_chain(t: Tables) -> DataFrame:
     """Version numbers and the version before."""
-    return latest.version_chain(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey").drop("o_orderdate")
+    return latest.version_chain(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey", F.date_trunc("year", "o_orderdate")).drop("o_orderdate")
 
 
 @query("""
@@ -86,7 +89,7 @@ WITH d AS (SELECT event_id, user_id, event_type = 'error' AS counts, coalesce(su
 SELECT event_id, user_id, used_before, NOT counts OR used_before < 6 AS admitted FROM d""")
 def running_cap(t: Tables) -> DataFrame:
     """A running ceiling per key."""
-    return latest.running_cap(t.events.select("event_id", "user_id", "event_type"), "user_id", "event_id", F.col("event_type") == "error", 6).drop("event_type")
+    return latest.running_cap(t.events.select("event_id", "user_id", "event_type"), "user_id", "event_id", F.col("event_type") == "error", 6, segment=segments.blocks(F.col("event_id"), BLOCK)).drop("event_type")
 
 
 @query("""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,10 +53,22 @@ def header_contract(spark: SparkSession, folder: str, files: Mapping[str, Sequen
     return j.select("arquivo", F.when(F.col("cabecalho").isNotNull(), found).alias("colunas"), need.alias("esperadas"), state.alias("situacao"))
 
 
-def scoped_load(fact: DataFrame, rules: Sequence[tuple[str, Column]], sample: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows that no rule rejects, counts by reason) (S4). Filters run with the scan; the sample takes any rows,
-    as files have no order (O7)."""
+def scoped_load(fact: DataFrame, rules: Sequence[tuple[str, Column]], sample: int | None = None) -> tuple[DataFrame, Observation]:
+    """(rows that no rule rejects, their counters) (S4, T4). Filters run with the scan; the sample takes any rows,
+    as files have no order (O7).
+
+    Counters are observed while the rows are read: whatever runs the rows, a write say, fills them, and nothing is
+    scanned for them again. ``load_counts`` makes a table of them. A sample ends the scan early, and its counters with it.
+    """
+    seen = Observation(f"scoped_load_{uuid.uuid4().hex}")
     tagged = fact.withColumn("__why", reject_reason(rules))
-    counts = tagged.groupBy(F.coalesce("__why", F.lit("aceito")).alias("motivo")).agg(F.count("*").alias("n"))
-    kept = tagged.filter("__why is null").drop("__why")
-    return (kept.limit(sample) if sample is not None else kept), counts
+    counted = [F.count("*").alias("read"), *[F.count_if(F.col("__why") == name).alias(name) for name, _ in rules], F.count_if(F.col("__why").isNull()).alias("kept")]
+    kept = tagged.observe(seen, *counted).filter("__why is null").drop("__why")
+    return (kept.limit(sample) if sample is not None else kept), seen
+
+
+def load_counts(spark: SparkSession, seen: Observation) -> DataFrame:
+    """motivo, n of a load that has run: rows by the reason that rejected them, ``aceito`` for those kept; reasons without rows are left out."""
+    counts = dict(seen.get)
+    rows = [("aceito" if k == "kept" else k, int(v)) for k, v in counts.items() if k != "read" and v]
+    return spark.createDataFrame(rows, "motivo string, n bigint")

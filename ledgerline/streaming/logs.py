@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.shared import shared_path
+from ledgerline.sources.scan import load_counts, scoped_load
 from ledgerline.streaming.keyed import stepped
 
 
@@ -100,6 +101,25 @@ def stream_counters(stream: DataFrame, group: str) -> DataFrame:
     return stream.groupBy(group).agg(F.count("*").alias("n"))
 
 
+def stream_load(stream: DataFrame, rules: Sequence[tuple[str, Column]], name: str, at: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows that no rule rejects, a row of counters per batch) of a stream, each row read once.
+
+    Each batch is written under its number, with the counters that were observed while it was; a batch that is run again
+    after a failure takes the place of its first run, so neither rows nor counts are doubled.
+    """
+    spark = stream.sparkSession
+    base = at or shared_path(spark, name)
+
+    def load(batch: DataFrame, number: int) -> None:
+        kept, seen = scoped_load(batch, rules)
+        kept.write.mode("overwrite").parquet(f"{base}/rows/batch={number}")
+        load_counts(spark, seen).write.mode("overwrite").parquet(f"{base}/counts/batch={number}")
+
+    stream.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(load).start().awaitTermination()
+    rows = spark.read.schema(stream.schema).option("basePath", f"{base}/rows").parquet(f"{base}/rows/batch=*")
+    return rows, spark.read.option("basePath", f"{base}/counts").parquet(f"{base}/counts/batch=*")
+
+
 def late_changes(changes: DataFrame, versions: DataFrame, key: str, changed: str, made: str) -> DataFrame:
     """Changes, as a stream, that come after a version of their key was made (T6): a join with the table of versions.
 

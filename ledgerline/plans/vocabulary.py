@@ -225,3 +225,12 @@ IMPACT_CLASSES = ("FATO_PRINCIPAL", "ATRIBUICAO", "GRAVIDADE", "PERIFERICA")
 #: Fields that say that a fact is new, and fields that link an event to the sector officially.
 NOVELTY = ("novo_ou_alterado", "evento_novo", "fato_novo")
 OFFICIAL_LINKS = ("processo_anm", "identificador_sigbm", "cnpj_watchlist_confirmado", "empresa_watchlist_confirmada", "ativo_watchlist_confirmado", "atividade_licenciada_mineraria", "vinculo_oficial_confirmado", "empresa_watchlist", "ativo_watchlist", "projeto_estrategico")
+
+# --- timelines ---------------------------------------------------------------------------------
+#: Terms of an act's type, in order, with the milestone that the first of them found stands for.
+ACT_MILESTONES = (
+    ("decaimento", "decisao"), ("caducidade", "decisao"), ("indisponibilidade", "decisao"), ("interdicao", "decisao"), ("renuncia", "decisao"), ("cessao", "decisao"), ("transferencia", "decisao"),
+    ("concessao", "decisao"), ("portaria lavra", "publicacao"), ("guia utilizacao", "publicacao"), ("alvara pesquisa", "publicacao"), ("relatorio aprovado", "publicacao"),
+    ("reavaliacao aprovada", "publicacao"), ("intimacao", "ciencia"), ("exigencia", "ciencia"), ("protocolo", "requerimento"), ("juntada", "requerimento"), ("pagamento tah", "requerimento"),
+    ("retificacao", "requerimento"), ("ral", "requerimento"),
+)

@@ -151,8 +151,7 @@ def _case_acts(t: Tables) -> DataFrame:
     )
 
 
-@query(f"""
-WITH a AS (SELECT l_orderkey, l_partkey::VARCHAR AS processo, {_KIND_LIST}[l_partkey % {len(_KINDS)} + 1] AS d, CASE WHEN l_suppkey % 3 = 0 THEN 'VALE S.A.' ELSE 'OUTRA ' || l_suppkey END AS empresa, CASE WHEN l_partkey % 5 <> 0 THEN l_linestatus END AS mun,
+_CASE_CTES = f"""a AS (SELECT l_orderkey, l_partkey::VARCHAR AS processo, {_KIND_LIST}[l_partkey % {len(_KINDS)} + 1] AS d, CASE WHEN l_suppkey % 3 = 0 THEN 'VALE S.A.' ELSE 'OUTRA ' || l_suppkey END AS empresa, CASE WHEN l_partkey % 5 <> 0 THEN l_linestatus END AS mun,
     CAST(l_shipdate AS DATE) AS dia, l_returnflag = 'R' AS est, l_linenumber % 2 = 0 AND CAST(l_quantity AS INTEGER) <> 0 AS dim, l_linenumber AS ln FROM lineitem),
 n AS (SELECT *, trim(regexp_replace(' ' || lower(regexp_replace(d, '[^A-Z0-9]+', ' ', 'g')) || ' ', ' de ', ' ', 'g')) AS n FROM a),
 f AS (SELECT *, {", ".join(f"({v}) AS {k}" for k, v in _HAS.items())}, empresa LIKE 'VALE%' AS emp FROM n),
@@ -161,7 +160,10 @@ c AS (SELECT l_orderkey, count(*) AS atos, count(DISTINCT processo) AS processos
 s AS (SELECT *, greatest(least(mm::INT * 4 + al::INT * 2 + dim::INT * 2 + emp::INT * 2 + est::INT * 2 + rs::INT + (municipios >= 2)::INT, 10) - ro::INT * 5 - ex::INT * 3 - re::INT * 2, 0) AS s0 FROM c),
 t AS (SELECT *, least(s0, CASE WHEN ro THEN 1 ELSE 10 END, CASE WHEN ex THEN 4 ELSE 10 END, CASE WHEN al AND NOT (mm OR dim OR emp OR est OR rs OR municipios >= 2) THEN 4 ELSE 10 END, CASE WHEN rs AND NOT dim THEN 7 ELSE 10 END) AS s1 FROM s),
 u AS (SELECT *, CASE WHEN pl THEN greatest(s1, 8) ELSE s1 END AS score FROM t),
-v AS (SELECT *, CASE WHEN score >= 8 THEN 'A' WHEN score >= 5 THEN 'B' WHEN score >= 2 THEN 'C' ELSE 'D' END AS faixa, count(*) OVER (PARTITION BY p.e) - 1 AS antecedentes FROM u)
+v AS (SELECT *, CASE WHEN score >= 8 THEN 'A' WHEN score >= 5 THEN 'B' WHEN score >= 2 THEN 'C' ELSE 'D' END AS faixa, count(*) OVER (PARTITION BY p.e) - 1 AS antecedentes FROM u)"""
+
+
+@query(f"""WITH {_CASE_CTES}
 SELECT l_orderkey, atos, processos, CAST(score AS DOUBLE) AS score, faixa, p.e = 'VALE S.A.' AS criterio_ok, CASE WHEN p.e <> 'VALE S.A.' THEN 'criterios:empresa' WHEN faixa NOT IN ('A', 'B') THEN 'banda_' || faixa END AS motivo_fila, antecedentes,
   CASE WHEN 5 + (p.m <> '')::INT + (processos > 1 OR antecedentes > 0)::INT >= 6 THEN 'Media' ELSE 'Baixa' END AS grau FROM v""")
 def case_assembly(t: Tables) -> DataFrame:

@@ -30,12 +30,12 @@ def run_totals(t: Tables) -> DataFrame:
     return _twice(shared_path(t.spark, "runs"), [rows], publish.repeated_keys(["run"]))
 
 
-_KIND = "CASE o_orderstatus WHEN 'F' THEN 'decisao' WHEN 'O' THEN 'protocolo' WHEN 'P' THEN 'publicacao' END"
+_KIND = "CASE o_orderstatus WHEN 'F' THEN 'decisao' WHEN 'O' THEN 'requerimento' WHEN 'P' THEN 'publicacao' END"
 
 
 @query(f"""
 WITH d AS (SELECT o_orderkey, o_custkey % 2 AS batch, CASE WHEN o_orderkey % 7 = 0 THEN 'outro' ELSE {_KIND} END AS marco, CAST(o_orderdate AS DATE) AS dia FROM orders)
-SELECT o_orderkey, marco, dia, batch FROM d WHERE marco IN ('decisao', 'protocolo', 'publicacao')""")
+SELECT o_orderkey, marco, dia, batch FROM d WHERE marco IN ('decisao', 'requerimento', 'publicacao')""")
 def timeline_rows(t: Tables) -> DataFrame:
     """A timeline with a closed vocabulary, what is outside of it rejected."""
     kind = F.when(F.col("o_orderkey") % 7 == 0, "outro").otherwise(F.expr(_KIND))

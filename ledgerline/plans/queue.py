@@ -12,6 +12,7 @@ from ledgerline.operators.latest import current_score, ranked_in_parts
 from ledgerline.operators.shared import written
 from ledgerline.operators.rules import active, first_match, listed
 from ledgerline.plans import vocabulary as V
+from ledgerline.plans.workflow import ordered_chunks
 
 
 def score_decision(relevance: Column, computed: Column, stage: Column, level: Column, status: Column, cut: float = V.QUEUE["score_corte"]) -> Column:
@@ -113,25 +114,30 @@ def queue_items(events: DataFrame, scores: DataFrame, evidence: DataFrame, docum
     return j.drop(*[c for c in j.columns if c.startswith("__")], "material")
 
 
+def _day_of(items: DataFrame) -> Column:
+    """The day of the material time, which is milliseconds, a timestamp, or text that begins with its date."""
+    kind = dict(items.dtypes)["material_ts"]
+    if kind == "string":
+        return F.substring("material_ts", 1, 10)
+    return F.date_trunc("day", "material_ts") if kind.startswith("timestamp") else F.floor(F.col("material_ts") / 86_400_000)
+
+
 def ranked_queue(items: DataFrame, tenant: str = "empresa_id", key: str = "id") -> DataFrame:
     """items with ordem, the place in their tenant's queue, by eight keys.
 
-    Tenants are few and their queues may be long, so these are ranked in parts of equal state, ranks and time (of
-    a time that is text, its first six characters).
+    Tenants are few and their queues may be long, so these are ranked in parts of equal state, ranks and day: as many
+    parts as there are days, however fine the times are.
     """
     score = F.coalesce(F.when(F.col("decisorio"), F.col("score_valor").cast("double")), F.lit(-1e18))
-    leading = [(F.col("atualizado"), True), (F.col("rank_prioridade"), True), (F.col("rank_criticidade"), True), (F.substring("material_ts", 1, 6) if dict(items.dtypes)["material_ts"] == "string" else F.col("material_ts"), True)]
+    leading = [(F.col("atualizado"), True), (F.col("rank_prioridade"), True), (F.col("rank_criticidade"), True), (_day_of(items), True)]
     rest = [F.col("material_ts").desc(), F.col("inedito").desc(), score.desc(), F.col("qualidade_evidencia").desc(), F.col(key).desc()]
     return ranked_in_parts(written(items, "queue-items"), [tenant], leading, rest, "ordem")
 
 
-def queue_arrays(ranked: DataFrame, columns: Sequence[str], tenant: str = "empresa_id", up_to: int | None = None) -> DataFrame:
-    """Each tenant's queue as one ordered array (A23), whole, or its first ``up_to`` places where a page is wanted.
-
-    A queue that does not fit a row stays as ``ranked``, which has the same order in ``ordem``.
-    """
-    head = ranked if up_to is None else ranked.filter(F.col("ordem") <= up_to)
-    return head.groupBy(tenant).agg(F.array_sort(F.collect_list(F.struct("ordem", *columns))).alias("fila"))
+def queue_pages(ranked: DataFrame, columns: Sequence[str], tenant: str = "empresa_id", size: int = 1000) -> DataFrame:
+    """Each tenant's queue as ordered arrays of at most ``size`` items (A23): tenant, parte (from 0), itens, whole. Their
+    parts in order are the queue, whatever its length."""
+    return ordered_chunks(ranked, tenant, "ordem", columns, size)
 
 
 def draft_status(events: DataFrame, calls: DataFrame, blocked: Column, text_path: str = "$.pre_release") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.keys import content_hash
 from ledgerline.operators.latest import continuity, newest_flag
 from ledgerline.operators.rules import active, listed, violations
+from ledgerline.operators.segments import scanned
 from ledgerline.plans import vocabulary as V
 
 
@@ -130,6 +131,46 @@ def admitted_versions(versions: DataFrame, log: DataFrame, dossiers: DataFrame)
     return j.withColumn("violations", bad).drop("__l", "__hash", "__event")
 
 
+def paired_log(log: DataFrame, dossiers: DataFrame, segment: Column, key: str = "event_id", seq: str = "seq") -> DataFrame:
+    """One append-only log of transitions and draft versions, admitted in pairs (G7 with G2): key, seq, id, tipo, versao,
+    violations, admitted.
+
+    log: key, seq, id, tipo (``transicao`` or ``versao``), acao, para, dossie_id, hash_dossie (of a release's payload),
+    liberacao_id and bloqueantes (of versions: the release it is made on, how many rules its text breaks), versao_id (of the
+    transition that a version makes). dossiers: id, event_id, hash.
+
+    A version stands on the release that is the last transition before it, with that release's dossier and hash, and
+    is followed at once by the transition that names it; neither is admitted without the other, so a reader of the log
+    never sees one of a pair alone. Other transitions pass here and are ``transition_violations``' to judge. ``versao``
+    numbers the admitted versions of a key; ``segment`` spreads hot keys (``segments.scanned``).
+    """
+    is_version, generates = F.col("tipo") == "versao", (F.col("tipo") == "transicao") & F.coalesce(F.col("acao") == "GERAR_PRE_RELEASE", F.lit(False))
+    step = F.when(F.col("tipo") == "transicao", F.struct("id", "para", "dossie_id", "hash_dossie"))
+    d = scanned(log, [key], [seq], segment, previous={"__before": F.struct("tipo", "id")}, known={"__last": step})
+    own = dossiers.select(F.col("id").alias("__dossier"), F.col("event_id").alias("__of"), F.col("hash").alias("__hash"))
+    d = d.join(own, F.when(is_version, F.col("dossie_id")) == F.col("__dossier"), "left")
+    released = F.coalesce((F.col("__last.para") == "PRE_RELEASE_LIBERADO") & (F.col("__last.id") == F.col("liberacao_id")), F.lit(False))
+    bad = violations([
+        (~released, "geracao_sem_liberacao_valida"), (released & ~F.coalesce((F.col("__of") == F.col(key)) & (F.col("__last.dossie_id") == F.col("dossie_id")), F.lit(False)), "versao_exige_o_dossie_liberado"),
+        (released & ~F.coalesce(F.col("__hash") == F.col("__last.hash_dossie"), F.lit(False)), "liberacao_hash_dossie_diverge"),
+    ])
+    follows = generates & F.coalesce((F.col("__before.tipo") == "versao") & (F.col("__before.id") == F.col("versao_id")), F.lit(False))
+    d = d.select(*log.columns, F.when(is_version, bad).alias("__bad"), generates.alias("__generates"), follows.alias("__follows"))
+    made = d.filter("__follows").select(F.col(key).alias("__k"), F.col("versao_id").alias("__v"), F.lit(True).alias("__made"))
+    d = d.join(made, (F.col(key) == F.col("__k")) & (F.when(is_version, F.col("id")) == F.col("__v")), "left").drop("__k", "__v")
+    alone = violations([(F.col("__made").isNull(), "versao_sem_transicao")])
+    d = d.withColumn("__bad", F.when(is_version, F.concat("__bad", alone)))
+    refused = d.filter(is_version & (F.size("__bad") > 0)).select(F.col(key).alias("__k"), F.col("id").alias("__v"), F.lit(True).alias("__refused"))
+    d = d.join(refused, (F.col(key) == F.col("__k")) & (F.when(F.col("__follows"), F.col("versao_id")) == F.col("__v")), "left")
+    steps = violations([(F.col("__generates") & ~F.col("__follows"), "transicao_sem_versao"), (F.col("__follows") & F.col("__refused").isNotNull(), "versao_recusada")])
+    d = d.withColumn("violations", F.when(is_version, F.col("__bad")).otherwise(steps)).withColumn("admitted", F.size("violations") == 0)
+    counted = F.when(is_version & F.col("admitted"), 1).otherwise(0)
+    d = scanned(d.select(*log.columns, "violations", "admitted"), [key], [seq], segment, sums={"__earlier": counted})
+    number = F.when(is_version & F.col("admitted"), F.coalesce("__earlier", F.lit(0)) + 1)
+    status = F.when(is_version & F.col("admitted"), F.when(F.coalesce("bloqueantes", F.lit(0)) > 0, "reprovada").otherwise("aprovada"))
+    return d.select(key, seq, "id", "tipo", number.cast("long").alias("versao"), status.alias("status_validacao"), "violations", "admitted")
+
+
 def lost_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows of an append-only table that a later snapshot no longer has: empty if the guarantee holds."""
     return before.exceptAll(after.select(*before.columns))
@@ -155,11 +196,30 @@ def admitted_dossiers(dossiers: DataFrame, events: DataFrame, evidence: DataFram
 
 
 def frozen_ranking(chosen: DataFrame, lot: str, place: str, event: str, cap: int) -> DataFrame:
-    """Per lot the ranked events, their number, a content hash and whether the cap is kept (V7)."""
+    """Per lot the ranked events, their number, a content hash and whether the cap is kept (V7). For lots of a bounded size:
+    the items are in the row. ``frozen_lots`` takes any."""
     g = chosen.groupBy(lot).agg(F.array_sort(F.collect_list(F.struct(place, event))).alias("itens"), F.count("*").alias("n"))
     return g.withColumn("hash", F.sha2(F.to_json("itens"), 256)).withColumn("dentro_do_teto", F.col("n") <= cap)
 
 
+def ordered_chunks(ranked: DataFrame, group: str, place: str, columns: Sequence[str], size: int = 1000) -> DataFrame:
+    """group, parte (from 0), itens: each group's rows in their order as arrays of at most ``size`` (A23, V7), by the places 1, 2, 3, ...
+    that they already have. However many rows a group has, a row of the result holds one part of it."""
+    part = F.floor((F.col(place) - 1) / size).cast("long")
+    return ranked.groupBy(group, part.alias("parte")).agg(F.array_sort(F.collect_list(F.struct(place, *columns))).alias("itens"))
+
+
+def frozen_lots(ranked: DataFrame, lot: str, place: str, event: str, cap: int, size: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """(chunks, lots) of a frozen ranking of any size (V7): chunks as ``ordered_chunks`` with the hash of each; lots with n,
+    partes, hash and dentro_do_teto. A lot's hash is that of its chunks' hashes in order, so that a change of any item or
+    place changes it, and no task holds more of a lot than a chunk and a digest of each of the others."""
+    chunks = ordered_chunks(ranked, lot, place, [event], size).withColumn("hash", F.sha2(F.to_json("itens"), 256))
+    each = F.array_sort(F.collect_list(F.struct("parte", "hash")))
+    lots = chunks.groupBy(lot).agg(F.sum(F.size("itens")).cast("long").alias("n"), F.count("*").alias("partes"), each.alias("__h"))
+    hashed = F.sha2(F.array_join(F.transform("__h", lambda x: x["hash"]), "\n"), 256)
+    return chunks, lots.select(lot, "n", "partes", hashed.alias("hash"), (F.col("n") <= cap).alias("dentro_do_teto"))
+
+
 def monitoring_violations(checks: DataFrame) -> DataFrame:
     """Monitoring rows with violations of their shape (C5): unchanged has no delta or date, changed has all."""
     changed = F.col("resultado") == "mudanca_material"

@@ -24,6 +24,20 @@ def _text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+#: Blanks of every kind: Java's own class has those of ASCII only.
+BLANK = r"[\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
+
+
+def trim_all(c: Column) -> Column:
+    """A text without blanks of any kind at its ends, no-break spaces too."""
+    return F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")
+
+
+def plain_blanks(c: Column) -> Column:
+    """A text of the same length whose blanks are spaces, all but line ends and tabs."""
+    return F.regexp_replace(c, r"[\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]", " ")
+
+
 def strip_accents(c: Column) -> Column:
     """Lower case without the accents of ``ACCENTED``; null gives ''."""
     return F.translate(F.lower(_text(c)), ACCENTED, PLAIN)

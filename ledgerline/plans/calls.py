@@ -134,67 +134,3 @@ def response_errors(response: Column, dossier: Column, citations: int | Column,
         (F.exists(cited, lambda i: ~i.between(1, n)), "citacao_fora_do_dossie"), (F.size(ungrounded_numbers(bare, dossier)) > 0, "numero_sem_fonte"),
         *[(F.contains(fold(whole), F.lit(w)), f"termo_vedado:{w}") for w in BARRED_WORDS],
     ])
-
-
-#: The sections of an analysis with their keys, the least length of each text, and the most items of each list.
-SECTIONS = {"fato_confirmado": ("texto", "citacoes"), "contexto_documental": ("texto", "citacoes"), "avaliacao_editorial": ("texto",), "hipotese_apuracao": ("texto",), "proposta_abordagem": ("texto", "rascunho_pre_release")}
-LEAST_TEXT = {"fato_confirmado": 20, "contexto_documental": 1, "avaliacao_editorial": 10, "hipotese_apuracao": 10, "proposta_abordagem": 10}
-LISTS = {"lacunas": 8, "perguntas_redacao": 6}
-MAX_TEXT, MAX_ITEM, MAX_DRAFT = 3000, 500, 6000
-#: A number worth checking, and wording that gives a score or priority, or releases.
-CHECKED_NUMBER = r"(\d[\d.,/-]*\d|\d{3,})"
-SCORES = r"(?iu)\b(score|pontua[cç][aã]o|nota)\s*(final|de relev[aâ]ncia)?\s*[:=]?\s*\d"
-RANKS = r"\bprioridade\s*[:=]?\s*\"?[ABCD]\b"
-RELEASES = r"(?iu)(pronto|liberad[oa])\s+para\s+(a\s+)?publica[cç][aã]o|publicar\s+imediatamente|pode\s+ser\s+publicad"
-
-
-def dossier_digits(dossier: Column) -> Column:
-    """Digits of a dossier's numbers; its dates also in the other of the two orders, year first and day first."""
-    text = F.coalesce(dossier, F.lit(""))
-    digits = F.transform(F.regexp_extract_all(text, F.lit(CHECKED_NUMBER), 1), lambda n: F.regexp_replace(n, r"\D", ""))
-    day_first = F.transform(F.regexp_extract_all(text, F.lit(r"(\d{4}-\d{2}-\d{2})"), 1), lambda d: F.concat(F.substring(d, 9, 2), F.substring(d, 6, 2), F.substring(d, 1, 4)))
-    year_first = F.transform(F.regexp_extract_all(text, F.lit(r"(\d{2}/\d{2}/\d{4})"), 1), lambda d: F.concat(F.substring(d, 7, 4), F.substring(d, 4, 2), F.substring(d, 1, 2)))
-    return F.array_distinct(F.concat(digits, day_first, year_first))
-
-
-def audited_analyses(df: DataFrame, response: str, dossier: str, evidence: str) -> DataFrame:
-    """df with erros and avisos of stored analyses (R32), JSON text with the sections above.
-
-    Errors: unreadable text, other keys, texts and lists that are missing, short or long, citations outside
-    1..n or none for the fact, numbers of factual parts that the dossier has in neither date form, wording
-    that scores, ranks or releases. Numbers of the other parts are only noted. Steps are columns, so that
-    each text is read once.
-    """
-    cell = lambda path, kind="string": F.try_variant_get("__v", f"$.{path}", kind)
-    kind_of = lambda path: F.schema_of_variant(cell(path, "variant"))
-    keys_are = lambda json, keys: F.coalesce(F.array_sort(F.json_object_keys(json)) == F.array(*[F.lit(k) for k in sorted(keys)]), F.lit(False))
-    d = df.withColumn("__v", F.try_parse_json(response)).withColumn("__have", dossier_digits(F.col(dossier)))
-    roots = [*SECTIONS, *LISTS]
-    d = d.withColumn("__object", F.coalesce(F.startswith(F.schema_of_variant("__v"), F.lit("OBJECT")), F.lit(False)))
-    d = d.withColumn("__shape", first_match([(F.col("__v").isNull(), "json_invalido"), (~F.col("__object"), "json_nao_e_objeto"), (~keys_are(F.col(response), roots), "secoes_diferentes_do_schema")]))
-    for k, keys in SECTIONS.items():
-        ok = keys_are(F.get_json_object(response, f"$.{k}"), keys)
-        d = d.withColumn(f"__ok_{k}", ok).withColumn(f"__text_{k}", F.when(F.col(f"__ok_{k}") & (kind_of(f"{k}.texto") == "STRING"), F.trim(cell(f"{k}.texto"))))
-    d = d.withColumn("__draft", F.when(F.col("__ok_proposta_abordagem"), cell("proposta_abordagem.rascunho_pre_release")))
-    errors, notices = [], []
-    for k in SECTIONS:
-        text = F.col(f"__text_{k}")
-        errors += [(~F.col(f"__ok_{k}"), f"{k}_estrutura_invalida"), (F.col(f"__ok_{k}") & text.isNull(), f"{k}_nao_e_texto"), (F.length(text) < LEAST_TEXT[k], f"{k}_vazio"), (F.length(text) > MAX_TEXT, f"{k}_longo_demais")]
-    for k, most in LISTS.items():
-        items = F.from_json(F.get_json_object(response, f"$.{k}"), "array<string>")
-        errors += [(~F.startswith(F.coalesce(kind_of(k), F.lit("")), F.lit("ARRAY")), f"{k}_nao_e_lista"), (F.size(items) == 0, f"{k}_sem_itens"), (F.size(items) > most, f"{k}_itens_demais"), (F.exists(items, lambda x: F.trim(F.coalesce(x, F.lit(""))) == ""), f"{k}_item_invalido"), (F.exists(items, lambda x: F.length(x) > MAX_ITEM), f"{k}_item_longo_demais")]
-    for k in ("fato_confirmado", "contexto_documental"):
-        cited = F.from_json(F.get_json_object(response, f"$.{k}.citacoes"), "array<string>")
-        valid = F.filter(F.transform(cited, lambda x: x.try_cast("int")), lambda n: n.between(1, F.col(evidence)))
-        errors += [(F.col(f"__ok_{k}") & cited.isNull(), f"{k}_citacoes_nao_e_lista"), (F.size(valid) < F.size(cited), f"{k}_citacao_inexistente")]
-        (errors if k == "fato_confirmado" else notices).append((F.col(f"__ok_{k}") & (F.coalesce(F.size(valid), F.lit(0)) <= 0), f"{k}_sem_citacao"))
-    errors.append((F.length("__draft") > MAX_DRAFT, "rascunho_pre_release_longo_demais"))
-    numbers = lambda text: F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CHECKED_NUMBER), 1), lambda n: F.regexp_replace(n, r"\D", ""))
-    strange = lambda text: F.exists(numbers(text), lambda n: ~F.exists("__have", lambda h: F.contains(h, n)))
-    errors += [(strange(F.col(c)), f"numero_nao_encontrado_no_dossie:{n}") for c, n in (("__text_fato_confirmado", "fato_confirmado"), ("__text_contexto_documental", "contexto_documental"), ("__draft", "rascunho_pre_release"))]
-    notices += [(strange(F.col(f"__text_{n}")), f"numero_fora_do_dossie:{n}") for n in ("avaliacao_editorial", "hipotese_apuracao", "proposta_abordagem")]
-    whole = F.concat_ws("\n", *[f"__text_{k}" for k in SECTIONS], "__draft", *[F.array_join(F.from_json(F.get_json_object(response, f"$.{k}"), "array<string>"), "\n") for k in LISTS])
-    errors += [(whole.rlike(SCORES) | whole.rlike(RANKS), "atribui_score_ou_prioridade"), (whole.rlike(RELEASES), "libera_publicacao")]
-    bad = F.col("__shape").isNotNull()
-    d = d.withColumn("erros", F.when(bad, F.array("__shape")).otherwise(listed(errors))).withColumn("avisos", F.when(bad, F.array().cast("array<string>")).otherwise(listed(notices)))
-    return d.select(*df.columns, "erros", "avisos")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import normalised
 from ledgerline.operators import joins
 from ledgerline.operators.shared import written
-from ledgerline.plans import calls, cases, checklist, criticality, notices, recalculation, scores
+from ledgerline.plans import analysis, calls, cases, checklist, criticality, notices, recalculation, scores
 from ledgerline.plans import vocabulary as V
 from ledgerline.queries.decisions import _ACTS_SQL, REF, _acts
 from ledgerline.queries.registry import Tables, query
@@ -83,20 +83,35 @@ def diagnostic_ids(t: Tables) -> DataFrame:
     return joins.diagnosed(asked, stored, rows, known, "o_orderkey", "processo", "vigente", "seq")
 
 
-@query("""
-SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS protocolo, o_orderpriority AS modalidade, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'BR-040, km 12,5 sentido ' || o_orderstatus END AS local, 'Clerk ' || o_custkey AS descricao,
-  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'diesel' END AS produto, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'BR-040' END AS rodovia, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '12.5' END AS km,
-  CASE WHEN o_orderkey % 2 = 0 THEN '1202' END AS onu, CASE WHEN o_orderkey % 2 = 0 THEN '3' END AS classe FROM orders""")
-def notice_fields(t: Tables) -> DataFrame:
-    """Labelled notices in the layouts in which they come: fields, road, numbers."""
+def _notice_text() -> Column:
+    """Labelled notices in the layouts in which they come."""
     k = F.col("o_orderkey")
     even, none = k % 2 == 0, F.when(k % 4 == 0, "n/a").otherwise("diesel")
-    text = F.concat(
+    return F.concat(
         F.lit("Nº Protocolo: "), k.cast("string"), F.lit("\nMODALIDADE DO ACIDENTE: "), F.col("o_orderpriority"), F.lit("\nLOCAL; "), F.when(k % 3 == 0, "Não informado").otherwise(F.concat(F.lit("BR-040,  km 12,5\nsentido "), F.col("o_orderstatus"))),
         F.lit("\nMUNICÍPIO: X\nDATA/HORA DA OCORRÊNCIA: 01/02/2001 - 10:00\nDATA/HORA DO COMUNICADO AO NEA: 01/02/2001 - 12:00\nFONTE(S) DE INFORMAÇÕES: rádio\nBREVE DESCRIÇÃO DA OCORRÊNCIA: Clerk "), F.col("o_custkey").cast("string"),
         F.lit("\nPRODUTO: "), none, F.lit("\nNÚMERO ONU: "), F.when(even, "ONU 1202").otherwise("--"), F.lit("\nCLASSE DE RISCO: "), F.when(even, "3 - inflamável").otherwise("nd"), F.lit("\nNúcleo de Prevenção e Emergência Ambiental\nRua A"),
     )
-    return notices.notice_details(t.orders.select("o_orderkey", text.alias("text")), "o_orderkey", "text").select("o_orderkey", "protocolo", "modalidade", "local", "descricao", "produto", "rodovia", "km", "onu", "classe")
+
+
+_NOTICE_COLUMNS = ("o_orderkey", "protocolo", "modalidade", "local", "descricao", "produto", "rodovia", "km", "onu", "classe")
+_NOTICE_SQL = """
+SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS protocolo, o_orderpriority AS modalidade, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'BR-040, km 12,5 sentido ' || o_orderstatus END AS local, 'Clerk ' || o_custkey AS descricao,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'diesel' END AS produto, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'BR-040' END AS rodovia, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '12.5' END AS km,
+  CASE WHEN o_orderkey % 2 = 0 THEN '1202' END AS onu, CASE WHEN o_orderkey % 2 = 0 THEN '3' END AS classe FROM orders"""
+
+
+@query(_NOTICE_SQL)
+def notice_fields(t: Tables) -> DataFrame:
+    """Labelled notices in the layouts in which they come: fields, road, numbers."""
+    return notices.notice_details(t.orders.select("o_orderkey", _notice_text().alias("text")), "o_orderkey", "text").select(*_NOTICE_COLUMNS)
+
+
+@query(_NOTICE_SQL)
+def notice_blanks(t: Tables) -> DataFrame:
+    """The same notices with the no-break and thin spaces of printed documents."""
+    blank = F.when(F.col("o_orderkey") % 2 == 0, "\u00a0").otherwise("\u202f")
+    return notices.notice_details(t.orders.select("o_orderkey", F.replace(_notice_text(), F.lit(" "), blank).alias("text")), "o_orderkey", "text").select(*_NOTICE_COLUMNS)
 
 
 @query("""
@@ -198,9 +213,9 @@ def module_checklists(t: Tables) -> DataFrame:
 
 @query("""
 WITH c AS (SELECT o_orderkey AS k, o_orderkey % 13 AS z FROM orders)
-SELECT k AS o_orderkey, CASE z WHEN 0 THEN 'json_invalido' WHEN 1 THEN 'secoes_diferentes_do_schema' WHEN 2 THEN 'fato_confirmado_vazio' WHEN 3 THEN 'fato_confirmado_citacao_inexistente,fato_confirmado_sem_citacao' WHEN 4 THEN 'numero_nao_encontrado_no_dossie:fato_confirmado'
-    WHEN 6 THEN 'perguntas_redacao_itens_demais' WHEN 7 THEN 'atribui_score_ou_prioridade' WHEN 8 THEN 'libera_publicacao' WHEN 9 THEN 'hipotese_apuracao_estrutura_invalida' WHEN 10 THEN 'lacunas_sem_itens' WHEN 11 THEN 'numero_nao_encontrado_no_dossie:rascunho_pre_release' ELSE '' END AS erros,
-  CASE WHEN z IN (0, 1) THEN '' WHEN z = 12 THEN 'contexto_documental_sem_citacao,numero_fora_do_dossie:avaliacao_editorial' ELSE 'contexto_documental_sem_citacao' END AS avisos FROM c""")
+SELECT k AS o_orderkey, CASE z WHEN 0 THEN 'json_invalido' WHEN 1 THEN 'secoes_diferentes_do_schema(faltam:-;sobram:outra)' WHEN 2 THEN 'fato_confirmado_vazio' WHEN 3 THEN 'fato_confirmado_citacao_inexistente(9),fato_confirmado_sem_citacao' WHEN 4 THEN 'numero_nao_encontrado_no_dossie(fato_confirmado:98765)'
+    WHEN 6 THEN 'perguntas_redacao_itens_demais' WHEN 7 THEN 'atribui_score_ou_prioridade' WHEN 8 THEN 'libera_publicacao' WHEN 9 THEN 'hipotese_apuracao_estrutura_invalida,hipotese_apuracao_nao_e_texto' WHEN 10 THEN 'lacunas_sem_itens' WHEN 11 THEN 'numero_nao_encontrado_no_dossie(rascunho_pre_release:11.222.333)' ELSE '' END AS erros,
+  CASE WHEN z IN (0, 1) THEN '' WHEN z = 12 THEN 'contexto_documental_sem_citacao,numero_fora_do_dossie(avaliacao_editorial:4567)' ELSE 'contexto_documental_sem_citacao' END AS avisos FROM c""")
 def analysis_audit(t: Tables) -> DataFrame:
     """Stored analyses held against their dossiers (R32): both date forms of the day of the order are good, other numbers are not."""
     z, day = F.col("o_orderkey") % 13, F.to_date("o_orderdate")
@@ -212,8 +227,32 @@ def analysis_audit(t: Tables) -> DataFrame:
         F.struct(fact.alias("texto"), cites.alias("citacoes")).alias("fato_confirmado"), F.struct(F.lit("contexto").alias("texto"), F.array().cast("array<int>").alias("citacoes")).alias("contexto_documental"),
         F.struct(at(12, F.lit("Prazo de 4567 dias úteis"), F.lit("relevante ao setor")).alias("texto")).alias("avaliacao_editorial"), F.struct(F.lit("verificar a origem").alias("texto"), at(9, F.lit("x"), F.lit(None).cast("string")).alias("extra")).alias("hipotese_apuracao"),
         at(10, F.array().cast("array<string>"), F.array(F.lit("data"))).alias("lacunas"), at(6, F.array_repeat(F.lit("por quê?"), 7), F.array(F.lit("quem?"))).alias("perguntas_redacao"),
-        F.struct(F.lit("ouvir os dois lados").alias("texto"), F.coalesce(draft, F.lit("")).alias("rascunho_pre_release")).alias("proposta_abordagem"), at(1, F.lit(1), F.lit(None).cast("int")).alias("outra"),
+        F.struct(F.lit("ouvir os dois lados").alias("texto"), F.coalesce(draft, F.lit("x")).alias("rascunho_pre_release")).alias("proposta_abordagem"), at(1, F.lit(1), F.lit(None).cast("int")).alias("outra"),
     )
     d = t.orders.select("o_orderkey", F.when(z == 0, "{").otherwise(F.to_json(shape)).alias("resposta"), F.concat(F.lit("Publicado em "), F.date_format(day, "yyyy-MM-dd")).alias("dossie"), F.lit(2).alias("n"))
-    found = calls.audited_analyses(d, "resposta", "dossie", "n")
+    found = analysis.audited_analyses(d, "resposta", "dossie", "n")
     return found.select("o_orderkey", F.array_join(F.array_sort("erros"), ",").alias("erros"), F.array_join("avisos", ",").alias("avisos"))
+
+
+_GOOD = ('{"fato_confirmado":{"texto":"O ato foi publicado no diário","citacoes":[1]},"contexto_documental":{"texto":"c","citacoes":[2]},"avaliacao_editorial":{"texto":"relevante ao setor"},"hipotese_apuracao":{"texto":"verificar a origem"},'
+         '"lacunas":["data"],"perguntas_redacao":["quem?"],"proposta_abordagem":{"texto":"ouvir os dois lados","rascunho_pre_release":null}}')
+#: What is put in place of a part of a good analysis, and the errors it should give.
+_SPOILT = (
+    ('"rascunho_pre_release":null', '"rascunho_pre_release":""', "rascunho_pre_release_vazio"), ('"rascunho_pre_release":null', '"rascunho_pre_release":5', "rascunho_pre_release_nao_e_texto"), ('["data"]', '["data",5]', "lacunas[1]_invalido"),
+    ('"citacoes":[1]', '"citacoes":["1"]', "fato_confirmado_citacao_inexistente(1),fato_confirmado_sem_citacao"), ('["quem?"]', '["  "," x "]', "perguntas_redacao[0]_invalido"), ('"citacoes":[1]', '"citacoes":[1.5,1.0,true]', "fato_confirmado_citacao_inexistente(1.5),fato_confirmado_citacao_inexistente(true)"),
+    ('"citacoes":[1]', '"citacoes":{}', "fato_confirmado_citacoes_nao_e_lista"), ('"ouvir os dois lados"', '7', "proposta_abordagem_nao_e_texto"), ('"data"', '"prioridade A"', "atribui_score_ou_prioridade"), ('"data"', '"LIBERADA para a publicacao"', "libera_publicacao"),
+    ('["data"]', '"data"', "lacunas_nao_e_lista"), ('"c"', '"\u00a0 "', "contexto_documental_vazio"), ('{"fato', '[{"fato', "json_invalido"), ("x", "x", ""),
+)
+
+
+@query(f"""
+SELECT o_orderkey, CASE o_orderkey % {len(_SPOILT)} {" ".join(f"WHEN {i} THEN '{e}'" for i, (_, _, e) in enumerate(_SPOILT))} END AS erros, '' AS avisos FROM orders""")
+def analysis_types(t: Tables) -> DataFrame:
+    """Analyses whose parts are of a wrong type or empty."""
+    z = F.col("o_orderkey") % len(_SPOILT)
+    answer = F.lit(None).cast("string")
+    for i, (old, new, _) in enumerate(_SPOILT):
+        answer = F.when(z == i, F.replace(F.lit(_GOOD), F.lit(old), F.lit(new))).otherwise(answer)
+    d = t.orders.select("o_orderkey", answer.alias("resposta"), F.lit("sem números").alias("dossie"), F.lit(2).alias("n"))
+    found = analysis.audited_analyses(d, "resposta", "dossie", "n")
+    return found.select("o_orderkey", F.array_join("erros", ",").alias("erros"), F.array_join("avisos", ",").alias("avisos"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -54,12 +55,23 @@ def removed(spark: SparkSession, path: str) -> None:
 _kept: dict[object, object] = {}
 
 
+#: glibc's way to give freed memory back to the system; other systems do without.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def let_go() -> None:
+    """Forgets what this worker keeps, and gives its memory back."""
+    _kept.clear()
+    gc.collect()
+    if _trim:
+        _trim(0)
+
+
 def kept_by_worker(name: object, make: Callable[[], object]) -> object:
     """What ``make`` gives, made once in a Python worker. It keeps one thing at a time, so that the models of
     operators that follow one another in it do not add up."""
     if name not in _kept:
-        _kept.clear()
-        gc.collect()
+        let_go()
         _kept[name] = make()
     return _kept[name]
 
@@ -77,8 +89,7 @@ def in_arrow(rows: DataFrame, run: Callable[[Iterator], Iterator], schema: str,
 
     def tidy(batches: Iterator) -> Iterator:
         if _kept and not keeps:
-            _kept.clear()
-            gc.collect()
+            let_go()
         yield from run(batches)
         pa.default_memory_pool().release_unused()
 

@@ -21,8 +21,8 @@ from ledgerline.llm.common import columns_numbered, settled, text_or_empty
 MARGINS = ("source", "lang", "topic")
 #: Cells up to which raking runs on the driver and the result is broadcast; beyond, both stay in Spark.
 MAX_CELLS = 100_000
-#: Sweeps at most, on the driver and in Spark; raking that has not come to rest by then warns. Change of a probability at which it rests.
-SWEEPS, SPARK_SWEEPS, TOLERANCE = 500, 60, 1e-6
+#: Sweeps at most, the same on the driver and in Spark, so that the number of cells changes no result; raking that has not come to rest by then warns. Change of a probability at which it rests.
+SWEEPS, TOLERANCE = 500, 1e-6
 #: Share of all tokens to keep, and the power that flattens the corpus shares into targets.
 BUDGET, FLATTEN = 0.7, 0.7
 
@@ -69,7 +69,7 @@ def rake(tokens: np.ndarray, groups: list[np.ndarray], targets: list[np.ndarray]
 def rake_in_spark(cells: DataFrame, targets: dict[str, DataFrame], start: float, total: float) -> DataFrame:
     """``rake`` for any number of cells: each sweep is a table of the shared folder."""
     state = cells.withColumn("p", F.lit(start))
-    for sweep in range(SPARK_SWEEPS):
+    for sweep in range(SWEEPS):
         new = state.withColumnRenamed("p", "was").withColumn("p", F.col("was"))
         for margin, share in targets.items():
             now = new.groupBy(margin).agg(F.sum(F.col("p") * F.col("tokens")).alias("now")).join(share, margin)
@@ -79,7 +79,7 @@ def rake_in_spark(cells: DataFrame, targets: dict[str, DataFrame], start: float,
         state = new.drop("was")
         if new.filter(F.abs(F.col("p") - F.col("was")) >= TOLERANCE).isEmpty():
             return state
-    warnings.warn(f"raking has not come to rest in {SPARK_SWEEPS} sweeps", stacklevel=2)
+    warnings.warn(f"raking has not come to rest in {SWEEPS} sweeps", stacklevel=2)
     return state
 
 

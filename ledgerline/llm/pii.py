@@ -46,7 +46,9 @@ ROWS_OUT = 1024
 TRAIN_ROWS = 4000
 #: Chain neighbours farther apart than this many characters have no edge.
 NEAR = 80
-SWEEPS, TOLERANCE, ACCEPT = 30, 1e-4, 0.6
+SWEEPS, TOLERANCE, ACCEPT = 200, 1e-4, 0.6
+#: What the log potential of a label loses where the token fails that label's own check: more than one skip edge gives.
+CHECK = 6.0
 #: Weight of a skip edge where the sample shows none.
 SKIP = 4.0
 
@@ -93,11 +95,22 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def shape(token: str) -> tuple[int, int, int, int]:
-    """What the unary potentials see: digits (bucketed), separators, letters, @ (also spelt out)."""
+def failed_check(token: str) -> int:
+    """The label whose form a token has and whose check it fails: 14 to 19 digits against Luhn, four dotted numbers with one over 255; 0 for none."""
+    body = token.strip(".:!?#*$%&|)(' ")
+    digits = _NOT_DIGIT.sub("", body)
+    if _IP.fullmatch(body):
+        return 0 if all(int(p) <= 255 for p in body.split(".")) else LABELS.index("ip")
+    if _CARD.fullmatch(body) and 14 <= len(digits) <= 19 and not luhn(digits):
+        return LABELS.index("card")
+    return 0
+
+
+def shape(token: str) -> tuple[int, int, int, int, int]:
+    """What the unary potentials see: digits (bucketed), separators, letters, @ (also spelt out), the check that fails."""
     digits = sum(c.isdigit() and c.isascii() for c in token)
     bucket = 0 if digits == 0 else 1 if digits < 7 else 2 if digits < 10 else 3 if digits < 14 else 4 if digits < 20 else 5
-    return bucket, min(3, sum(c in ".-() " for c in token)), int(any(c.isalpha() for c in token)), int("@" in token or _SPELT.search(token) is not None)
+    return bucket, min(3, sum(c in ".-() " for c in token)), int(any(c.isalpha() for c in token)), int("@" in token or _SPELT.search(token) is not None), failed_check(token)
 
 
 def identity(token: str) -> tuple[str, str]:
@@ -114,11 +127,20 @@ def identity(token: str) -> tuple[str, str]:
 class Field:
     """Log potentials: unary by shape, chain transitions, and the weight of a skip edge."""
 
-    unary: dict[tuple[int, int, int, int], np.ndarray]
+    unary: dict[tuple[int, int, int, int, int], np.ndarray]
     unseen: np.ndarray
     chain: np.ndarray
     skip: float = SKIP
 
+    def of(self, token: str) -> np.ndarray:
+        seen = shape(token)
+        potential = self.unary.get(seen, self.unseen)
+        if not seen[-1]:
+            return potential
+        less = potential.copy()
+        less[seen[-1]] -= CHECK
+        return less
+
 
 def tokens_of(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _TOKEN.finditer(text)]
@@ -170,11 +192,12 @@ def skip_edges(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]
     return sorted(edges)
 
 
-def marginals(unary: np.ndarray, left: np.ndarray, right: np.ndarray, kind: np.ndarray, pots: np.ndarray, part: np.ndarray) -> np.ndarray:
+def marginals(unary: np.ndarray, left: np.ndarray, right: np.ndarray, kind: np.ndarray, pots: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Loopy sum-product with damping over many documents at once; unary potentials and ``pots`` are logarithms.
 
     Edge e joins tokens left[e] and right[e] by the table pots[kind[e]], and belongs to document part[e] (sorted).
-    Each document stops when its own messages rest, so results do not depend on what else is in the batch.
+    Each document stops when its own messages rest, so results do not depend on what else is in the batch. Also given are the
+    documents whose messages have not come to rest in ``SWEEPS`` sweeps.
     """
     k = unary.shape[1]
     tables = np.exp(pots)
@@ -202,11 +225,11 @@ def marginals(unary: np.ndarray, left: np.ndarray, right: np.ndarray, kind: np.n
     np.add.at(belief, right, forth)
     np.add.at(belief, left, back)
     p = np.exp(belief - belief.max(axis=1, keepdims=True))
-    return p / p.sum(axis=1, keepdims=True)
+    return p / p.sum(axis=1, keepdims=True), np.unique(part[open_])
 
 
-def consistent_spans(texts: list[str | None], bases: list[list[tuple[str, int, int]]], model: Field) -> list[list[tuple[str, int, int]]]:
-    """Of each text its base spans and the spans that the field adds, by start, then kind.
+def consistent_spans(texts: list[str | None], bases: list[list[tuple[str, int, int]]], model: Field) -> tuple[list[list[tuple[str, int, int]]], list[bool]]:
+    """Of each text its base spans and the spans that the field adds, by start, then kind; and whether its messages came to rest.
 
     Every text with an unlabelled candidate token is inferred, with or without base spans or skip edges;
     any unlabelled token may be accepted by its marginal.
@@ -220,22 +243,25 @@ def consistent_spans(texts: list[str | None], bases: list[list[tuple[str, int, i
         if all(labels):
             continue
         at = len(unary)
-        unary += [clamped[y] if y else model.unary.get(shape(text[a:b]), model.unseen) for (a, b), y in zip(spans, labels)]
+        unary += [clamped[y] if y else model.of(text[a:b]) for (a, b), y in zip(spans, labels)]
         edges += [(at + i, at + i + 1, 0, d) for i in range(len(spans) - 1) if spans[i + 1][0] - spans[i][1] <= NEAR]
         edges += [(at + i, at + j, 1, d) for i, j in skip_edges(text, spans)]
         found += [(d, a, b, y) for (a, b), y in zip(spans, labels)]
+    rested = [True] * len(texts)
     if not found:
-        return out
+        return out, rested
     agree = np.where(np.eye(len(LABELS), dtype=bool), model.skip, 0.0)
     e = np.array(edges, np.int64).reshape(-1, 4)
-    p = marginals(np.stack(unary), e[:, 0], e[:, 1], e[:, 2], np.stack([model.chain, agree]), e[:, 3])
+    p, restless = marginals(np.stack(unary), e[:, 0], e[:, 1], e[:, 2], np.stack([model.chain, agree]), e[:, 3])
+    for d in restless.tolist():
+        rested[d] = False
     best = p.argmax(axis=1)
     for i in np.flatnonzero((best > 0) & (p[np.arange(len(p)), best] >= ACCEPT)):
         d, a, b, label = found[i]
         if not label:
             body = texts[d][a:b].rstrip(".:!?#*$%&|)'")
             out[d].append((LABELS[best[i]], a, a + len(body)))
-    return [sorted(set(x), key=lambda s: (s[1], KINDS.index(s[0]), s[2])) if len(x) > len(b) else list(b) for x, b in zip(out, bases)]
+    return [sorted(set(x), key=lambda s: (s[1], KINDS.index(s[0]), s[2])) if len(x) > len(b) else list(b) for x, b in zip(out, bases)], rested
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> Field:
@@ -291,7 +317,7 @@ def written(spans: list[tuple[str, int, int]]) -> str:
 
 
 def find_personal_data(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_email, n_ip, n_card, n_phone (base spans), base, spans.
+    """One row per document: id, n_email, n_ip, n_card, n_phone (base spans), base, spans, rested (false where messages did not come to rest).
 
     base and spans are ``kind:start:end`` in code points, end exclusive, comma-joined by start, then
     kind. Null and empty texts have none. Equal spans of two kinds are listed as both. Texts are read whole,
@@ -306,10 +332,10 @@ def find_personal_data(docs: DataFrame, model: Field, id_col: str = "doc_id", te
                 part = batch.slice(at, ROWS_OUT)
                 texts = part.column(1).to_pylist()
                 base = [base_spans(t) if t else [] for t in texts]
-                every = consistent_spans(texts, base, shared.value)
+                every, rested = consistent_spans(texts, base, shared.value)
                 counts = [pa.array([sum(s[0] == k for s in b) for b in base], pa.int64()) for k in KINDS]
-                yield pa.RecordBatch.from_arrays([part.column(0), *counts, pa.array(map(written, base), pa.string()), pa.array(map(written, every), pa.string())], ["__id", *(f"n_{k}" for k in KINDS), "base", "spans"])
+                yield pa.RecordBatch.from_arrays([part.column(0), *counts, pa.array(map(written, base), pa.string()), pa.array(map(written, every), pa.string()), pa.array(rested)], ["__id", *(f"n_{k}" for k in KINDS), "base", "spans", "rested"])
 
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return in_arrow(rows, run, f"__id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, spans string").withColumnRenamed("__id", id_col)
+    return in_arrow(rows, run, f"__id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, spans string, rested boolean").withColumnRenamed("__id", id_col)

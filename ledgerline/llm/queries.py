@@ -30,7 +30,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = pii.find_personal_data(docs, pii.fit(docs))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "rested")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

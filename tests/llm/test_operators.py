@@ -70,7 +70,6 @@ def test_utf8_stream_holds_cut_characters():
 def test_rake_in_spark_equals_numpy_and_meets_margins(spark, docs, empty, monkeypatch):
     rows = mixing.with_cells(docs)
     monkeypatch.setattr(mixing, "SWEEPS", 3)
-    monkeypatch.setattr(mixing, "SPARK_SWEEPS", 3)
     a = {(r.source, r.lang, r.topic): r.p for r in mixing.keep_probabilities(rows, budget=0.5).collect()}
     b = {(r.source, r.lang, r.topic): r.p for r in mixing.keep_probabilities(rows, budget=0.5, max_cells=0).collect()}
     monkeypatch.undo()
@@ -335,3 +334,47 @@ def test_near_dedup_judges_rows_of_one_id_by_their_own_texts(spark, swapped):
     assert got == [(-1, 116, -1, True), (3, 116, 3, True), (4, 0, 4, True), (5, 8, 5, True), (5, 117, 3, False), (9, 8, 5, False)]
     left = sorted((r.doc_id or -1, r.text or "") for r in minhash.drop_near_duplicates(df).collect())
     assert left == sorted([(3, LONG), (-1, LONG), (4, ""), (5, rows[-3][1])])
+
+
+def exact_marginals(unary, edges, pots):
+    total = np.zeros_like(unary)
+    for labels in np.ndindex(*[unary.shape[1]] * len(unary)):
+        w = np.exp(sum(unary[i, y] for i, y in enumerate(labels)) + sum(pots[k][labels[i], labels[j]] for i, j, k in edges))
+        for i, y in enumerate(labels):
+            total[i, y] += w
+    return total / total.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("edges,near", [([(0, 1, 0), (1, 2, 0), (1, 3, 1), (3, 4, 0)], 1e-3), ([(0, 1, 0), (1, 2, 0), (2, 3, 0), (0, 3, 1)], 0.05), ([], 1e-12)])
+def test_messages_give_exact_marginals_on_trees_and_near_ones_on_loops(edges, near):
+    rng = np.random.default_rng(6)
+    for _ in range(5):
+        unary, pots = rng.normal(size=(5, 3)), np.stack([0.5 * rng.normal(size=(3, 3)), np.eye(3)])
+        e = np.array(edges, np.int64).reshape(-1, 3)
+        p, restless = pii.marginals(unary, e[:, 0], e[:, 1], e[:, 2], pots, np.zeros(len(e), np.int64))
+        assert not len(restless) and np.abs(p - exact_marginals(unary, edges, pots)).max() < near
+
+
+def test_messages_that_do_not_rest_are_reported(monkeypatch):
+    monkeypatch.setattr(pii, "SWEEPS", 1)
+    unary = np.array([[0.0, 3.0], [2.0, 0.0], [0.0, 0.0], [0.0, 0.0]])
+    _, restless = pii.marginals(unary, np.array([0, 2]), np.array([1, 3]), np.array([0, 0]), np.array([[[2.0, 0.0], [0.0, 1.0]]]), np.array([4, 7]))
+    assert restless.tolist() == [4, 7]
+
+
+def test_field_finds_planted_repeats_and_no_number_that_fails_its_check(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for d in range(240):
+        a, b, c = rng.integers(200, 999), rng.integers(200, 999), rng.integers(1000, 9999)
+        filler = " ".join(f"word{rng.integers(0, 50)}" for _ in range(20))
+        bad = f"4{rng.integers(10**14, 10**15 - 1)}"
+        bad = bad if not pii.luhn(bad) else bad[:-1] + str((int(bad[-1]) + 1) % 10)
+        text = f"Call +1 ({a}) {b}-{c}. {filler} again ({a}) {b}-{c} {filler}" if d % 3 == 0 else f"Ref {bad} {filler} see {bad} and {bad} {filler}" if d % 3 == 1 else f"{filler} mail u{d}@x.example.com or card 4539578763621486 {filler}"
+        rows.append((d, text))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in pii.find_personal_data(df, pii.fit(df)).collect()}
+    repeats = [got[d].spans.count("phone:") for d in range(0, 240, 3)]
+    assert sum(n == 2 for n in repeats) >= 0.95 * len(repeats)
+    assert all(got[d].spans == "" for d in range(1, 240, 3)) and all(r.rested for r in got.values())
+    assert [pii.failed_check(t) for t in ("4539578763621487", "4539578763621486", "1.2.3.256", "1.2.3.4", "12", "a4539578763621487")] == [3, 0, 2, 0, 0, 0]

@@ -53,9 +53,10 @@ def add_years(day: Column, years: int) -> Column:
 
 
 def months_until(reference: Column, deadline: Column) -> Column:
-    """Months from the reference to a deadline, begun months counting whole, never below 0."""
+    """Months from the reference to a deadline, begun months counting whole, never below 0; null without a deadline."""
     whole = (F.year(deadline) - F.year(reference)) * 12 + F.month(deadline) - F.month(reference)
-    return F.greatest(whole + F.when(F.dayofmonth(deadline) > F.dayofmonth(reference), 1).otherwise(0), F.lit(0))
+    months = whole + F.when(F.dayofmonth(deadline) > F.dayofmonth(reference), 1).otherwise(0)
+    return F.when(months.isNotNull(), F.greatest(months, F.lit(0)))
 
 
 def window_floor(reference: Column, days: int) -> Column:

@@ -117,7 +117,3 @@ def consumption(calls: DataFrame, tenant: str, at: str, cost: str, now: Column)
 def retries(jobs: DataFrame, keys: Sequence[str], at: str, status: str) -> DataFrame:
     """Attempts per key and the last status."""
     return jobs.groupBy(*keys).agg(F.count("*").alias("attempts"), F.max_by(status, F.struct(at, status)).alias("last_status"))
-
-
-def with_sums(df: DataFrame, key: str, sums: Mapping[str, Column]) -> DataFrame:
-    return df.groupBy(key).agg(*[F.sum(v).alias(k) for k, v in sums.items()])

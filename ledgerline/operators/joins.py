@@ -56,15 +56,16 @@ def inventory_diff(today: DataFrame, before: DataFrame, key: str, hash_col: str)
 def antecedents(df: DataFrame, holder: str, item: str, day: str | None = None) -> DataFrame:
     """Per item the other items of the same holder, as a count and the smallest and largest.
 
-    Holders are aggregated once; the item's own rows are taken off, so that a holder of very many items
-    costs its rows and not their square.
+    Holders are aggregated, and their least and greatest items taken aside for a second aggregation, which finds those next
+    to them: a holder of very many items costs its rows, in as many tasks as they lie in, and not their square.
     """
-    each = df.filter(F.col(holder).isNotNull()).select(holder, item).distinct()
-    w = Window.partitionBy(holder)
-    up, down = w.orderBy(item), w.orderBy(F.col(item).desc())
-    lo, hi = F.first(item).over(w.orderBy(item).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.last(item).over(w.orderBy(item).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    out = each.select(holder, item, (F.count("*").over(w) - 1).alias("others"), F.when(F.col(item) != lo, lo).otherwise(F.lead(item).over(up)).alias("first_other"), F.when(F.col(item) != hi, hi).otherwise(F.lead(item).over(down)).alias("last_other"))
-    return out.filter("others > 0")
+    each = df.filter(F.col(holder).isNotNull() & F.col(item).isNotNull()).select(holder, item).distinct()
+    ends = each.groupBy(F.col(holder).alias("__h")).agg(F.min(item).alias("__lo"), F.max(item).alias("__hi"), F.count("*").alias("__n")).filter("__n > 1")
+    j = each.join(ends, F.col(holder) == F.col("__h"))
+    inner = j.groupBy(F.col("__h").alias("__g")).agg(F.min(F.when(F.col(item) != F.col("__lo"), F.col(item))).alias("__lo2"), F.max(F.when(F.col(item) != F.col("__hi"), F.col(item))).alias("__hi2"))
+    j = j.join(inner, F.col("__h") == F.col("__g"))
+    other = lambda end, next_: F.when(F.col(item) != F.col(end), F.col(end)).otherwise(F.col(next_))
+    return j.select(holder, item, (F.col("__n") - 1).alias("others"), other("__lo", "__lo2").alias("first_other"), other("__hi", "__hi2").alias("last_other"))
 
 
 def antecedent_edges(df: DataFrame, item: str, criteria: Sequence[str]) -> DataFrame:

@@ -114,8 +114,9 @@ def all_versions(log: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 def current_parameters(versions: DataFrame, created: str, tie: str) -> DataFrame:
-    """All parameter versions with is_current for exactly one, the newest (V5). Parameter tables are a few rows."""
-    return versions.withColumn("is_current", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.col(created).desc_nulls_last(), F.col(tie).desc())) == 1)
+    """All parameter versions with is_current for exactly one, the newest, then the greatest ``tie``, which tells them apart (V5)."""
+    newest = versions.agg(F.max(F.struct(created, tie)).alias("__newest"))  # one row
+    return versions.crossJoin(F.broadcast(newest)).withColumn("is_current", F.struct(created, tie) == F.col("__newest")).drop("__newest")
 
 
 def relabelled(df: DataFrame, column: str, when: Column, to: str) -> DataFrame:

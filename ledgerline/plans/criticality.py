@@ -223,7 +223,3 @@ def best_of_case(df: DataFrame, case: str, tie: Sequence[str]) -> DataFrame:
     rank = [rank_of(F.col("nivel"), V.LEVELS), F.col("pontuacao"), -F.coalesce(F.col("idade_dias"), F.lit(10**9))]
     key = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], *[F.col(t).alias(f"t{i}") for i, t in enumerate(tie)])
     return df.groupBy(case).agg(F.max_by(F.struct(*[c for c in df.columns if c != case]), key).alias("__b")).select(case, "__b.*")
-
-
-def any_of(columns: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, columns, F.lit(False))

@@ -77,9 +77,3 @@ def inactivity(start: Column, last_act: Column, reference: Column, years: int, i
     deadline, idle = add_years(start, years), age_days(F.coalesce(last_act, start), reference)
     status = first_match([(start.isNull(), "SEM_DATA"), (reference > deadline, "PRAZO_VENCIDO"), (idle > 365 * idle_years, "INATIVO"), (months_until(reference, deadline) <= 6, "PRAZO_PROXIMO")], "EM_CURSO")
     return F.struct(deadline.alias("prazo"), months_until(reference, deadline).alias("meses"), idle.alias("dias_inativo"), status.alias("status"))
-
-
-def triage_record(gates: DataFrame, key: str, result: Column, exposure: Column, excerpt: Column) -> DataFrame:
-    """Triage records over the gates (R12): the result, an exposure priority and the literal excerpt."""
-    order = first_match([(result == "CLASSIFICAR_AGORA", F.when(exposure >= 2, "ALTA").otherwise("MEDIA")), (result.isin("PENDENTE_DE_EVIDENCIA", "MONITORAMENTO_ESTRATEGICO"), "BAIXA")], "NENHUMA")
-    return gates.select(key, result.alias("resultado"), order.alias("prioridade_exposicao"), F.substring(excerpt, 1, 300).alias("trecho"))

@@ -30,6 +30,15 @@ def score_decision(relevance: Column, computed: Column, stage: Column, level: Co
     return F.struct(value.alias("valor"), decides.alias("decisorio"), why.alias("motivo"), place.alias("situacao"), F.when(decides & (value < cut), F.lit("SCORE_MENOR_40")).alias("regra"))
 
 
+def decision_view(events: DataFrame, scores: DataFrame, cut: float = V.QUEUE["score_corte"]) -> DataFrame:
+    """Each event with the decision on its current score (J15, R22, W2), as one join: events(id, status_editorial), scores(event_id,
+    vigente, created_at, id, estagio, score_bruto, score_relevancia, criticidade). Events without a score are pending."""
+    now = current_score(scores).select("event_id", "estagio", F.col("score_bruto").cast("double").alias("__computed"), F.col("score_relevancia").cast("double").alias("__relevance"), "criticidade")
+    j = events.join(now, F.col("id") == F.col("event_id"), "left").drop("event_id")
+    d = score_decision(F.col("__relevance"), F.col("__computed"), F.col("estagio"), F.col("criticidade"), F.col("status_editorial"), cut)
+    return j.withColumn("decisao", d).drop("__computed", "__relevance")
+
+
 def fixed_cut_decision(score: Column, cut: float = 40) -> Column:
     """The earlier form with a fixed cut and no stages."""
     return first_match([(score.isNull(), "PENDENTE_DE_SCORE"), (score >= cut, "NA_SELECAO")], "FORA_DA_SELECAO")

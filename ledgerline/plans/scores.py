@@ -196,8 +196,3 @@ def process_queue_reason(missing: Column, criteria_missing: Column, band: Column
 def lot_order(criteria_ok: str, components_ok: str, band: str, score: str, key: str) -> list[Column]:
     """Order of cases in a portfolio's lots."""
     return [F.col(criteria_ok).desc(), F.col(components_ok).desc(), F.col(band).isin("A", "B").desc(), F.col(score).desc_nulls_last(), F.col(key)]
-
-
-def matches_all(values: Mapping[str, Column], wanted: Mapping[str, str]) -> Column:
-    """Criteria of a portfolio given as literals."""
-    return reduce(lambda a, b: a & b, [F.coalesce(fold(values[k]) == fold(F.lit(v)), F.lit(False)) for k, v in wanted.items()], F.lit(True))

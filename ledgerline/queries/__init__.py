@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.queries import aggregates, case_tables, cases, decisions, dossiers, flow, notice_cases, scope, spans, streams, tables, texts, windows
+from ledgerline.queries import aggregates, case_tables, cases, decisions, dossiers, flow, notice_cases, records, scope, spans, streams, tables, texts, windows
 from ledgerline.queries.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "aggregates", "case_tables", "cases", "decisions", "dossiers", "flow", "notice_cases", "scope", "spans", "streams", "tables", "texts", "windows"]
+__all__ = ["ORACLES", "QUERIES", "aggregates", "case_tables", "cases", "decisions", "dossiers", "flow", "notice_cases", "records", "scope", "spans", "streams", "tables", "texts", "windows"]

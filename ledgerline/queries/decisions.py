@@ -277,13 +277,13 @@ def first_dismissal(t: Tables) -> DataFrame:
 
 @query("""
 WITH h AS (SELECT event_id, sha256(concat_ws('|', event_type, CAST(user_id % 20 AS VARCHAR), '')) AS h, event_type <> 'error' AND event_id % 2 = 0 AS ok FROM events),
-g AS (SELECT h, max(event_id) AS reutilizado FROM h WHERE ok GROUP BY h) SELECT event_id, g.reutilizado FROM h LEFT JOIN g ON h.h = g.h WHERE event_id % 3 = 0""")
+g AS (SELECT h, max(event_id) AS reutilizado FROM h WHERE ok GROUP BY h) SELECT event_id, g.reutilizado FROM h LEFT JOIN g ON h.h = g.h""")
 def call_hash_reuse(t: Tables) -> DataFrame:
     """Reuse of the latest success of the same call hash (K6, K7)."""
     h = keys.call_hash(F.col("event_type"), F.col("user_id") % 20, F.lit(None))
     d = t.events.select("event_id", h.alias("hash_chamada"), "event_type")
     done = d.select(F.col("event_id").alias("id"), "hash_chamada", F.when((F.col("event_type") != "error") & (F.col("event_id") % 2 == 0), "sucesso").otherwise("falha").alias("status"), F.col("event_id").alias("created_at"))
-    return calls.reused(d.filter("event_id % 3 = 0"), done).select("event_id", "reutilizado")
+    return calls.reused(d, done).select("event_id", "reutilizado")
 
 
 @query("""
@@ -336,12 +336,12 @@ def transition_violations(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH c AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders QUALIFY n <= 8)
+WITH c AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders)
 SELECT o_custkey, count(*) AS n, sha256('[' || string_agg('{"n":' || n || ',"o_orderkey":' || o_orderkey || '}', ',' ORDER BY n) || ']') AS hash, count(*) <= 5 AS dentro_do_teto FROM c GROUP BY o_custkey""")
 def ranking_freeze(t: Tables) -> DataFrame:
     """A frozen ranking per lot with its hash (V7)."""
     w = Window.partitionBy("o_custkey").orderBy(F.col("o_totalprice").desc(), "o_orderkey")
-    c = t.orders.withColumn("n", F.row_number().over(w)).filter("n <= 8")
+    c = t.orders.withColumn("n", F.row_number().over(w))
     return workflow.frozen_ranking(c, "o_custkey", "n", "o_orderkey", 5).drop("itens")
 
 

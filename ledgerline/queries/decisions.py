@@ -408,6 +408,6 @@ def permit_routing(t: Tables) -> DataFrame:
 @query("""
 WITH v AS (SELECT l_partkey AS k, max(l_shipdate) AS d FROM lineitem GROUP BY 1) SELECT p_partkey, CASE WHEN d IS NULL THEN 'so_novo' ELSE 'ambos' END AS presence FROM part LEFT JOIN v ON p_partkey = k""")
 def diagnostic_join(t: Tables) -> DataFrame:
-    """Stored ids against their current rows."""
+    """Stored ids against known ones (J14); ``diagnostic_ids`` goes on to their current rows."""
     stored = t.lineitem.select(F.col("l_partkey").alias("p_partkey"))
     return joins.matched_cases(stored, t.part.select("p_partkey"), ["p_partkey"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import dates, json, keys, numbers, text
 from ledgerline.operators.rules import first_match
 from ledgerline.plans import calls, gates
+from ledgerline.plans import vocabulary as V
 from ledgerline.plans.notices import segmented_lines
 from ledgerline.queries.registry import Tables, query
 from ledgerline.sources import pages, sinks
@@ -75,7 +76,7 @@ def gates_by_sentence(t: Tables) -> DataFrame:
 WITH l AS (SELECT doc_id, regexp_replace(lower(text), '[^\x00-\x7F]', '', 'g') AS f FROM documents)
 SELECT doc_id, CASE WHEN regexp_matches(f, '\bthis work is\b') THEN 'obra' WHEN regexp_matches(f, '\breleased\b.{0,20}license') THEN 'liberado' WHEN regexp_matches(f, '\blicensed\b') THEN 'licenciado' ELSE 'indeterminado' END AS kind FROM l""")
 def first_verb(t: Tables) -> DataFrame:
-    """The first pattern of an ordered table."""
+    """The first pattern of an ordered table; ``permit_verbs`` has the vocabulary of permits."""
     f = F.regexp_replace(F.lower("text"), r"[^\x00-\x7F]", "")
     rules = [(r"\bthis work is\b", "obra"), (r"\breleased\b.{0,20}license", "liberado"), (r"\blicensed\b", "licenciado")]
     return t.documents.select("doc_id", first_match([(f.rlike(p), k) for p, k in rules], "indeterminado").alias("kind"))
@@ -163,7 +164,14 @@ def link_inventory(t: Tables) -> DataFrame:
     return inv.join(more, "page_id", "left").select("page_id", "position", "link", "extension", "is_document", "allowed", F.coalesce("next_pages", F.lit(0)).alias("next_pages"))
 
 
-@query()
+@query(rf"""
+WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{_LINK}', 1)) AS h, unnest(regexp_extract_all(html, '{_LINK}', 2)) AS t, generate_subscripts(regexp_extract_all(html, '{_LINK}', 1), 1) - 1 AS position FROM pages),
+c AS (SELECT *, trim(regexp_replace(replace(h, '&amp;', '&'), '#.*$', '')) AS x, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) AS root, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+/(?:[^?#/]*/)*)', 1) AS folder, trim(regexp_replace(regexp_replace(t, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM a),
+d AS (SELECT *, CASE WHEN x = '' OR regexp_matches(lower(x), '^(mailto|javascript|tel|data):') THEN NULL WHEN regexp_matches(x, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN x WHEN x LIKE '//%' THEN regexp_extract(url, '^([a-zA-Z]+:)', 1) || x WHEN x LIKE '/%' THEN root || x ELSE CASE WHEN folder = '' THEN root || '/' ELSE folder END || x END AS link FROM c),
+i AS (SELECT *, regexp_extract(link, '/([A-Za-zÀ-ÿ]{{3,}})[^/]*$', 1) AS item FROM d WHERE link IS NOT NULL),
+o AS (SELECT * FROM i WHERE item <> '' QUALIFY row_number() OVER (PARTITION BY item ORDER BY page_id, position) = 1)
+SELECT item, link, title, coalesce(TRY_CAST(try_strptime(nullif(translate(regexp_extract(title, '([0-9]{{2}})[/.-]([0-9]{{2}})[/.-]([0-9]{{4}})', 0), '.-', '//'), ''), '%d/%m/%Y') AS DATE), TRY_CAST(nullif(regexp_extract(title, '([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1), '') AS DATE)) AS day,
+  sha256(trim(item || '|' || title || '|' || link)) AS hash, nullif(regexp_extract(title, '^\s*(.+?)\s*[/-]\s*([A-Z]{{2}})\b', 1), '') AS place, nullif(regexp_extract(title, '^\s*(.+?)\s*[/-]\s*([A-Z]{{2}})\b', 2), '') AS state FROM o""")
 def page_list_items(t: Tables) -> DataFrame:
     """Items of list pages by id, the first of each, with title parts and announced totals."""
     items = pages.list_items(pages.page_links(t.pages), r"/([A-Za-zÀ-ÿ]{3,})[^/]*$")
@@ -209,7 +217,16 @@ def number_grounding(t: Tables) -> DataFrame:
     return q.select("conv_id", "turn", F.size(calls.ungrounded_numbers(F.col("text"), F.col("src"))).alias("ungrounded"))
 
 
-@query()
+_NUMBERS = r"list_distinct(list_transform(regexp_extract_all({}, '\d+(?:[.,]\d+)*'), lambda x: replace(regexp_replace(x, '\.(\d{{3}})($|\D)', '\1\2', 'g'), ',', '.')))"
+
+
+@query(rf"""
+WITH q AS (SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS src, role FROM conversations),
+w AS (SELECT *, turn % 2 = 1 AS fatos, text || CASE WHEN turn % 2 = 1 THEN chr(10) || role ELSE '' END AS inteiro FROM q WHERE role = 'assistant'),
+n AS (SELECT *, {_NUMBERS.format(r"regexp_replace(inteiro, '\[\d+\]', ' ', 'g')")} AS a, {_NUMBERS.format("coalesce(src, '')")} AS b, {_FOLD.replace("text", "inteiro")} AS f FROM w)
+SELECT conv_id, turn, array_to_string(list_filter([CASE WHEN NOT fatos THEN 'falta:fatos' END, CASE WHEN length(text) NOT BETWEEN 20 AND 4000 THEN 'tamanho:resumo' END, CASE WHEN fatos THEN 'tamanho:fatos' END,
+  CASE WHEN len(list_filter(regexp_extract_all(inteiro, '\[(\d+)\]', 1), lambda x: coalesce(TRY_CAST(x AS INTEGER) NOT BETWEEN 1 AND 3, false))) > 0 THEN 'citacao_fora_do_dossie' END, CASE WHEN len(list_filter(a, lambda x: NOT list_contains(b, x))) > 0 THEN 'numero_sem_fonte' END,
+  {", ".join(f"CASE WHEN contains(f, '{w}') THEN 'termo_vedado:{w}' END" for w in calls.BARRED_WORDS)}], lambda x: x IS NOT NULL), ',') AS errors FROM n""")
 def response_audit(t: Tables) -> DataFrame:
     """Errors of stored responses: each assistant turn, whole, against the turn before it."""
     q = t.conversations.withColumn("src", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))).filter("role = 'assistant'")
@@ -278,9 +295,22 @@ def suffix_status(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", text.suffix_status(n, ["building"], ["machinery"], ["furniture"]).alias("status"))
 
 
-@query()
+_SAYS = lambda marks: "(" + " OR ".join(f"contains(g, '{text.folded(m)}')" for m in marks) + ")"
+_STATUS = "CASE WHEN count(*) = 0 THEN 'AUSENCIA_DE_INFORMACAO' " + " ".join(f"WHEN bool_or({_SAYS(ms)}) THEN '{label}'" for label, ms in V.TEXT_STATUS) + " ELSE 'SINAL_SEM_STATUS_CONCLUSIVO' END"
+
+
+@query(rf"""
+WITH s AS (SELECT doc_id, unnest(list_filter(list_transform(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])\s+|\n+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')) AS text FROM documents),
+p AS (SELECT doc_id, ' ' || regexp_replace({_FOLD}, '[^a-zA-Z0-9_]+', ' ', 'g') || ' ' AS f, {_FOLD} AS g FROM s), v(gate, term) AS (VALUES {", ".join(f"('{g}', '{w}')" for g, ws in _GATES.items() for w in ws)}),
+h AS (SELECT doc_id, array_to_string(list_sort(list_distinct(list(gate))), ',') AS portas, bool_or({_SAYS(V.ALLEGED_MARKS)} OR {_SAYS(V.RISK_MARKS)}) AS incerta FROM p JOIN v ON contains(f, ' ' || term || ' ') WHERE NOT {_SAYS(V.NEGATIVE_MARKS)} GROUP BY doc_id),
+q AS (SELECT doc_id, {_STATUS} AS semantica FROM p GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(portas, '') AS portas, coalesce(incerta, false) AS incerta, coalesce(semantica, 'AUSENCIA_DE_INFORMACAO') AS semantica, trim(coalesce(text, '')) = '' AS vazio,
+  CASE WHEN regexp_matches({_FOLD}, '(^|[^a-z0-9_])(and|und|license)($|[^a-z0-9_])') THEN 'DIRETO' ELSE 'NAO_COMPROVADO' END AS vinculo FROM documents LEFT JOIN h USING (doc_id) LEFT JOIN q USING (doc_id)),
+r AS (SELECT *, CASE WHEN vazio THEN 'NAO_AVALIAVEL' WHEN vinculo = 'NAO_COMPROVADO' THEN 'FORA_DO_ESCOPO' WHEN portas <> '' THEN 'CLASSIFICAR_AGORA' ELSE 'PENDENTE_DE_EVIDENCIA' END AS resultado FROM d)
+SELECT doc_id, vinculo, portas, resultado, CASE WHEN vazio THEN 'documento_ou_conteudo_ausente' WHEN vinculo = 'NAO_COMPROVADO' THEN 'vinculo_minerario_nao_comprovado' WHEN portas <> '' THEN 'porta_editorial_ativada' ELSE 'nenhuma_porta_identificada' END AS motivo, semantica,
+  resultado IN ('NAO_AVALIAVEL', 'PENDENTE_DE_EVIDENCIA') OR incerta AS requer_revisao, resultado = 'CLASSIFICAR_AGORA' AS selecionavel FROM r""")
 def discovery(t: Tables) -> DataFrame:
-    """Discovery of documents: sector link, gates, result, review."""
+    """Discovery of documents: sector link, gates, result, review."""
     d = t.documents.select("doc_id", "text")
     found = gates.discovered(d, "doc_id", "text", gates=_GATES, sector=("and", "und", "license"))
     return found.withColumn("portas", F.array_join("portas", ","))

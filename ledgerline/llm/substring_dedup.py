@@ -13,7 +13,8 @@ Words covered by a window of 35 words that starts anywhere else too are removed.
 4. *Stream.* All stretches of documents that may hold a passage of the shard run through its
    automaton; where a phrase is hit, the windows around it are compared byte by byte with the
    passage. A busy shard's stretches are dealt to several tasks by salt, each with its own automaton.
-   A document without a recurring seed holds no phrase of any automaton and is not sent to one.
+   Documents without a recurring seed are not streamed. They may hold the eight words of a seed phrase, but only where they
+   are no window's least phrase; equal windows have equal seeds, so no window of theirs can equal a passage.
 
 Rows are told apart by a hash of id and text, so ids may repeat or be null; what the hash alone would
 confuse is told apart by content. Tasks hold one automaton and one batch; nothing is gathered per

@@ -378,3 +378,39 @@ def test_field_finds_planted_repeats_and_no_number_that_fails_its_check(spark):
     assert sum(n == 2 for n in repeats) >= 0.95 * len(repeats)
     assert all(got[d].spans == "" for d in range(1, 240, 3)) and all(r.rested for r in got.values())
     assert [pii.failed_check(t) for t in ("4539578763621487", "4539578763621486", "1.2.3.256", "1.2.3.4", "12", "a4539578763621487")] == [3, 0, 2, 0, 0, 0]
+
+
+def kneser_ney_by_hand(grams, order, alphabet):
+    """P(last | others) by dictionaries: interpolated, counts of preceding letters below the highest order, one discount an order."""
+    tables = []
+    counts = dict(grams)
+    for k in range(order, 0, -1):
+        once, twice = sum(n == 1 for n in counts.values()), sum(n == 2 for n in counts.values())
+        d = min(0.95, max(0.1, once / (once + 2 * twice))) if once + twice else 0.5
+        tables.insert(0, (counts, d))
+        lower = {}
+        for g in counts:
+            lower[g[1:]] = lower.get(g[1:], 0) + 1
+        counts = lower
+
+    def p(g):
+        if not g:
+            return 1 / (alphabet + 1)
+        own, d = tables[len(g) - 1]
+        after = {x: n for x, n in own.items() if x[:-1] == g[:-1]}
+        if not after:
+            return p(g[1:])
+        total = sum(after.values())
+        return max(after.get(g, 0) - d, 0) / total + d * len(after) / total * p(g[1:])
+
+    return p
+
+
+@pytest.mark.parametrize("text,order", [("abracadabra abrakadabra", 4), ("aaaa bbbb abab baba aabb", 3), ("xyz", 2), ("the then there these their thee", 4)])
+def test_language_model_is_kneser_ney(text, order):
+    padded = [" " * (order - 1) + w + " " for w in text.split()]
+    grams = Counter(p[i : i + order] for p in padded for i in range(len(p) - order + 1))
+    model = language_id.CharModel.fit(list(grams), list(grams.values()), order, 26)
+    p = kneser_ney_by_hand(grams, order, 26)
+    asked = sorted({*grams, *(g[:-1] + c for g in grams for c in "abzq "), *("q" * k + "a" * (order - k) for k in range(order + 1))})
+    assert np.allclose(np.exp2(-model.bits(language_id.code_points(asked, order))), [p(g) for g in asked])

@@ -185,3 +185,27 @@ def dossier_texts(t: Tables) -> DataFrame:
     d = t.orders.join(rows.select(F.col("l_orderkey").alias("o_orderkey"), numbered.alias("e")), "o_orderkey")
     head = [("Pedido", F.col("o_orderkey")), ("Prioridade", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).otherwise(" "))]
     return d.select("o_orderkey", calls.dossier_text(head, F.col("e")).alias("dossie"))
+
+
+def _one_file(df: DataFrame, folder: str, name: str) -> None:
+    """A table as one delimited file of a given name, as dumps have it."""
+    spark = df.sparkSession
+    made = f"{folder}-{name}"
+    df.coalesce(1).write.csv(made, sep=";", header=True)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    part = next(s.getPath() for s in files.listStatus(path(made)) if s.getPath().getName().startswith("part-"))
+    files.rename(part, path(f"{folder}/{name}"))
+
+
+@query("""
+SELECT * FROM (VALUES ('nation.txt', 3, 3, 'ok'), ('region.txt', 3, 2, 'erro_colunas'), ('customer.txt', 5, 5, 'aviso_nomes'), ('supplier.txt', NULL, 4, 'ausente')) v(arquivo, colunas, esperadas, situacao) WHERE (SELECT count(*) FROM nation) > 0""")
+def header_checks(t: Tables) -> DataFrame:
+    """Headers of dumped tables held against their contract."""
+    folder = shared_path(t.spark, "dump")
+    _one_file(t.nation, folder, "nation.txt")
+    _one_file(t.region.withColumn("extra", F.lit(1)), folder, "region.txt")
+    _one_file(t.customer.withColumnRenamed("c_name", "nome"), folder, "customer.txt")
+    wanted = {"nation": t.nation.columns, "region": t.region.columns, "customer": [c.upper() for c in t.customer.columns], "supplier": t.supplier.columns}
+    return scan.header_contract(t.spark, folder, {k: [c.lower() for c in v] for k, v in wanted.items()})

@@ -142,7 +142,7 @@ def excerpts(c: Column, terms: Sequence[str], field: str, reach: int = 60, negat
 def sentences(c: Column) -> Column:
     """Sentences of a text: cut after . ! ? and at line ends, trimmed, without empty ones."""
     parts = F.split(_text(c), r"(?<=[.!?])\s+|\n+")
-    return F.filter(F.transform(parts, F.trim), lambda s: s != "")
+    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != "")
 
 
 def sentence_nature(sentence: Column, negative: Sequence[str], alleged: Sequence[str], risk: Sequence[str], exempt_from_negation: Column | None = None, is_folded: bool = False) -> Column:

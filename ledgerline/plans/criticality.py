@@ -6,7 +6,6 @@ Each rule is a column staged under a name of its own, so that expressions stay s
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

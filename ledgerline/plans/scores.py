@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numbers import normalised_score
-from ledgerline.functions.text import fold, has_substring, has_unnegated, normalise, normalised, strip_accents, suffix_status
+from ledgerline.functions.text import has_substring, has_unnegated, normalise, normalised, strip_accents, suffix_status
 from ledgerline.operators.rules import active, active_weights, banded, capped_score, first_match, listed, weighted
 from ledgerline.plans import vocabulary as V
 

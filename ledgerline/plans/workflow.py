@@ -119,18 +119,6 @@ def publication_pending(versions: DataFrame, dossiers: DataFrame, checks: DataFr
     return j.select("id", blocks.alias("blocks"))
 
 
-def admitted_versions(versions: DataFrame, log: DataFrame, dossiers: DataFrame) -> DataFrame:
-    """versions with violations (G7): the release must be the event's last transition, the dossier's hash must match."""
-    last = log.groupBy("event_id").agg(F.max_by(F.struct(F.col("id").alias("t"), "para"), "seq").alias("__l"))
-    d = dossiers.select(F.col("id").alias("dossie_id"), F.col("hash").alias("__hash"), F.col("event_id").alias("__event"))
-    j = versions.join(last, "event_id", "left").join(d, "dossie_id", "left")
-    bad = violations([
-        (~F.coalesce((F.col("__l.para") == "PRE_RELEASE_LIBERADO") & (F.col("__l.t") == F.col("liberacao_id")), F.lit(False)), "liberacao_nao_e_a_ultima"), (~F.col("__event").eqNullSafe(F.col("event_id")), "dossie_de_outro_evento"),
-        (~F.col("hash_dossie").eqNullSafe(F.col("__hash")), "hash_do_dossie_diverge"), (~F.coalesce(F.col("status_validacao").isin("aprovada", "reprovada"), F.lit(False)), "status_de_validacao"),
-    ])
-    return j.withColumn("violations", bad).drop("__l", "__hash", "__event")
-
-
 def paired_log(log: DataFrame, dossiers: DataFrame, segment: Column, key: str = "event_id", seq: str = "seq") -> DataFrame:
     """One append-only log of transitions and draft versions, admitted in pairs (G7 with G2): key, seq, id, tipo, versao,
     violations, admitted.

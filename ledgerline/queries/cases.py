@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.text import normalised
 from ledgerline.operators import joins
 from ledgerline.operators.shared import written
-from ledgerline.plans import analysis, calls, cases, checklist, criticality, notices, recalculation, scores
+from ledgerline.plans import analysis, cases, checklist, criticality, notices, recalculation, scores
 from ledgerline.plans import vocabulary as V
 from ledgerline.queries.decisions import _ACTS_SQL, REF, _acts
 from ledgerline.queries.registry import Tables, query

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, text
 from ledgerline.operators import counters
 from ledgerline.operators.shared import shared_path
-from ledgerline.plans import calls, queue, triage
+from ledgerline.plans import calls, checklist, notices, queue, triage
 from ledgerline.queries.registry import Tables, query
 from ledgerline.sources import pages, scan, sinks
 
@@ -209,3 +209,63 @@ def header_checks(t: Tables) -> DataFrame:
     _one_file(t.customer.withColumnRenamed("c_name", "nome"), folder, "customer.txt")
     wanted = {"nation": t.nation.columns, "region": t.region.columns, "customer": [c.upper() for c in t.customer.columns], "supplier": t.supplier.columns}
     return scan.header_contract(t.spark, folder, {k: [c.lower() for c in v] for k, v in wanted.items()})
+
+
+@query("""
+WITH d AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_suppkey AS s, l_shipdate AS d, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS b FROM lineitem)
+SELECT k AS l_orderkey, b AS block, p::VARCHAR AS numero, CAST(d AS DATE) AS data, CASE WHEN p % 3 <> 0 THEN 'Titular ' || s END AS requerente, 'Município ' || n AS "município" FROM d""")
+def headed_bulletins(t: Tables) -> DataFrame:
+    """Acts of bulletins with a header line and labelled lines."""
+    line = F.concat(
+        F.lit("Portaria nº "), F.col("l_partkey").cast("string"), F.lit(" de "), F.date_format("l_shipdate", "dd/MM/yyyy"), F.lit(" – Outorga\n"), F.when(F.col("l_partkey") % 3 != 0, F.concat(F.lit("Requerente: Titular "), F.col("l_suppkey").cast("string"), F.lit("\n"))).otherwise("Requerente:\n"),
+        F.lit("Município: Município "), F.col("l_linenumber").cast("string"),
+    )
+    return notices.headed_acts(_bulletins(t, line, "Diário Oficial\n"), "l_orderkey", "texto", ["Requerente", "Município"])
+
+
+@query("""
+WITH d AS (SELECT l_orderkey AS k, l_partkey AS p, l_shipdate AS d, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS b FROM lineitem)
+SELECT k AS l_orderkey, b AS block, CAST(d AS DATE) AS data, CAST(n AS INTEGER) AS n, 'Ato ' || n || ' da parte ' || p AS ato FROM d, range(2) r(n) WHERE n = 0 OR p % 2 = 0""")
+def paragraph_bulletins(t: Tables) -> DataFrame:
+    """Acts of bulletins with a title, a subtitle and a paragraph for each act."""
+    part = F.col("l_partkey")
+    act = lambda n: F.concat(F.lit(f"\nAto {n} da parte "), part.cast("string"))
+    line = F.concat(F.lit("PUBLICAÇÃO DE ATOS - "), F.date_format("l_shipdate", "dd/MM/yyyy"), F.lit("\nSubtítulo"), act(0), F.when(part % 2 == 0, act(1)).otherwise(""))
+    return notices.paragraph_acts(_bulletins(t, line, ""), "l_orderkey", "texto")
+
+
+def _bulletins(t: Tables, line: Column, head: str) -> DataFrame:
+    """A text per order: a block for each of its lines, in their order."""
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    rows = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*order, line.alias("x")))).alias("l"))
+    return rows.select("l_orderkey", F.concat(F.lit(head), F.array_join(F.transform("l", lambda x: x["x"]), "\n")).alias("texto"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, unnest(list_filter(list_transform(regexp_split_to_array(regexp_replace(coalesce(text, ''), 'The ', chr(1) || 'The ', 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')) AS ato FROM documents)
+SELECT doc_id, count(*) AS atos, md5(string_agg(ato, '|' ORDER BY ato)) AS h FROM d GROUP BY 1""")
+def marked_splits(t: Tables) -> DataFrame:
+    """Texts cut before every marker (X26, generic)."""
+    rows = t.documents.select("doc_id", notices.marked_acts(F.col("text"), "The ").alias("a")).filter(F.size("a") > 0)
+    return rows.select("doc_id", F.size("a").cast("long").alias("atos"), F.md5(F.array_join(F.array_sort("a"), "|")).alias("h"))
+
+
+@query("""
+WITH d AS (SELECT c_custkey, c_custkey % 13 + 1 AS pergunta, ['confirmado', 'nao_localizado', 'talvez', 'precisa_revisao'][c_custkey % 4 + 1] AS resposta, CASE WHEN c_nationkey % 2 = 0 THEN 'nota' ELSE ' ' END AS observacao FROM customer)
+SELECT c_custkey, resposta FROM d WHERE resposta = 'talvez' OR (resposta = 'nao_localizado' AND observacao = ' ')""")
+def checklist_violations(t: Tables) -> DataFrame:
+    """Checklist rows that break the rule of persistence."""
+    c = F.col("c_custkey")
+    answer = F.element_at(F.array(*[F.lit(x) for x in ("confirmado", "nao_localizado", "talvez", "precisa_revisao")]), (c % 4 + 1).cast("int"))
+    d = t.customer.select("c_custkey", answer.alias("resposta"), F.when(F.col("c_nationkey") % 2 == 0, "nota").otherwise(" ").alias("observacao"))
+    return checklist.violations_of(d).select("c_custkey", "resposta")
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'republicacao_literal' WHEN o_orderkey % 7 = 0 THEN 'fora_de_escopo' WHEN o_orderkey % 5 = 0 THEN 'descartado_por_regra_deterministica' WHEN o_orderstatus = 'F' THEN 'continuidade_sem_mudanca_material' WHEN o_orderkey % 3 = 0 THEN 'enriquecimento_ja_concluido' END AS dispensa,
+  CASE WHEN o_orderkey % 9 = 0 THEN 'PENDENTE_DE_SCORE' WHEN o_totalprice >= 100000 THEN 'NA_SELECAO' ELSE 'FORA_DA_SELECAO' END AS situacao FROM orders""")
+def act_dismissals(t: Tables) -> DataFrame:
+    """Dismissals of cases of acts (F20, F19), and the earlier score decision with its fixed cut."""
+    k = F.col("o_orderkey")
+    flags = calls.act_flags(k % 7 == 0, k % 5 == 0, k % 11 == 0, F.col("o_orderstatus") == "F", k % 3 == 0)
+    return t.orders.select("o_orderkey", calls.first_dismissal(flags).alias("dispensa"), queue.fixed_cut_decision(F.when(k % 9 != 0, F.col("o_totalprice")), 100000).alias("situacao"))

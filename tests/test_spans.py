@@ -66,3 +66,11 @@ def test_items_of_nested_open_and_quoted_markup(spark):
     assert [(r.id, r.title, str(r.day)) for r in found] == [("12", "Comunicado - Caeté/MG - 04/10/2026", "2026-10-04")]
     p = spark.createDataFrame([("x/a%20+123_2026.png",), ("none",), (None,)], "i string").select(dom.protocol_of(F.col("i")).alias("p")).collect()
     assert [(r.p.protocol, r.p.year) for r in p] == [(123, 2026), (None, None), (None, None)]
+
+
+def test_sentences_keep_their_digits_and_lose_blank_ends(spark):
+    from ledgerline.functions.text import sentences
+    from ledgerline.plans.notices import marked_acts
+
+    row = spark.createDataFrame([(" 0 casos 0. 1 caso 1\n  2 casos 2 ", "0a0 @1b1 @ @2c ")], "t string, m string").select(sentences(F.col("t")).alias("s"), marked_acts(F.col("m"), "@").alias("m")).first()
+    assert list(row.s) == ["0 casos 0.", "1 caso 1", "2 casos 2"] and list(row.m) == ["0a0", "@1b1", "@", "@2c"]

@@ -68,14 +68,18 @@ def antecedents(df: DataFrame, holder: str, item: str, day: str | None = None) -
     return j.select(holder, item, (F.col("__n") - 1).alias("others"), other("__lo", "__lo2").alias("first_other"), other("__hi", "__hi2").alias("last_other"))
 
 
-def antecedent_edges(df: DataFrame, item: str, criteria: Sequence[str]) -> DataFrame:
+def antecedent_edges(df: DataFrame, item: str, criteria: Sequence[str], segment: Callable[[Column], Column] | None = None) -> DataFrame:
     """Edges origem -> relacionado with the criterion they share (J11): each item to the one before it of the
-    same value, which links all of a value without pairing them; blank values link nothing."""
+    same value, which links all of a value without pairing them; blank values link nothing. ``segment`` makes of an item the part
+    of the order that it lies in (``segments.scanned``), so that a value of very many items is spread over many tasks."""
     parts = []
     for c in criteria:
         rows = df.filter(F.trim(F.col(c).cast("string")) != "").select(item, F.col(c).cast("string").alias("value")).distinct()
-        before = F.lag(item).over(Window.partitionBy("value").orderBy(item))
-        parts.append(rows.select(F.col(item).alias("origem"), before.alias("relacionado"), F.lit(c).alias("criterio"), "value").filter("relacionado is not null"))
+        if segment is None:
+            rows = rows.withColumn("relacionado", F.lag(item).over(Window.partitionBy("value").orderBy(item)))
+        else:
+            rows = scanned(rows, ["value"], [item], segment(F.col(item)), previous={"relacionado": F.col(item)})
+        parts.append(rows.select(F.col(item).alias("origem"), "relacionado", F.lit(c).alias("criterio"), "value").filter("relacionado is not null"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import fold
 from ledgerline.operators.rules import active, first_match, listed
+from ledgerline.operators.segments import scanned
 from ledgerline.plans import vocabulary as V
 
 
@@ -88,21 +89,25 @@ def limit_violations(cost: Column, day: Column, month: Column, day_limit: Column
     return listed([(cost > call_limit, "limite_por_chamada"), (F.coalesce(day, F.lit(0.0)) + cost > day_limit, "limite_diario"), (F.coalesce(month, F.lit(0.0)) + cost > month_limit, "limite_mensal")])
 
 
-def gated_calls(planned: DataFrame, cap_per_lot: int, lot: str = "lote", seq: str = "seq") -> DataFrame:
+def gated_calls(planned: DataFrame, cap_per_lot: int, lot: str = "lote", seq: str = "seq", segment: Column | None = None) -> DataFrame:
     """planned with situacao: the first gate that stops a call, else ``executar``.
 
     planned: dispensa, ligada, limite_zero, configurada, preco, reutilizado, ja_analisado, violacoes (array).
-    Calls that come so far are numbered per lot, so that the cap holds whatever is stopped before.
+    Calls that come so far are numbered per lot, so that the cap holds whatever is stopped before. ``segment`` spreads hot lots.
     """
     before = first_match([
         (F.col("dispensa").isNotNull(), F.concat(F.lit("dispensada:"), F.col("dispensa"))), (~active(F.col("ligada")), "desligada"), (active(F.col("limite_zero")), "limite_zero"), (~active(F.col("configurada")), "sem_configuracao"),
         (F.col("preco").isNull(), "sem_preco"), (F.col("reutilizado").isNotNull(), "reutilizada"), (active(F.col("ja_analisado")), "ja_analisado"),
     ])
     d = planned.withColumn("__before", before)
-    w = Window.partitionBy(lot).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    nth = F.sum(F.when(F.col("__before").isNull(), 1).otherwise(0)).over(w)
+    counted = F.when(F.col("__before").isNull(), 1).otherwise(0)
+    if segment is None:
+        nth = F.sum(counted).over(Window.partitionBy(lot).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    else:
+        d = scanned(d, [lot], [seq], segment, sums={"__earlier": counted})
+        nth = F.coalesce("__earlier", F.lit(0)) + counted
     state = F.coalesce("__before", first_match([(nth > cap_per_lot, "teto_do_lote"), (F.size("violacoes") > 0, F.concat(F.lit("limite:"), F.array_join("violacoes", ",")))], "executar"))
-    return d.withColumn("situacao", state).drop("__before")
+    return d.withColumn("situacao", state).drop("__before", "__earlier")
 
 
 #: Wording that an analysis must not use.

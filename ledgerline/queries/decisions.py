@@ -297,7 +297,7 @@ def call_gating(t: Tables) -> DataFrame:
         "event_id", F.col("user_id").alias("lote"), k.alias("seq"), F.when(F.col("event_type") == "view", "registro_identico").alias("dispensa"), F.lit(True).alias("ligada"), F.lit(False).alias("limite_zero"), F.lit(True).alias("configurada"), F.when(k % 19 != 0, F.lit(1.0)).alias("preco"),
         F.when(k % 7 == 0, k).alias("reutilizado"), F.lit(False).alias("ja_analisado"), calls.limit_violations(F.col("value"), F.lit(0.0), F.lit(0.0), F.lit(1e9), F.lit(1e9), F.lit(90.0)).alias("violacoes"),
     )
-    return calls.gated_calls(d, 30).select("event_id", "lote", "situacao")
+    return calls.gated_calls(d, 30, segment=segments.blocks(F.col("seq"), 4096)).select("event_id", "lote", "situacao")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_quantity / 1000000.0::DOUBLE * 3.0::DOUBLE + l_linenumber / 1000000.0::DOUBLE * 15.0::DOUBLE AS cost FROM lineitem""")

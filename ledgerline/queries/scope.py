@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import dates, keys
 from ledgerline.operators import audit, joins, scope
 from ledgerline.operators.latest import latest_per_key
+from ledgerline.operators.segments import blocks
 from ledgerline.operators.shared import written
 from ledgerline.queries.registry import Tables, query
 from ledgerline.sources.scan import load_counts, scoped_load
@@ -231,7 +232,7 @@ f AS (SELECT i AS origem, lag(i) OVER (PARTITION BY c, v ORDER BY i) AS relacion
 SELECT * FROM f WHERE relacionado IS NOT NULL""")
 def antecedent_edges(t: Tables) -> DataFrame:
     """Edges among items that share a value."""
-    return joins.antecedent_edges(t.part, "p_partkey", ["p_brand", "p_name"])
+    return joins.antecedent_edges(t.part, "p_partkey", ["p_brand", "p_name"], lambda item: blocks(item, 4096))
 
 
 @query("""

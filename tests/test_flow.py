@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.segments import blocks
-from ledgerline.plans import case_tables, queue, workflow
+from ledgerline.plans import case_tables, cases, queue, workflow
 from ledgerline.sources import publish
 
 LOG = "event_id int, seq int, id int, tipo string, acao string, para string, dossie_id int, hash_dossie string, liberacao_id int, bloqueantes int, versao_id int"
@@ -117,3 +117,26 @@ def test_a_run_that_breaks_a_rule_publishes_no_table(spark, tmp_path):
 def test_no_acts_give_empty_tables(spark):
     tables = case_tables.case_tables(acts(spark).limit(0), "caso_id", F.col("n"), {"score_m9a": 1.0}, F.create_map().cast("map<string,string>"))
     assert all(df.count() == 0 for df in tables.values())
+
+
+def test_cases_are_scored_without_sorting_each_act_for_each_distinct_count(spark, monkeypatch):
+    rows = [("c1", f"p{k % 4}", "OUTRO", None, "VALE S.A.", ("a", "b", None)[k % 3], "2026-05-05", "OURO", "", k) for k in range(24)] + [(None, None, "OUTRO", None, None, None, None, None, None, 1)]
+    d = spark.createDataFrame(rows, acts(spark).schema)
+    plans = []
+    monkeypatch.setattr(cases, "written", lambda df, name: plans.append(df) or df, raising=False)
+    got = cases.assembled(d, "caso_id", F.col("n"), {"score_m9a": 1.0}, F.create_map().cast("map<string,string>"))
+    assert "Expand" not in "".join(df._jdf.queryExecution().optimizedPlan().toString() for df in [*plans, got])
+    assert {(r.caso_id, r.atos, r.processos, r.municipios, r.primeiro.processo) for r in got.collect()} == {("c1", 24, 4, 2, "p0"), (None, 1, 0, 0, None)}
+
+
+def test_case_tables_shuffle_no_answers_and_only_repeated_acts(spark):
+    silent = [("c4", "p1", "", None, "X", "Nova Lima", "2026-05-05", None, "", 1)] * 2 + [(None, None, "", "", None, None, None, None, None, k) for k in (1, 2)]
+    d = acts(spark).unionByName(spark.createDataFrame(silent, acts(spark).schema))
+    tables = case_tables.case_tables(d, "caso_id", F.col("n"), {"score_m9a": 1.0}, F.create_map().cast("map<string,string>"))
+    plan = lambda name: tables[name]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan("checklist").count("Join") == 1 and "LeftAnti" in plan("timeline") and "LeftAnti" in plan("evidence")
+    timeline = {(r.caso_id, r.trecho): r.evidencia_id for r in tables["timeline"].collect()}
+    assert tables["timeline"].count() == 6 and sorted(len(rows) for rows in [tables["cases"].collect(), tables["checklist"].collect()]) == [5, 60]
+    standard = {r.caso_id: r.evidencia_padrao for r in tables["cases"].collect()}
+    assert timeline["c4", ""] == standard["c4"] is not None and timeline[None, ""] is None and standard[None] is None
+    assert {r.resposta for r in tables["checklist"].collect() if r.caso_id is None and r.pergunta == 1} == {"precisa_revisao"}

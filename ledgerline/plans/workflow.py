@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from ledgerline.functions.keys import content_hash
 from ledgerline.operators.latest import continuity, newest_flag
 from ledgerline.operators.rules import active, listed, violations
 from ledgerline.operators.segments import scanned
+from ledgerline.operators.shared import written
 from ledgerline.plans import vocabulary as V
 
 
@@ -53,8 +54,30 @@ MATRIX = "array<struct<codigo:string,estado:string,critico:boolean,classe_impact
 CLAIMS = "array<struct<id:string,texto:string,status:string,evidencias:array<struct<evidencia_id:string>>>>"
 
 
-def _blank(c: str) -> Column:
-    return F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
+def _blank(c: Column) -> Column:
+    return F.trim(F.coalesce(c, F.lit(""))) == ""
+
+
+def _judged(dossiers: DataFrame, evidence: DataFrame, key: str, event: str, column: str, schema: str, name: str, ids: Callable[[Column], Column], rules: Callable[[Column], list[tuple[Column, str]]], invalid: str) -> DataFrame:
+    """key and the violations of the items of a JSON list, in order of items, codes and names.
+
+    A list is read once and judged in its row; only items with evidence are rows of their own, for the anti-join by which
+    evidence has to be the event's, and what that finds comes back as a row a list.
+    """
+    found = F.col("__i")
+    named = lambda p, i, code: F.struct(p.alias("__p"), code.alias("code"), i[name].alias("name"))
+    codes = lambda i, p: F.transform(F.filter(F.array(*[F.when(c, F.lit(code)) for c, code in rules(i)]), lambda c: c.isNotNull()), lambda c: named(p, i, c))
+    owned = lambda i, p: F.struct(p.alias("__p"), i[name].alias("name"), F.array_distinct(ids(i)).alias("ids"))
+    # Made in one step over the items of one array, so that the text is parsed once; null where it is no list.
+    both = F.transform(found, lambda i, p: F.struct(codes(i, p).alias("codes"), owned(i, p).alias("own")))
+    d = dossiers.select(key, event, F.from_json(column, schema).alias("__i")).select(key, event, both.alias("__i"))
+    d = written(d.select(key, event, found.isNull().alias("__none"), F.flatten(found["codes"]).alias("__codes"), F.filter(found["own"], lambda o: F.size(o["ids"]) > 0).alias("__own")), "judged")
+    own = d.select(key, event, F.explode("__own").alias("__o")).select(key, event, "__o.__p", "__o.name", F.explode("__o.ids").alias("__e"))
+    strange = own.join(evidence.select(F.col("id").alias("__e"), F.col("event_id").alias(event)), ["__e", event], "left_anti").select(key, named(F.col("__p"), F.struct(F.col("name").alias(name)), F.lit("evidencia_de_outro_evento")).alias("__s"))
+    strange = strange.groupBy(key).agg(F.collect_set("__s").alias("__s"))
+    every = F.array_sort(F.concat("__codes", F.coalesce("__s", F.array().cast("array<struct<__p:int,code:string,name:string>>"))))
+    text = F.transform(every, lambda x: F.concat(F.coalesce(x["name"], F.lit("?")), F.lit(":"), x["code"]))
+    return d.join(strange, key, "left").select(key, F.when(F.col("__none"), F.array(F.lit(invalid))).otherwise(text).alias("violations"))
 
 
 def matrix_violations(dossiers: DataFrame, evidence: DataFrame, key: str = "id", event: str = "event_id", column: str = "matriz") -> DataFrame:
@@ -62,38 +85,36 @@ def matrix_violations(dossiers: DataFrame, evidence: DataFrame, key: str = "id",
 
     A matrix that is no list gives ``matriz_invalida``. Ownership of evidence is an anti-join.
     """
-    d = dossiers.select(key, event, F.from_json(column, MATRIX).alias("__m"))
-    i = d.select(key, event, F.posexplode("__m").alias("__p", "__i")).select(key, event, "__p", "__i.*")
-    confirmed = (F.col("estado") == "confirmado") & (F.coalesce(F.size("evidencia_ids"), F.lit(0)) <= 0)
-    codes = violations([
-        (_blank("codigo"), "sem_codigo"), (~F.coalesce(F.col("estado").isin(*V.MATRIX_STATES), F.lit(False)), "estado"), (~F.coalesce(F.col("classe_impacto").isin(*V.IMPACT_CLASSES), F.lit(False)), "classe_impacto"),
-        (active(F.col("critico")) & (F.col("classe_impacto") == "PERIFERICA"), "critico_periferico"), (confirmed, "confirmado_sem_evidencia"), ((F.col("estado") == "nao_localizado") & _blank("observacao"), "nao_localizado_sem_observacao"),
-        ((F.col("estado") == "aguardando_contraditorio") & (~F.coalesce("risco_reputacional", F.lit(True))) & _blank("justificativa_sem_risco"), "sem_risco_sem_justificativa"),
-    ])
-    own = i.select(key, event, "__p", "codigo", F.explode("evidencia_ids").alias("__e"))
-    strange = own.join(evidence.select(F.col("id").alias("__e"), F.col("event_id").alias(event)), ["__e", event], "left_anti").select(key, "__p", "codigo", F.lit("evidencia_de_outro_evento").alias("code"))
-    rows = i.select(key, "__p", "codigo", F.explode(codes).alias("code")).unionByName(strange.distinct())
-    named = rows.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("__p", "code", "codigo"))), lambda x: F.concat(F.coalesce(x["codigo"], F.lit("?")), F.lit(":"), x["code"])).alias("__v"))
-    return d.join(named, key, "left").select(key, F.when(F.col("__m").isNull(), F.array(F.lit("matriz_invalida"))).otherwise(F.coalesce("__v", F.array().cast("array<string>"))).alias("violations"))
+    rules = lambda i: [
+        (_blank(i["codigo"]), "sem_codigo"), (~F.coalesce(i["estado"].isin(*V.MATRIX_STATES), F.lit(False)), "estado"), (~F.coalesce(i["classe_impacto"].isin(*V.IMPACT_CLASSES), F.lit(False)), "classe_impacto"),
+        (active(i["critico"]) & (i["classe_impacto"] == "PERIFERICA"), "critico_periferico"), ((i["estado"] == "confirmado") & (F.coalesce(F.size(i["evidencia_ids"]), F.lit(0)) <= 0), "confirmado_sem_evidencia"),
+        ((i["estado"] == "nao_localizado") & _blank(i["observacao"]), "nao_localizado_sem_observacao"), ((i["estado"] == "aguardando_contraditorio") & ~F.coalesce(i["risco_reputacional"], F.lit(True)) & _blank(i["justificativa_sem_risco"]), "sem_risco_sem_justificativa"),
+    ]
+    return _judged(dossiers, evidence, key, event, column, MATRIX, "codigo", lambda i: i["evidencia_ids"], rules, "matriz_invalida")
 
 
 def claim_violations(dossiers: DataFrame, evidence: DataFrame, key: str = "id", event: str = "event_id", column: str = "afirmacoes") -> DataFrame:
     """key and the violations of its claims."""
-    d = dossiers.select(key, event, F.from_json(column, CLAIMS).alias("__m"))
-    i = d.select(key, event, F.posexplode("__m").alias("__p", "__i")).select(key, event, "__p", F.col("__i.id").alias("__id"), "__i.texto", "__i.status", "__i.evidencias")
-    codes = violations([(_blank("__id") | _blank("texto"), "sem_id_ou_texto"), (~F.coalesce(F.col("status").isin(*V.MATRIX_STATES), F.lit(False)), "status"), ((F.col("status") == "confirmado") & (F.coalesce(F.size("evidencias"), F.lit(0)) <= 0), "confirmada_sem_evidencia")])
-    own = i.select(key, event, "__p", "__id", F.explode("evidencias.evidencia_id").alias("__e"))
-    strange = own.join(evidence.select(F.col("id").alias("__e"), F.col("event_id").alias(event)), ["__e", event], "left_anti").select(key, "__p", "__id", F.lit("evidencia_de_outro_evento").alias("code"))
-    rows = i.select(key, "__p", "__id", F.explode(codes).alias("code")).unionByName(strange.distinct())
-    named = rows.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("__p", "code", "__id"))), lambda x: F.concat(F.coalesce(x["__id"], F.lit("?")), F.lit(":"), x["code"])).alias("__v"))
-    return d.join(named, key, "left").select(key, F.when(F.col("__m").isNull(), F.array(F.lit("afirmacoes_invalidas"))).otherwise(F.coalesce("__v", F.array().cast("array<string>"))).alias("violations"))
+    rules = lambda i: [(_blank(i["id"]) | _blank(i["texto"]), "sem_id_ou_texto"), (~F.coalesce(i["status"].isin(*V.MATRIX_STATES), F.lit(False)), "status"), ((i["status"] == "confirmado") & (F.coalesce(F.size(i["evidencias"]), F.lit(0)) <= 0), "confirmada_sem_evidencia")]
+    return _judged(dossiers, evidence, key, event, column, CLAIMS, "id", lambda i: i["evidencias"]["evidencia_id"], rules, "afirmacoes_invalidas")
+
+
+def _unconfirmed_source(matrix: Column) -> Column:
+    return F.exists(F.coalesce(matrix, F.array().cast(MATRIX)), lambda i: F.coalesce(i["fonte_primaria"], F.lit(False)) & ~i["estado"].eqNullSafe(F.lit("confirmado")))
+
+
+def _material_gap(matrix: Column) -> Column:
+    return F.exists(F.coalesce(matrix, F.array().cast(MATRIX)), lambda i: (~i["estado"].isin("confirmado", "nao_aplicavel") & (i["classe_impacto"] != "PERIFERICA")) | ((i["estado"] == "aguardando_contraditorio") & F.coalesce(i["risco_reputacional"], F.lit(True))))
 
 
 def generation_blocks(matrix: Column, review: Column, alerts: Column) -> Column:
     """G1-G4 that hold for a dossier: ``matrix`` parsed, ``review`` and ``alerts`` JSON text."""
+    return _generation_blocks(_unconfirmed_source(matrix), review, alerts)
+
+
+def _generation_blocks(source: Column, review: Column, alerts: Column) -> Column:
     said = lambda p: F.get_json_object(review, f"$.{p}")
     alert = lambda p: F.coalesce(F.get_json_object(alerts, f"$.{p}") == "true", F.lit(False))
-    source = F.exists(F.coalesce(matrix, F.array().cast(MATRIX)), lambda i: F.coalesce(i["fonte_primaria"], F.lit(False)) & ~i["estado"].eqNullSafe(F.lit("confirmado")))
     return listed([
         (~said("fonte_primaria").eqNullSafe(F.lit("localizada_e_legivel")) | source, "G1"), (~said("identidade_evento").eqNullSafe(F.lit("confirmada")) | alert("chaves_conflitantes"), "G2"),
         (~F.coalesce(said("natureza_ato").isin("pedido", "ato_efetivado", "nao_se_aplica"), F.lit(False)) | alert("pedido_ato_ambiguo"), "G3"), (~said("duplicidade").eqNullSafe(F.lit("nao")) | alert("duplicidade_nao_resolvida"), "G4"),
@@ -106,14 +127,16 @@ def publication_pending(versions: DataFrame, dossiers: DataFrame, checks: DataFr
     versions: id, event_id, versao, dossie_id, status_validacao, review (JSON of the release), created_at;
     dossiers: id, event_id, versao, matriz, alertas; checks: event_id, resultado, criado_em;
     states: event_id, state.
+
+    A matrix is read where it lies, for the two facts that blocks need of it; no window or join carries it.
     """
     v = newest_flag(versions, "event_id", "versao")
-    d = newest_flag(dossiers, "event_id", "versao").select(F.col("id").alias("dossie_id"), F.from_json("matriz", MATRIX).alias("__m"), "alertas", F.col("is_newest").alias("__d_newest"))
+    facts = dossiers.select("id", "event_id", "versao", "alertas", F.from_json("matriz", MATRIX).alias("__m")).select("id", "event_id", "versao", "alertas", _unconfirmed_source(F.col("__m")).alias("__source"), _material_gap(F.col("__m")).alias("__gap"))
+    d = newest_flag(facts, "event_id", "versao").select(F.col("id").alias("dossie_id"), "__source", "__gap", "alertas", F.col("is_newest").alias("__d_newest"))
     last = checks.filter("resultado = 'mudanca_material'").groupBy("event_id").agg(F.max("criado_em").alias("__change"))
     j = v.join(d, "dossie_id", "left").join(last, "event_id", "left").join(states.select("event_id", "state"), "event_id", "left")
-    gap = F.exists(F.coalesce("__m", F.array().cast(MATRIX)), lambda i: (~i["estado"].isin("confirmado", "nao_aplicavel") & (i["classe_impacto"] != "PERIFERICA")) | ((i["estado"] == "aguardando_contraditorio") & F.coalesce(i["risco_reputacional"], F.lit(True))))
     blocks = listed([
-        (F.size(generation_blocks(F.col("__m"), F.col("review"), F.col("alertas"))) > 0, "B1"), (F.coalesce(gap, F.lit(False)), "B2"), (F.col("status_validacao") == "reprovada", "B3"),
+        (F.size(_generation_blocks(F.coalesce("__source", F.lit(False)), F.col("review"), F.col("alertas"))) > 0, "B1"), (F.coalesce("__gap", F.lit(False)), "B2"), (F.col("status_validacao") == "reprovada", "B3"),
         (~F.col("is_newest") | ~F.coalesce("__d_newest", F.lit(False)), "B4"), (F.coalesce(F.col("__change") > F.col("created_at"), F.lit(False)) | F.coalesce(F.col("state").isin("ATUALIZADO", "REVISAO_MUDANCA"), F.lit(False)), "B5"),
     ])
     return j.select("id", blocks.alias("blocks"))

@@ -26,8 +26,8 @@ def _evidence(t: Tables) -> DataFrame:
     return t.orders.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"), F.col("o_orderkey").alias("event_id"))
 
 
-def _dossiers(t: Tables) -> DataFrame:
-    """A dossier per order: its lines as the items of a matrix, and as claims."""
+def _dossiers(t: Tables, column: str = "matriz") -> DataFrame:
+    """A dossier per order: its lines as the items of a matrix, or as claims (``afirmacoes``)."""
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
     own = F.concat(F.lit("o"), (F.col("l_orderkey") + F.when(supplier % 9 == 0, 1).otherwise(0)).cast("string"))
     none = part % 6 == 5
@@ -41,9 +41,9 @@ def _dossiers(t: Tables) -> DataFrame:
         F.when(none, F.array().cast("array<struct<evidencia_id:string>>")).otherwise(F.array(F.struct(own.alias("evidencia_id")))).alias("evidencias"),
     )
     order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_linestatus", "l_extendedprice")
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), item.alias("i"), claim.alias("c")))).alias("l"))
-    made = lines.select(F.col("l_orderkey").alias("o_orderkey"), F.to_json(F.transform("l", lambda x: x["i"])).alias("matriz"), F.to_json(F.transform("l", lambda x: x["c"])).alias("afirmacoes"))
-    return written(t.orders.select("o_orderkey").join(made, "o_orderkey", "left").select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("event_id"), "matriz", "afirmacoes"), "dossiers")
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), (item if column == "matriz" else claim).alias("i")))).alias("l"))
+    made = lines.select(F.col("l_orderkey").alias("o_orderkey"), F.to_json(F.transform("l", lambda x: x["i"])).alias(column))
+    return written(t.orders.select("o_orderkey").join(made, "o_orderkey", "left").select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("event_id"), column), "dossiers")
 
 
 _LINES = f"""i AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_linestatus, l_extendedprice) AS p, l_partkey AS pk, l_suppkey AS sk, l_linenumber AS ln,
@@ -69,7 +69,7 @@ g AS (SELECT k, string_agg(aid || ':' || code, ',' ORDER BY p, code, aid) AS v F
 SELECT o_orderkey AS id, CASE WHEN o_orderkey NOT IN (SELECT k FROM i) THEN 'afirmacoes_invalidas' ELSE coalesce(v, '') END AS violations FROM orders LEFT JOIN g ON k = o_orderkey""")
 def claim_checks(t: Tables) -> DataFrame:
     """Claims and what is wrong with them."""
-    return workflow.claim_violations(_dossiers(t), _evidence(t)).select("id", F.array_join("violations", ",").alias("violations"))
+    return workflow.claim_violations(_dossiers(t, "afirmacoes"), _evidence(t)).select("id", F.array_join("violations", ",").alias("violations"))
 
 
 @query(f"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -92,10 +92,15 @@ def word_pattern(term: str) -> str:
     return rf"(?<!\w){re.escape(folded(term))}(?!\w)"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often ``use`` names it: branches and functions of arrays would each
+    compute it again."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def matched_words(c: Column, terms: Iterable[str]) -> Column:
     """Terms that occur as whole words, accents and case aside, in the order given."""
-    f = fold(c)
-    return F.array_compact(F.array(*[F.when(f.rlike(word_pattern(t)), F.lit(t)) for t in terms]))
+    return bound(fold(c), lambda f: F.array_compact(F.array(*[F.when(f.rlike(word_pattern(t)), F.lit(t)) for t in terms])))
 
 
 def hits(low: Column, term: str) -> Column:
@@ -158,23 +163,28 @@ def _holding(markers: Sequence[str]):
     return lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(folded(m))) for m in markers], F.lit(False))
 
 
+def folded_sentences(c: Column) -> Column:
+    """The sentences of a text, folded, one a line, blanks at their ends aside: the whole text is folded at once. No marker
+    goes beyond a line, as folded markers hold no line end."""
+    cut = F.regexp_replace(strip_accents(c), r"(?<=[.!?])\s+|\n+", "\n")
+    return F.regexp_replace(cut, r"[^\S\n]+", " ")
+
+
 def text_status(c: Column, ordered: Sequence[tuple[str, Sequence[str]]], empty: str, otherwise: str) -> Column:
     """The label of the first marker list with a marker in some sentence."""
-    s = F.transform(sentences(c), fold)
-    rules = [(F.exists(s, _holding(ms)), label) for label, ms in ordered]
-    return first_match([(F.size(s) == 0, empty), *rules], otherwise)
+    nothing = ~_text(c).rlike(r"[^ \n]")
+    return bound(folded_sentences(c), lambda s: first_match([(nothing, empty), *[(_holding(ms)(s), label) for label, ms in ordered]], otherwise))
 
 
 def worst_state(c: Column, themes: dict[str, Sequence[str]], negative: Sequence[str], uncertain: Sequence[str]) -> Column:
     """Map theme -> worst state over the sentences that name it: incerto > negado > afirmado (X11). Themes not named are absent."""
-    s = F.transform(sentences(c), fold)
     no, maybe = _holding(negative), _holding(uncertain)
-    entries = []
-    for theme, terms in themes.items():
-        ranks = F.transform(F.filter(s, _holding(terms)), lambda x: F.when(maybe(x), 3).when(no(x), 2).otherwise(1))
-        state = F.element_at(F.array(F.lit("afirmado"), F.lit("negado"), F.lit("incerto")), F.array_max(ranks))
-        entries.append(F.when(F.size(ranks) > 0, F.struct(F.lit(theme).alias("key"), state.alias("value"))))
-    return F.map_from_entries(F.array_compact(F.array(*entries)))
+    rank = lambda x: F.when(maybe(x), 3).when(no(x), 2).otherwise(1)
+    worst = lambda s, terms: F.array_max(F.transform(F.filter(s, _holding(terms)), rank))
+    named = F.filter(F.split(folded_sentences(c), "\n"), _holding([t for terms in themes.values() for t in terms]))
+    ranks = bound(named, lambda s: F.array(*[worst(s, terms) for terms in themes.values()]))
+    states = F.transform(ranks, lambda r: F.when(r == 3, "incerto").when(r == 2, "negado").when(r == 1, "afirmado"))
+    return F.map_filter(F.map_from_arrays(F.array(*[F.lit(theme) for theme in themes]), states), lambda _, v: v.isNotNull())
 
 
 def suffix_status(normal: Column, negative: Sequence[str], pending: Sequence[str], done: Sequence[str]) -> Column:

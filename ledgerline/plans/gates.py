@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import add_years, age_days, months_until
-from ledgerline.functions.text import fold, folded, matched_words, sentence_nature, sentences, text_status
+from ledgerline.functions.text import bound, fold, folded, matched_words, sentence_nature, sentences, text_status
 from ledgerline.operators.rules import active, first_match
 from ledgerline.plans import vocabulary as V
 from ledgerline.plans.recalculation import industry_code
@@ -30,7 +30,7 @@ def gate_signals(df: DataFrame, key: str, text: str, gates: Mapping[str, Sequenc
     terms = sorted({folded(t) for ts in gates.values() for t in ts}, key=lambda t: (-len(t), t))
     s = df.select(key, F.posexplode(sentences(F.col(text))).alias("position", "sentence")).withColumn("__f", fold(F.col("sentence")))
     padded = F.concat(F.lit(" "), F.regexp_replace("__f", r"[^\w]+", " "), F.lit(" "))
-    hits = F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(padded, F.concat(F.lit(" "), t, F.lit(" "))))
+    hits = bound(padded, lambda p: F.array_compact(F.array(*[F.when(F.contains(p, F.lit(f" {t} ")), F.lit(t)) for t in terms])))
     vocabulary = vocabulary_table(df.sparkSession, gates)
     found = s.withColumn("folded", F.explode(hits)).join(F.broadcast(vocabulary), "folded")  # the vocabulary's size is fixed in code
     nature = sentence_nature(F.col("__f"), negative, alleged, risk, F.col("gate") == exempt, is_folded=True)

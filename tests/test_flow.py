@@ -140,3 +140,33 @@ def test_case_tables_shuffle_no_answers_and_only_repeated_acts(spark):
     standard = {r.caso_id: r.evidencia_padrao for r in tables["cases"].collect()}
     assert timeline["c4", ""] == standard["c4"] is not None and timeline[None, ""] is None and standard[None] is None
     assert {r.resposta for r in tables["checklist"].collect() if r.caso_id is None and r.pergunta == 1} == {"precisa_revisao"}
+
+
+def with_silent_acts(spark):
+    silent = [("c4", "p1", "", None, "X", "Nova Lima", "2026-05-05", None, "", 1)] * 2 + [(None, None, "", "", None, None, None, None, None, k) for k in (1, 2)]
+    return acts(spark).unionByName(spark.createDataFrame(silent, acts(spark).schema))
+
+
+def test_a_commit_holds_no_ids_and_gives_the_five_tables(spark, tmp_path):
+    given = (with_silent_acts(spark), "caso_id", F.col("n"), {"score_m9a": 1.0}, F.create_map(F.lit("empresa"), F.lit("Vale S.A.")))
+    stored, root = case_tables.stored_tables(*given), str(tmp_path / "run")
+    assert case_tables.publish_stored(stored, "caso_id", root, 3) and not case_tables.publish_stored(stored, "caso_id", root, 3)
+    got, wanted = case_tables.committed(spark, {n: df.schema for n, df in stored.items()}, "caso_id", root, 3), case_tables.case_tables(*given)
+    assert set(got) == set(case_tables.TABLES)
+    for name, df in wanted.items():
+        assert got[name].dtypes == df.dtypes and sorted(map(str, got[name].collect())) == sorted(map(str, df.collect())), name
+    # Only acts that say nothing themselves hold a hash, their case's.
+    held = [str(r) for n in stored for r in spark.read.parquet(f"{root}/batch=3/{n}").drop("padrao").collect()]
+    assert not any(r.id in row or r.ato in row for r in got["evidence"].collect() for row in held)
+    assert [bool(r.padrao) for r in spark.read.parquet(f"{root}/batch=3/acts").collect()].count(True) == 1
+
+
+@pytest.mark.parametrize(
+    ("name", "change"),
+    [("acts", lambda df: df.unionByName(df)), ("acts", lambda df: df.withColumn("marco", F.lit("outro"))), ("cases", lambda df: df.unionByName(df)), ("cases", lambda df: df.withColumn("respostas", F.transform("respostas", lambda _: F.lit("talvez"))))],
+)
+def test_a_commit_that_breaks_a_rule_is_refused(spark, tmp_path, name, change):
+    stored = case_tables.stored_tables(acts(spark), "caso_id", F.col("n"), {"score_m9a": 1.0}, F.create_map().cast("map<string,string>"))
+    with pytest.raises(publish.PostConditionFailed):
+        case_tables.publish_stored({**stored, name: change(stored[name])}, "caso_id", str(tmp_path / "run"), 1)
+    assert not (tmp_path / "run" / "batch=1").exists()

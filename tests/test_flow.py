@@ -170,3 +170,15 @@ def test_a_commit_that_breaks_a_rule_is_refused(spark, tmp_path, name, change):
     with pytest.raises(publish.PostConditionFailed):
         case_tables.publish_stored({**stored, name: change(stored[name])}, "caso_id", str(tmp_path / "run"), 1)
     assert not (tmp_path / "run" / "batch=1").exists()
+
+
+def test_cases_with_their_lists_are_shuffled_once(spark, monkeypatch):
+    rows = [("c1", f"p{k % 4}", "OUTRO", None, "VALE S.A.", ("a", "b", None)[k % 3], "2026-05-05", "OURO", "", k) for k in range(24)] + [(None, None, "OUTRO", None, None, None, None, None, None, 1)]
+    d = spark.createDataFrame(rows, acts(spark).schema)
+    plans = []
+    monkeypatch.setattr(cases, "written", lambda df, name: plans.append(df) or df)
+    got = cases.prescored(d, "caso_id", F.col("n"), {"score_m9a": 1.0}, F.create_map().cast("map<string,string>"), lists=True)
+    assert plans[0]._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {(r.caso_id, r.atos, r.processos, r.municipios, r.primeiro.processo, tuple(sorted(r["__processos"])), tuple(sorted(r["__municipios"]))) for r in got.collect()} == {
+        ("c1", 24, 4, 2, "p0", ("p0", "p1", "p2", "p3"), ("a", "b")), (None, 1, 0, 0, None, (), ())
+    }

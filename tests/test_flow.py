@@ -182,3 +182,16 @@ def test_cases_with_their_lists_are_shuffled_once(spark, monkeypatch):
     assert {(r.caso_id, r.atos, r.processos, r.municipios, r.primeiro.processo, tuple(sorted(r["__processos"])), tuple(sorted(r["__municipios"]))) for r in got.collect()} == {
         ("c1", 24, 4, 2, "p0", ("p0", "p1", "p2", "p3"), ("a", "b")), (None, 1, 0, 0, None, (), ())
     }
+
+
+@pytest.mark.parametrize(("most", "kind"), [(case_tables.SMALL, "BroadcastHashJoin"), (0, "SortMergeJoin")])
+def test_cases_stay_in_place_where_companies_are_few(spark, monkeypatch, most, kind):
+    monkeypatch.setattr(case_tables, "SMALL", most)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = case_tables.stored_tables(acts(spark), "caso_id", F.col("n"), {"score_m9a": 1.0}, F.create_map().cast("map<string,string>"))["cases"]
+        assert kind in found._jdf.queryExecution().executedPlan().toString()
+        assert {(r.caso_id, r.antecedentes) for r in found.collect()} == {("c1", 1), ("c2", 0), ("c3", 1)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
